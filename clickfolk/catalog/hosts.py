@@ -1 +1,145 @@
-QUERIES = {}
+"""Queries on host canonicalisation."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickfolk.catalog import views
+from clickfolk.catalog.registry import Query
+from clickfolk.functions import rules as R
+from clickfolk.operators import hosts as H
+from clickfolk.sources.readers import RuleSet
+
+AMP = ["example.org", "example.net"]
+CDN = [("ththre.example.com", "static"), ("m.ththth.example.net", "media")]
+SUB = [
+    ("example.org", None, "thther.example.org blog.thertion.example.org www.ththen.example.org"),
+    ("thther.example.com", "short.example.com", None),
+]
+CONTAINS = [("cheap-pills", "pills.example.com"), ("adult-x", "adult.example.com"), ("free-bets", "bets.example.com")]
+TLD = [("example", "com")]
+PREFIXES = ["m", "www", "blog"]
+JUNK = "cheap-pills|adult-x|free-bets|spam-farm"
+JUNK_HOST = "junk.example.com"
+
+
+def rule_set(*kinds: str, junk_titles: list[str] = ()) -> RuleSet:
+    every = {
+        "amp_domains": [{"domain": d} for d in AMP],
+        "cdn_domains": [{"domain": d, "replace_to": t} for d, t in CDN],
+        "domain_replace_sub": [{"domain": d, "replace_to": t, "whitelist": w} for d, t, w in SUB],
+        "domain_replace_contains": [{"contains": c, "replace_to": t} for c, t in CONTAINS],
+        "replace_tld": [{"replace_from": n, "replace_to": t} for n, t in TLD],
+        "prefix_funky": [{"prefix": p} for p in PREFIXES],
+        "title_replace": [{"title": t, "replace_to": JUNK_HOST} for t in junk_titles],
+    }
+    return RuleSet(**{k: every[k] for k in kinds})
+
+
+def junk_titles(docs: DataFrame) -> list[str]:
+    """Titles of the junk hosts: four names under three prefixes and three domains, so a short rule list."""
+    rows = docs.where(F.col("host").rlike(JUNK) & F.col("title").isNotNull()).select("title").distinct().collect()
+    return sorted(r["title"] for r in rows)
+
+
+def _mapping(*kinds: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        docs = views.titled_docs(spark, d)
+        titles = junk_titles(docs) if "title_replace" in kinds else []
+        return H.host_mapping(views.clicks(spark, d), rule_set(*kinds, junk_titles=titles), docs)
+
+    return run
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def amp_sql(h: str) -> list[str]:
+    return [
+        f"CASE WHEN {{h}} LIKE '%.{d}' THEN replace(replace(replace(left({{h}}, length({{h}}) - {len(d) + 1}), '--', chr(1)), "
+        f"'-', '.'), chr(1), '-') ELSE {{h}} END" for d in AMP
+    ]
+
+
+STEPS = {
+    "amp_domains": amp_sql(""),
+    "cdn_domains": [f"CASE WHEN {{h}} = {_lit(d)} THEN {_lit('[' + t + ']')} ELSE {{h}} END" for d, t in CDN],
+    "domain_replace_sub": [
+        f"CASE WHEN ({{h}} = {_lit(d)} OR {{h}} LIKE '%.{d}')"
+        + (f" AND {{h}} IN ({', '.join(_lit(x) for x in w.split(' '))})" if w else "")
+        + f" THEN {_lit(t or d)} ELSE {{h}} END" for d, t, w in SUB
+    ],
+    "domain_replace_contains": [f"CASE WHEN contains({{h}}, {_lit(c)}) THEN {_lit(t)} ELSE {{h}} END" for c, t in CONTAINS],
+    "replace_tld": [
+        f"CASE WHEN len(string_split({{h}}, '.')) >= 2 AND string_split({{h}}, '.')[-2] = {_lit(n)} THEN "
+        f"array_to_string(string_split({{h}}, '.')[1:-2], '.') || '.{t}' ELSE {{h}} END" for n, t in TLD
+    ],
+    "prefix_funky": [
+        f"CASE WHEN split_part({{h}}, '.', 1) = {_lit(p)} AND len(string_split({{h}}, '.')) > 2 AND substr({{h}}, instr({{h}}, '.') + 1) "
+        f"IN (SELECT host FROM titled WHERE title IS NOT NULL) THEN substr({{h}}, instr({{h}}, '.') + 1) ELSE {{h}} END" for p in PREFIXES
+    ],
+    "title_replace": [
+        f"CASE WHEN {{h}} IN (SELECT host FROM titled WHERE title IN (SELECT title FROM titled WHERE "
+        f"regexp_matches(host, '{JUNK}'))) THEN '{JUNK_HOST}' ELSE {{h}} END"
+    ],
+}
+
+
+def mapping_cte(*kinds: str) -> str:
+    """``mapping(host, canonical)`` as one CTE per rule, in order."""
+    ctes = ["m0 AS (SELECT DISTINCT url_host AS host, url_host AS canonical FROM clicks WHERE url_host IS NOT NULL)"]
+    for kind in kinds:
+        for step in STEPS[kind]:
+            ctes.append(f"m{len(ctes)} AS (SELECT host, {step.replace('{h}', 'canonical')} AS canonical FROM m{len(ctes) - 1})")
+    ctes.append(f"mapping AS (SELECT host, canonical FROM m{len(ctes) - 1})")
+    return ",\n".join(ctes)
+
+
+def _mapping_query(*kinds: str) -> Query:
+    return Query(_mapping(*kinds), views.with_views(
+        "SELECT host, canonical FROM mapping", "clicks", "titled", extra=mapping_cte(*kinds)))
+
+
+HOST_ONLY = ("amp_domains", "cdn_domains", "domain_replace_sub", "domain_replace_contains", "replace_tld")
+FULL = ("cdn_domains", "domain_replace_sub", "domain_replace_contains", "prefix_funky", "title_replace")
+
+
+def canonical_clicks(spark: SparkSession, d: str) -> DataFrame:
+    docs = views.titled_docs(spark, d)
+    return H.canonicalise(views.clicks(spark, d), rule_set(*FULL, junk_titles=junk_titles(docs)), docs)
+
+
+QUERIES = {
+    "c1_canonicalise": Query(
+        lambda s, d: canonical_clicks(s, d).select("event_id", "url_host"),
+        views.with_views(
+            "SELECT event_id, canonical AS url_host FROM clicks LEFT JOIN mapping ON url_host = host",
+            "clicks", "titled", extra=mapping_cte(*FULL)),
+    ),
+    "c2_amp_rule": _mapping_query("amp_domains"),
+    "c3_cdn_rule": _mapping_query("cdn_domains"),
+    "c4_sub_rule": _mapping_query("domain_replace_sub"),
+    "c5_contains_rule": _mapping_query("domain_replace_contains"),
+    "c6_tld_rule": _mapping_query("replace_tld"),
+    "c7_prefix_rule": _mapping_query("prefix_funky"),
+    "c8_title_rule": _mapping_query("title_replace"),
+    "c9_title_of": Query(
+        lambda s, d: H.title_of(H.host_counts(views.clicks(s, d)).select("host"), views.titled_docs(s, d)),
+        views.with_views(
+            "SELECT host, title FROM (SELECT DISTINCT url_host AS host FROM clicks WHERE url_host IS NOT NULL) "
+            "LEFT JOIN titled USING (host)", "clicks", "titled"),
+    ),
+    "c10_host_counts": Query(
+        lambda s, d: H.by_count(H.host_counts(views.clicks(s, d))),
+        views.with_views(
+            "SELECT url_host AS host, count(*) AS n_rows FROM clicks WHERE url_host IS NOT NULL GROUP BY url_host", "clicks"),
+    ),
+    "c11_compile_rules": Query(
+        lambda s, d: views.table(s, d, "pages").select("page_id", R.compile_rules(
+            rule_set(*HOST_ONLY), F.regexp_extract("url", "^https?://([^/?#:]+)", 1)).alias("canonical")),
+        "WITH clicks AS (SELECT DISTINCT " + views.HOST_SQL + " AS url_host FROM pages),\n" + mapping_cte(*HOST_ONLY)
+        + f"\nSELECT page_id, canonical FROM pages JOIN mapping ON host = {views.HOST_SQL}",
+    ),
+}

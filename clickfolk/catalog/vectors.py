@@ -1 +1,127 @@
-QUERIES = {}
+"""Queries on text vectors and the host feature table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickfolk.catalog import views
+from clickfolk.catalog.demographics import whitelist
+from clickfolk.catalog.registry import Query, r6
+from clickfolk.operators import hosts as H
+from clickfolk.operators import pages as D
+from clickfolk.operators import vectors as V
+
+DIM = 64
+
+
+def _event_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Two words per event, some unknown; every 50th text is missing, every 77th empty."""
+    e = F.col("event_id")
+    text = F.concat(F.lit("w"), (e % 600).cast("string"), F.lit(" w"), (e % 7).cast("string"))
+    return views.table(spark, d, "events").select(
+        "event_id", F.when(e % 50 == 0, F.lit(None)).when(e % 77 == 0, F.lit("")).otherwise(text).alias("text"))
+
+
+def _text_vectors(spark: SparkSession, d: str) -> DataFrame:
+    return V.text_vector(_event_texts(spark, d), "event_id", "text", views.word_vectors(spark, d), DIM)
+
+
+def _at(i: int):
+    return F.round(F.col("vector")[i].cast("double"), 5).alias(f"v{i}")
+
+
+_UNITS = """units AS (SELECT 'w' || CAST(vec_id AS VARCHAR) AS word,
+  list_transform(embedding, lambda x: CAST(x AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * y)))) AS u
+  FROM embeddings),
+texts AS (SELECT event_id, CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 77 = 0 THEN ''
+    ELSE 'w' || CAST(event_id % 600 AS VARCHAR) || ' w' || CAST(event_id % 7 AS VARCHAR) END AS text FROM events),
+words AS (SELECT event_id, unnest(string_split(text, ' ')) AS word FROM texts),
+means AS (SELECT event_id, """ + ", ".join(f"avg(u[{i + 1}]) AS m{i}" for i in range(DIM)) + """ FROM words JOIN units USING (word) GROUP BY event_id)"""
+_VECTOR_SQL = "WITH " + _UNITS + " SELECT event_id, " + ", ".join(
+    f"CASE WHEN text IS NOT NULL THEN round(CAST(CAST(coalesce(m{i}, 0) AS FLOAT) AS DOUBLE), 5) END AS v{i}" for i in range(DIM)
+) + " FROM texts LEFT JOIN means USING (event_id)"
+
+
+def _page_hosts(spark: SparkSession, d: str) -> DataFrame:
+    return D.page_record(views.table(spark, d, "pages")).select("host", "title", F.length("html").alias("n"))
+
+
+def feature_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Hosts, a transformer vector for every host with an even page length, and a word vector for each."""
+    pages = _page_hosts(spark, d)
+    vector = F.array(F.col("n").cast("float"), F.length("title").cast("float"))
+    return (
+        pages.select("host"), pages.where(F.col("n") % 2 == 0).select("host", vector.alias("vector")),
+        pages.select("host", F.array(F.length("host").cast("float")).alias("text_domain")),
+    )
+
+
+def features(spark: SparkSession, d: str) -> DataFrame:
+    return V.host_features(*feature_inputs(spark, d))
+
+
+FEATURES_SQL = """features AS (SELECT host, length(html) % 2 = 0 AS has_transformer,
+  CASE WHEN length(html) % 2 = 0 THEN CAST(length(html) AS DOUBLE) END AS t0,
+  CASE WHEN length(html) % 2 = 0 THEN CAST(length(title) AS DOUBLE) END AS t1, CAST(length(host) AS DOUBLE) AS d0 FROM page_docs)"""
+
+
+def flat(df: DataFrame, *extra: str) -> DataFrame:
+    return df.select(
+        "host", *extra, F.col("transformer")[0].cast("double").alias("t0"), F.col("transformer")[1].cast("double").alias("t1"),
+        F.col("text_domain")[0].cast("double").alias("d0"))
+
+
+def _trained(spark: SparkSession, d: str) -> DataFrame:
+    from clickfolk.functions.text import normalise_tokens
+
+    lines = views.table(spark, d, "documents").select(normalise_tokens(F.col("text")).alias("line"))
+    return V.train_word_vectors(lines, "line", dim=16, min_count=20, seed=1, partitions=8)
+
+
+def _host_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of title, body and name of every page host, from words trained on the page texts."""
+    from clickfolk.functions.html import visible_text
+    from clickfolk.functions.text import normalise_tokens
+
+    docs = D.page_record(views.table(spark, d, "pages"))
+    lines = docs.select(F.concat_ws(" ", F.regexp_replace("host", "[.-]", " "),
+                                    normalise_tokens(visible_text(F.col("html")))).alias("line"))
+    words = V.train_word_vectors(lines, "line", dim=16, min_count=5, seed=1)
+    return V.host_text_vectors(docs, docs.select("host"), whitelist(spark, d), words, 16)
+
+
+def _index(spark: SparkSession, d: str) -> DataFrame:
+    return V.own_embedding_index(H.host_counts(views.clicks(spark, d)), 100)
+
+
+_INDEX = f"""counts AS (SELECT url_host AS host, count(*) AS n_rows FROM clicks WHERE url_host IS NOT NULL GROUP BY url_host),
+idx AS (SELECT host, n_rows, CASE WHEN n_rows > 100 THEN row_number() OVER (ORDER BY n_rows DESC, {views.tie_sql('host')}, host)
+  ELSE 0 END AS own_embedding_idx FROM counts)"""
+
+QUERIES = {
+    "h1_train_word_vectors": Query(_trained),
+    "h2_text_vector": Query(
+        lambda s, d: _text_vectors(s, d).select("event_id", *[_at(i) for i in range(DIM)]), _VECTOR_SQL),
+    "h3_host_text_vectors": Query(_host_vectors),
+    "h4_host_features": Query(
+        lambda s, d: flat(features(s, d)),
+        views.with_views("SELECT host, t0, t1, d0 FROM features", "page_docs", extra=FEATURES_SQL),
+    ),
+    "h5_own_embedding_index": Query(
+        _index, views.with_views("SELECT host, n_rows, own_embedding_idx FROM idx", "clicks", extra=_INDEX)),
+    "h6_own_embedding_size": Query(
+        lambda s, d: V.own_embedding_size(_index(s, d)),
+        views.with_views("SELECT max(own_embedding_idx) + 1 AS n_own_embedding FROM idx", "clicks", extra=_INDEX),
+    ),
+    "h7_presence_flags": Query(
+        lambda s, d: V.presence_flags(features(s, d), ["transformer", "text_domain"]).select(
+            "host", "has_transformer", "has_text_domain"),
+        views.with_views("SELECT host, has_transformer, true AS has_text_domain FROM features", "page_docs", extra=FEATURES_SQL),
+    ),
+    "h8_zero_fill_vectors": Query(
+        lambda s, d: flat(V.zero_fill_vectors(features(s, d), "transformer", 2)),
+        views.with_views(
+            "SELECT host, coalesce(t0, 0) AS t0, coalesce(t1, 0) AS t1, d0 FROM features", "page_docs", extra=FEATURES_SQL),
+    ),
+}

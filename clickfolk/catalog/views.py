@@ -111,7 +111,7 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HOST_SQL = "regexp_extract(url, '^https?://([^/?#:]+)', 1)"
 
-_CLICKS = f"""clicks AS (
+_CLICKS = f"""clicks AS MATERIALIZED (
   SELECT e.event_id, e.user_id, r_name AS region_name, n_name AS city_name, p_brand AS cpe_manufacturer_name,
     p_name AS cpe_model_name, p_type AS cpe_type_cd, e.event_type AS cpe_model_os_type,
     CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS BIGINT) END AS price,
@@ -224,7 +224,7 @@ def with_views(body: str, *names: str, extra: str = "") -> str:
         add(name)
     if extra:
         done.append(extra)
-    return "WITH " + ",\n".join(done) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(done) + "\n" + body
 
 
 def tie_sql(*columns: str) -> str:

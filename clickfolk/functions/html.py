@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# the Python helpers travel with the job, executors need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # fixed values: elements whose own text is never visible
 HIDDEN_PARENTS = {"style", "script", "head", "title", "meta", "[document]"}
@@ -111,17 +117,17 @@ def meta_description_of(html: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _visible_text(html: pd.Series) -> pd.Series:
     return html.map(visible_text_of)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _body_text(html: pd.Series) -> pd.Series:
     return html.map(body_text_of)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _meta_description(html: pd.Series) -> pd.Series:
     return html.map(meta_description_of)
 

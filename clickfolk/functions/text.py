@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# the Python helpers travel with the job, executors need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # fixed values: patterns and the placeholder the normalised texts must agree with
 URL_PATTERN = (
@@ -46,7 +53,7 @@ def normalise_prose(text: Column) -> Column:
     return F.coalesce(strip(collapse_runs(lines)), F.lit(MISSING_TEXT))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode_idna(hosts: pd.Series) -> pd.Series:
     return hosts.map(_idna_or_same, na_action="ignore")
 

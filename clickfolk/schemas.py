@@ -7,8 +7,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "bigint": T.LongType(), "int": T.IntegerType(), "smallint": T.ShortType(), "double": T.DoubleType(),
+    "string": T.StringType(), "boolean": T.BooleanType(), "date": T.DateType(),
+    "array<float>": T.ArrayType(T.FloatType()),
+}
+
+
 def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    # built without a session, so that importing the package needs none
+    fields = [part.strip().split(" ", 1) for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 CLICKS = _struct(
