@@ -1 +1,84 @@
-QUERIES = {}
+"""Queries on the demographic scorer."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from clickfolk.catalog import views
+from clickfolk.catalog.demographics import SEED, _AGE_SUM
+from clickfolk.catalog.registry import Query, r6
+from clickfolk.operators import aggregates as A
+from clickfolk.operators import scoring as K
+from clickfolk.operators import splits
+from clickfolk.operators.cleaning import age_group
+from clickfolk.operators.metrics import submission
+from clickfolk.operators.sequences import attach_labels
+from clickfolk.session import materialise
+
+
+def _vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Features are read several times below, so the three inputs and the result are stored tables."""
+    clicks = materialise(views.clicks(spark, d), "clicks")
+    labelled = A.labelled_clicks(clicks, views.users(spark, d))
+    profile = materialise(A.profile_columns(A.host_statistics(labelled)), "profile")
+    categories = {c: materialise(K.category_profile(labelled, c), f"profile-{c}") for c in K.CATEGORY_COLUMNS}
+    return K.user_vectors(clicks, profile, categories)
+
+
+def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    users = views.users(spark, d)
+    # a tenth of the users: one in a hundred would leave the smallest tables without both genders
+    strata = users.withColumn("age_group", age_group(F.col("age")))
+    split = materialise(splits.stratified_split(strata, 0.1, ["age_group", "is_male"], "user_id", SEED), "split")
+    vectors = materialise(_vectors(spark, d), "user-vectors")
+    train, test = splits.train_part(split), splits.test_part(split)
+    return (attach_labels(vectors.join(train.select("user_id"), "user_id"), users),
+            attach_labels(vectors.join(test.select("user_id"), "user_id"), users))
+
+
+def _fitted(spark: SparkSession, d: str) -> DataFrame:
+    train, _ = _split(spark, d)
+    models = K.fit_demographics(train)
+    return K.score_demographics(train, models).select("user_id", "is_male", "age_group", "pred_male", "pred_age")
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _split(spark, d)
+    return submission(K.score_demographics(test.drop("is_male", "age_group"), K.fit_demographics(train)))
+
+
+def _evaluated(spark: SparkSession, d: str) -> DataFrame:
+    train, test = _split(spark, d)
+    return K.evaluate(K.score_demographics(test, K.fit_demographics(train)))
+
+
+def _pooled_sql() -> str:
+    def mean(x: str, name: str) -> str:
+        return f"round(sum(coalesce({x}, 0) * request_cnt) / sum(CAST(request_cnt AS DOUBLE)), 6) AS {name}"
+
+    columns = [
+        mean("CAST(male AS DOUBLE) / (male + female)", "host_male_share"),
+        *[mean(f"CAST(age_{i} AS DOUBLE) / {_AGE_SUM}", f"host_age_share_{i}") for i in range(7)],
+        mean("CASE WHEN male IS NOT NULL THEN 1 END", "host_known"),
+        *[mean(f"{c}_male_share", f"{c}_male_share") for c in K.CATEGORY_COLUMNS],
+        mean("CASE WHEN price IS NOT NULL THEN (ln(price) - 10) / 0.865::DOUBLE END", "price_scaled"),
+        mean("CASE WHEN price IS NOT NULL THEN 1 END", "has_price"),
+        *[mean(f"CASE WHEN part_of_day = '{p}' THEN 1 END", f"part_{p}") for p in ("night", "morning", "day", "evening")],
+    ]
+    shares = ",\n".join(
+        f"share_{c} AS (SELECT {c}, CAST(sum(CASE WHEN is_male THEN request_cnt ELSE 0 END) AS DOUBLE) / sum(request_cnt) "
+        f"AS {c}_male_share FROM labelled GROUP BY {c})" for c in K.CATEGORY_COLUMNS)
+    joins = " ".join(f"LEFT JOIN share_{c} USING ({c})" for c in K.CATEGORY_COLUMNS)
+    return views.with_views(
+        f"SELECT c.user_id, {', '.join(columns)} FROM clicks c LEFT JOIN stats ON stats.url_host = c.url_host {joins} "
+        "GROUP BY c.user_id", "stats", extra=shares)
+
+
+QUERIES = {
+    "k1_user_vectors": Query(
+        lambda s, d: _vectors(s, d).select("user_id", *[r6(c, c) for c in K.USER_FEATURES]), _pooled_sql()),
+    "k2_fit_demographics": Query(_fitted),
+    "k3_score_demographics": Query(_scored),
+    "k4_evaluate": Query(_evaluated),
+}

@@ -110,14 +110,14 @@ def read_submissions(spark: SparkSession, root: str, key: str = "user_id") -> Da
 _DOC = "title string, description string, html string, _bad string"
 
 
-def read_site_docs(spark: SparkSession, root: str) -> DataFrame:
+def read_site_docs(spark: SparkSession, root: str, pattern: str = "*.json") -> DataFrame:
     """One JSON document per host, the host being the folder name; undecodable JSON gives no document.
 
     Small files are the crawl's layout. Convert once with ``write_table`` and scan the Parquet afterwards.
     """
     text = (
         spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json").text(root)
+        .option("pathGlobFilter", pattern).text(root)
         .select(
             F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("folder"),
             F.from_json("value", _DOC, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("doc"),
