@@ -9,6 +9,7 @@ from clickfolk.catalog import views
 from clickfolk.catalog.registry import Query
 from clickfolk.functions import rules as R
 from clickfolk.operators import hosts as H
+from clickfolk.session import materialise
 from clickfolk.sources.readers import RuleSet
 
 AMP = ["example.org", "example.net"]
@@ -43,9 +44,14 @@ def junk_titles(docs: DataFrame) -> list[str]:
     return sorted(r["title"] for r in rows)
 
 
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    """Documents are a stored table: they are looked up several times."""
+    return materialise(views.titled_docs(spark, d), "titled-docs")
+
+
 def _mapping(*kinds: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        docs = views.titled_docs(spark, d)
+        docs = _docs(spark, d)
         titles = junk_titles(docs) if "title_replace" in kinds else []
         return H.host_mapping(views.clicks(spark, d), rule_set(*kinds, junk_titles=titles), docs)
 
@@ -107,7 +113,7 @@ FULL = ("cdn_domains", "domain_replace_sub", "domain_replace_contains", "prefix_
 
 
 def canonical_clicks(spark: SparkSession, d: str) -> DataFrame:
-    docs = views.titled_docs(spark, d)
+    docs = _docs(spark, d)
     return H.canonicalise(views.clicks(spark, d), rule_set(*FULL, junk_titles=junk_titles(docs)), docs)
 
 

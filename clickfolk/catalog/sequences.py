@@ -20,34 +20,51 @@ GROUPS = {
 }
 
 
+def events(spark: SparkSession, d: str) -> DataFrame:
+    """The merged log as a stored table, as the flows keep it: most operators read it more than once."""
+    return materialise(views.events(spark, d), "events")
+
+
 def _indexed(spark: SparkSession, d: str) -> DataFrame:
-    return I.event_index(views.events(spark, d))
+    return I.event_index(events(spark, d))
 
 
 def _weeks(spark: SparkSession, d: str) -> DataFrame:
     return I.week_groups(I.timeline(views.events(spark, d)))
 
 
+def _week_events(spark: SparkSession, d: str) -> DataFrame:
+    log = events(spark, d)
+    cells = materialise(I.timeline(log), "timeline")
+    return I.week_events(I.event_index(log, cells), I.week_groups(cells))
+
+
+def _padded(spark: SparkSession, d: str) -> DataFrame:
+    log = events(spark, d)
+    cells = materialise(I.timeline(log), "timeline")
+    return I.padded_batches(I.event_index(log, cells), I.pack_weeks(I.week_groups(cells), BUDGET))
+
+
 def dictionary(spark: SparkSession, d: str) -> DataFrame:
     """A stored frequency dictionary, as the flows keep it."""
     return materialise(A.frequency_dictionary(views.clicks(spark, d)), "dictionary")
 
 
 def _entries(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return I.tuple_dictionary(views.events(spark, d), GROUPS[name], name)
+    return I.tuple_dictionary(events(spark, d), GROUPS[name], name)
 
 
 def _with_tokens(spark: SparkSession, d: str) -> DataFrame:
-    events = views.events(spark, d)
-    tokens = events
+    log = events(spark, d)
+    tokens = log
     for name, columns in GROUPS.items():
-        tokens = I.tuple_tokens(tokens, I.tuple_dictionary(events, columns, name), columns, name)
+        tokens = I.tuple_tokens(tokens, I.tuple_dictionary(log, columns, name), columns, name)
     return tokens
 
 
 def _sequences(spark: SparkSession, d: str) -> I.UserSequences:
     return I.user_sequences(
-        views.events(spark, d), dictionary(spark, d), V.features(spark, d), views.users(spark, d),
+        events(spark, d), dictionary(spark, d), V.features(spark, d), views.users(spark, d),
         {"transformer": 2, "text_domain": 1}, BUDGET,
     )
 
@@ -187,7 +204,7 @@ QUERIES = {
     "i14_week_groups": Query(
         _weeks, views.with_views("SELECT user_id, week_n, size, first_idx, week_rank FROM weeks", "merged", extra=_WEEKS)),
     "i14_week_events": Query(
-        lambda s, d: I.week_events(_indexed(s, d), _weeks(s, d)).select("user_id", "week_n", "week_rank", "event_idx", "pos"),
+        lambda s, d: _week_events(s, d).select("user_id", "week_n", "week_rank", "event_idx", "pos"),
         views.with_views(
             "SELECT user_id, week_n, week_rank, event_idx, event_idx - first_idx AS pos FROM ev JOIN weeks USING (user_id, week_n)",
             "merged", extra=_WEEKS),
@@ -195,7 +212,7 @@ QUERIES = {
     "i15_pack_weeks": Query(
         lambda s, d: I.pack_weeks(_weeks(s, d), BUDGET), views.with_views("SELECT * FROM packed", "merged", extra=_PACKED)),
     "i15_padded_batches": Query(
-        lambda s, d: I.padded_batches(_indexed(s, d), I.pack_weeks(_weeks(s, d), BUDGET)),
+        _padded,
         views.with_views(
             "SELECT user_id, batch, week_n, pos, CASE WHEN pos < size THEN first_idx + pos ELSE 0 END AS event_idx, "
             "CASE WHEN pos < size THEN 1 ELSE 0 END AS mask FROM (SELECT *, unnest(range(width)) AS pos FROM packed)",

@@ -37,11 +37,11 @@ def urls_sql(x: str) -> str:
 
 
 def runs_sql(x: str) -> str:
-    return f"regexp_replace({x}, '([ \\n;])+', '\\1', 'g')"
+    return f"regexp_replace({x}, '([{E.RUN_CHARACTERS}])+', '\\1', 'g')"
 
 
 def tokens_sql(x: str) -> str:
-    kept = f"regexp_replace({urls_sql(f'lower({x})')}, '{E.TOKEN_BLANKS}', ' ', 'g')"
+    kept = f"regexp_replace({urls_sql(f'lower({x})')}, '[^{E.TOKEN_LETTERS[:-1]}\\- \\n]', ' ', 'g')"
     return f"trim({runs_sql(f'replace({kept}, chr(10), chr(32))')})"
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 import sys
 
 import pandas as pd
@@ -18,8 +19,8 @@ URL_PATTERN = (
     r"https?:\/\/(www\.)?([-a-zA-Z0-9@:%._\+~#=]{1,256}\.[a-zA-Z0-9()]{1,6})"
     r"\b([-a-zA-Z0-9()@:%_\+.~#?&\/\/=]*)"
 )
-TOKEN_BLANKS = r"[^ёЁа-яА-Яa-zA-Z0-9\- \n]"
-RUNS = "([ \\n;])+"
+TOKEN_LETTERS = "ёЁа-яА-Яa-zA-Z0-9-"  # kept by the token form, everything else is blanked
+RUN_CHARACTERS = " \\n;"
 MISSING_TEXT = "!пусто!"
 
 # Unicode white space plus the four separators a Python strip() also removes
@@ -33,7 +34,8 @@ def reduce_urls(text: Column) -> Column:
 
 def collapse_runs(text: Column) -> Column:
     """A run of blanks, newlines and ';' becomes its last character."""
-    return F.regexp_replace(text, F.lit(RUNS), F.lit("$1"))
+    # a single character stays as it is, so only longer runs are matched
+    return F.regexp_replace(text, F.lit(f"[{RUN_CHARACTERS}]+([{RUN_CHARACTERS}])"), F.lit("$1"))
 
 
 def strip(text: Column) -> Column:
@@ -42,8 +44,10 @@ def strip(text: Column) -> Column:
 
 def normalise_tokens(text: Column) -> Column:
     """Lower case, URLs reduced, everything but letters, digits and '-' blanked, single blanks."""
-    kept = F.regexp_replace(reduce_urls(F.lower(text)), TOKEN_BLANKS, " ")
-    return F.trim(collapse_runs(F.translate(kept, "\n", " ")))
+    # blanking and collapsing in one pass; ASCII is spelled out because Java tests single characters in a
+    # bit set but ranges one by one, and the text is in lower case here
+    kept = string.ascii_lowercase + string.digits + "а-яё-"
+    return F.trim(F.regexp_replace(reduce_urls(F.lower(text)), f"[^{kept}]+", " "))
 
 
 def normalise_prose(text: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickfolk import schemas
 from clickfolk.operators.cleaning import age_group, only_whitelisted
 from clickfolk.operators.ranking import HOT_ROWS, position
+from clickfolk.session import materialise
 
 # fixed value: host statistics hold seven age slots although the groups end at 5
 AGE_SLOTS = 7
@@ -34,7 +35,7 @@ def frequency_dictionary(df: DataFrame, columns: Sequence[str] = tuple(schemas.C
         .where(F.col("value").isNotNull())
         .groupBy("column", "value").agg(F.sum("_n").alias("n_rows"))
     )
-    coded = position(counts, ["column"], ["-n_rows"], ["value"], "code", hot_rows, weight="n_rows")
+    coded = position(materialise(counts, "value-counts"), ["column"], ["-n_rows"], ["value"], "code", hot_rows)
     return coded.select("column", "value", "n_rows", F.col("code").cast("int").alias("code"))
 
 

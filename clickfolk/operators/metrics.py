@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickfolk.functions.arrays import let
 from clickfolk.operators.aggregates import smooth
 from clickfolk.session import materialise
 
@@ -24,13 +25,12 @@ def sigmoid(x: Column) -> Column:
 
 
 def log_sum_exp(logits: Column) -> Column:
-    top = F.array_max(logits)
-    return top + F.ln(F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x.cast("double") - top)))
+    return let(F.array_max(logits), lambda top: top + F.ln(
+        F.aggregate(logits, F.lit(0.0), lambda a, x: a + F.exp(x.cast("double") - top))))
 
 
 def softmax(logits: Column) -> Column:
-    total = log_sum_exp(logits)
-    return F.transform(logits, lambda x: F.exp(x - total))
+    return let(log_sum_exp(logits), lambda total: F.transform(logits, lambda x: F.exp(x - total)))
 
 
 def argmax(values: Column) -> Column:

@@ -44,30 +44,27 @@ def position(
     fine: Sequence[str],
     name: str = "position",
     hot_rows: int = HOT_ROWS,
-    weight: str | None = None,
 ) -> DataFrame:
     """0-based place of every row in its group, by ``coarse`` ('-' = descending), hash bucket, ``fine``.
 
-    ``coarse`` columns must not be null. ``weight`` names a positive column used while counting the groups: the count then needs
-    the same columns as the main branch and Spark can reuse the shuffle below both.
+    ``coarse`` columns must not be null. Pass a stored table (see ``session.materialise``): it is counted
+    first, which for Parquet reads the footers only, and read more than once if there may be hot groups.
     """
     keys = list(group) or ["_all"]
     rows = df.withColumn("_tie", tie_bucket(fine))
     if not group:
         rows = rows.withColumn("_all", F.lit(0))
-    levels = [c.lstrip("-") for c in coarse] + ["_tie"]
     ordering = _ordering(coarse, fine)
-    one = F.least(F.col(weight), F.lit(1)) if weight else F.lit(1)
+    whole = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)).cast("bigint") - 1
+    if df.count() <= hot_rows:  # then no group can be larger
+        return rows.withColumn(name, whole).drop("_tie", "_all")
 
-    sizes = rows.groupBy(*keys).agg(F.sum(one).alias("_n"))
     # at most rows / hot_rows keys can pass, so this side is small whatever the data
-    hot = F.broadcast(sizes.where(F.col("_n") > hot_rows).select(*keys))
-
-    plain = null_safe_join(rows, hot, keys, "left_anti").withColumn(
-        name, F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)).cast("bigint") - 1
-    )
+    hot = F.broadcast(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(*keys))
+    plain = null_safe_join(rows, hot, keys, "left_anti").withColumn(name, whole)
 
     big = null_safe_join(rows, hot, keys, "left_semi")
+    levels = [c.lstrip("-") for c in coarse] + ["_tie"]
     before = Window.partitionBy(*keys).orderBy(*ordering[: len(levels)]).rowsBetween(
         Window.unboundedPreceding, -1
     )
@@ -76,8 +73,8 @@ def position(
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
-    inside = Window.partitionBy(*keys, *levels).orderBy(*ordering)
-    split = null_safe_join(
-        big.withColumn("_inside", F.row_number().over(inside).cast("bigint") - 1), cells, [*keys, *levels]
-    ).withColumn(name, F.col("_before") + F.col("_inside")).select(*plain.columns)
+    inside = F.row_number().over(Window.partitionBy(*keys, *levels).orderBy(*ordering)).cast("bigint") - 1
+    split = null_safe_join(big.withColumn("_inside", inside), cells, [*keys, *levels]).withColumn(
+        name, F.col("_before") + F.col("_inside")
+    ).select(*plain.columns)
     return plain.unionByName(split).drop("_tie", "_all")

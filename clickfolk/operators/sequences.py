@@ -17,6 +17,7 @@ from clickfolk import schemas
 from clickfolk.operators.cleaning import age_group
 from clickfolk.operators.ranking import HOT_ROWS, null_safe_join, position, tie_bucket
 from clickfolk.operators.vectors import presence_flags, zero_fill_vectors
+from clickfolk.session import materialise
 
 # fixed values: parts of day in order, scaling of price and request count, chunk and week budget
 PARTS_OF_DAY = ["night", "morning", "day", "evening"]
@@ -100,19 +101,22 @@ def event_index(df: DataFrame, cells: DataFrame | None = None, hot_rows: int = H
     """Position of every event in its user's time order, with week, slot and week number.
 
     Order: date, part of day, then a hash bucket and the columns of ``EVENT_ORDER``. Rows join their cell's
-    counts and are numbered inside the cell by the same partitioning; only a cell above ``hot_rows`` is cut
-    further, by the hash bucket.
+    counts and are numbered inside the cell, both by the same partitioning. ``cells`` is a stored
+    ``timeline`` (made here if not given): it tells beforehand whether any cell is above ``hot_rows``, and
+    only such cells are cut further, by the hash bucket.
     """
-    cells = timeline(df) if cells is None else cells
-    joined = df.join(cells, CELL)
-    normal = joined.where(F.col("n_events") <= hot_rows).withColumn("_tie", tie_bucket(EVENT_ORDER))
+    cells = materialise(timeline(df), "timeline") if cells is None else cells
+    any_hot = not cells.where(F.col("n_events") > hot_rows).isEmpty()
+    normal = cells.where(F.col("n_events") <= hot_rows) if any_hot else cells
+    rows = df.join(normal, CELL).withColumn("_tie", tie_bucket(EVENT_ORDER))
     fine = [F.col("_tie"), *[F.col(c).asc_nulls_first() for c in EVENT_ORDER]]
     inside = F.row_number().over(Window.partitionBy(*CELL).orderBy(*fine)).cast("bigint") - 1
-    placed = normal.withColumn("_inside", inside).drop("_tie")
-    hot = position(joined.where(F.col("n_events") > hot_rows), CELL, [], EVENT_ORDER, "_inside", hot_rows)
-    return (
-        placed.unionByName(hot).withColumn("event_idx", F.col("first_idx") + F.col("_inside"))
-        .drop("_inside", "first_idx", "n_events")
+    placed = rows.withColumn("_inside", inside).drop("_tie")
+    if any_hot:
+        crowded = df.join(cells.where(F.col("n_events") > hot_rows), CELL)
+        placed = placed.unionByName(position(crowded, CELL, [], EVENT_ORDER, "_inside", hot_rows))
+    return placed.withColumn("event_idx", F.col("first_idx") + F.col("_inside")).drop(
+        "_inside", "first_idx", "n_events"
     )
 
 
@@ -190,7 +194,7 @@ def padded_batches(events: DataFrame, packed: DataFrame) -> DataFrame:
 def tuple_dictionary(df: DataFrame, columns: Sequence[str], name: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per user the distinct tuples of ``columns`` (nulls count as values) coded from 0 by descending rows."""
     counts = df.groupBy("user_id", *columns).agg(F.count("*").alias("n_rows"))
-    return position(counts, ["user_id"], ["-n_rows"], list(columns), name, hot_rows, weight="n_rows")
+    return position(materialise(counts, name), ["user_id"], ["-n_rows"], list(columns), name, hot_rows)
 
 
 def tuple_tokens(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
@@ -271,7 +275,7 @@ def user_sequences(events: DataFrame, dictionary: DataFrame, features: DataFrame
                    strict: bool = True) -> UserSequences:
     """Everything the scorer of a user reads, for all users at once."""
     events = has_price(events)
-    cells = timeline(events)
+    cells = materialise(timeline(events), "timeline")
     groups = {
         "token_device": schemas.DEVICE_COLUMNS,
         "token_location": schemas.LOCATION_COLUMNS,

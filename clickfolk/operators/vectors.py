@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickfolk.functions.arrays import let
 from clickfolk.functions.html import body_text
 from clickfolk.functions.text import depunycode, normalise_tokens
 from clickfolk.operators.ranking import HOT_ROWS, position
+from clickfolk.session import materialise
 
 FIELDS = ["title", "description", "body", "domain"]
 
@@ -35,32 +36,35 @@ def train_word_vectors(corpus: DataFrame, column: str = "line", dim: int = 300,
 
 def unit(vector: Column) -> Column:
     """Vector divided by its length; a zero vector gives null."""
-    total = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return F.when(total > 0, F.transform(vector, lambda x: x.cast("double") / F.sqrt(total)))
+    square = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    return let(
+        F.sqrt(square), lambda length: F.when(length > 0, F.transform(vector, lambda x: x.cast("double") / length))
+    )
 
 
 def zeros(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0).cast("float"), dim)
 
 
-def mean_word_vectors(words: DataFrame, keys: Sequence[str], vectors: DataFrame) -> DataFrame:
+def mean_word_vectors(words: DataFrame, keys: Sequence[str], vectors: DataFrame, dim: int) -> DataFrame:
     """``keys, vector``: mean of the unit vectors of the known words. ``words`` has one row per word.
 
-    The mean is a partial aggregate: a text leaves each task as one sum vector. A frequent word is a hot join
+    One sum per dimension keeps the aggregation in flat, fixed-width hash buffers (three times faster than a
+    vector-valued aggregate), and a text leaves each task as one partial row. A frequent word is a hot join
     key; the join is inner and feeds an aggregation, so the adaptive skew join may split it.
     """
     units = vectors.select("word", unit(F.col("vector")).alias("_unit")).where(F.col("_unit").isNotNull())
-    return (
-        words.join(units, "word").groupBy(*keys)
-        .agg(Summarizer.mean(array_to_vector(F.col("_unit"))).alias("_mean"))
-        .select(*keys, F.transform(vector_to_array("_mean"), lambda x: x.cast("float")).alias("vector"))
+    sums = words.join(units, "word").groupBy(*keys).agg(
+        F.count("*").alias("_n"), *[F.sum(F.col("_unit")[i]).alias(f"_s{i}") for i in range(dim)]
     )
+    means = F.array(*[(F.col(f"_s{i}") / F.col("_n")).cast("float") for i in range(dim)])
+    return sums.select(*keys, means.alias("vector"))
 
 
 def text_vector(df: DataFrame, key: str, column: str, vectors: DataFrame, dim: int) -> DataFrame:
     """``key, vector``: null for a null text, zeros for a text without known words."""
     words = df.select(key, F.explode(F.split(column, " ")).alias("word")).where(F.col("word") != "")
-    means = mean_word_vectors(words, [key], vectors)
+    means = mean_word_vectors(words, [key], vectors, dim)
     present = df.select(key, F.col(column).isNotNull().alias("_present"))
     return present.join(means, key, "left").select(
         key, F.when(F.col("_present"), F.coalesce("vector", zeros(dim))).alias("vector")
@@ -87,7 +91,7 @@ def host_text_vectors(docs: DataFrame, hosts: DataFrame, whitelist: DataFrame, v
     )
     long = fields.select("host", F.explode("_texts").alias("field", "text"))
     words = long.select("host", "field", F.explode(F.split("text", " ")).alias("word")).where(F.col("word") != "")
-    means = mean_word_vectors(words, ["host", "field"], vectors)
+    means = mean_word_vectors(words, ["host", "field"], vectors, dim)
     filled = long.select("host", "field", F.col("text").isNotNull().alias("_present")).join(
         means, ["host", "field"], "left"
     ).withColumn("vector", F.when(F.col("_present"), F.coalesce("vector", zeros(dim))))
@@ -109,8 +113,9 @@ def host_features(hosts: DataFrame, transformer_vectors: DataFrame, word_vectors
 
 def own_embedding_index(counts: DataFrame, min_rows: int = 500, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Hosts with more than ``min_rows`` rows numbered from 1 by descending count, all others 0."""
+    counts = materialise(counts, "host-counts")
     frequent = position(
-        counts.where(F.col("n_rows") > min_rows), [], ["-n_rows"], ["host"], "own_embedding_idx", hot_rows, "n_rows"
+        counts.where(F.col("n_rows") > min_rows), [], ["-n_rows"], ["host"], "own_embedding_idx", hot_rows
     ).withColumn("own_embedding_idx", F.col("own_embedding_idx") + 1)
     others = counts.where(~(F.col("n_rows") > min_rows) | F.col("n_rows").isNull())
     return frequent.unionByName(others.withColumn("own_embedding_idx", F.lit(0).cast("bigint")))
