@@ -34,6 +34,7 @@ class _Page(HTMLParser):
         self.pending: list[str] = []
         self.body_seen = False
         self.description: str | None = None
+        self.described = False
 
     def _end_text(self) -> None:
         text = "".join(self.pending)
@@ -51,10 +52,9 @@ class _Page(HTMLParser):
         self._end_text()
         if "head" in self.open and tag not in _HEAD_ONLY and tag != "head":
             del self.open[self.open.index("head"):]
-        if tag == "meta" and self.description is None:
-            values = dict(attrs)
-            if values.get("name") == "description":
-                self.description = values.get("content")
+        if tag == "meta" and not self.described and dict(attrs).get("name") == "description":
+            self.described = True
+            self.description = dict(attrs).get("content")
         if tag == "body" or ("head" not in self.open and tag not in ("html", "head", *_HEAD_ONLY)):
             self.body_seen = True
         if tag not in _VOID:
