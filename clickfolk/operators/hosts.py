@@ -98,6 +98,9 @@ def host_mapping(df: DataFrame, rules: RuleSet, docs: DataFrame, column: str = "
     """``host, canonical`` for every distinct non-null host."""
     distinct = df.where(F.col(column).isNotNull()).select(F.col(column).alias("host")).distinct()
     mapped = distinct.withColumn("canonical", R.compile_rules(rules, F.col("host")))
+    if rules.prefix_funky:
+        # read twice by the prefix step: the rules above run once per host
+        mapped = materialise(mapped, "rewritten-hosts")
     mapped = strip_prefixes(mapped, [r["prefix"] for r in rules.prefix_funky], docs, "canonical")
     return replace_titles(mapped, rules.title_replace, docs, "canonical")
 

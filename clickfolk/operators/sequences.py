@@ -102,18 +102,21 @@ def event_index(df: DataFrame, cells: DataFrame | None = None, hot_rows: int = H
 
     Order: date, part of day, then a hash bucket and the columns of ``EVENT_ORDER``. Rows join their cell's
     counts and are numbered inside the cell, both by the same partitioning. ``cells`` is a stored
-    ``timeline`` (made here if not given): it tells beforehand whether any cell is above ``hot_rows``, and
-    only such cells are cut further, by the hash bucket.
+    ``timeline`` (made here if not given): it tells beforehand whether any cell is above ``hot_rows``. Such
+    cells are taken out before the shuffle and cut further, by the hash bucket.
     """
     cells = materialise(timeline(df), "timeline") if cells is None else cells
-    any_hot = not cells.where(F.col("n_events") > hot_rows).isEmpty()
-    normal = cells.where(F.col("n_events") <= hot_rows) if any_hot else cells
-    rows = df.join(normal, CELL).withColumn("_tie", tie_bucket(EVENT_ORDER))
+    hot = cells.where(F.col("n_events") > hot_rows)
+    crowded = None
+    if not hot.isEmpty():
+        # at most rows / hot_rows cells, so small whatever the data
+        crowded = df.join(F.broadcast(hot), CELL)
+        df = df.join(F.broadcast(hot.select(*CELL)), CELL, "left_anti")
+    rows = df.join(cells, CELL).withColumn("_tie", tie_bucket(EVENT_ORDER))
     fine = [F.col("_tie"), *[F.col(c).asc_nulls_first() for c in EVENT_ORDER]]
     inside = F.row_number().over(Window.partitionBy(*CELL).orderBy(*fine)).cast("bigint") - 1
     placed = rows.withColumn("_inside", inside).drop("_tie")
-    if any_hot:
-        crowded = df.join(cells.where(F.col("n_events") > hot_rows), CELL)
+    if crowded is not None:
         placed = placed.unionByName(position(crowded, CELL, [], EVENT_ORDER, "_inside", hot_rows))
     return placed.withColumn("event_idx", F.col("first_idx") + F.col("_inside")).drop(
         "_inside", "first_idx", "n_events"

@@ -46,29 +46,28 @@ def zeros(dim: int) -> Column:
     return F.array_repeat(F.lit(0.0).cast("float"), dim)
 
 
-def mean_word_vectors(words: DataFrame, keys: Sequence[str], vectors: DataFrame, dim: int) -> DataFrame:
-    """``keys, vector``: mean of the unit vectors of the known words. ``words`` has one row per word.
+def mean_word_vectors(texts: DataFrame, keys: Sequence[str], column: str, vectors: DataFrame, dim: int) -> DataFrame:
+    """``keys, vector``: mean of the unit vectors of a text's known words; zeros if none, null for a null text.
 
-    One sum per dimension keeps the aggregation in flat, fixed-width hash buffers (three times faster than a
-    vector-valued aggregate), and a text leaves each task as one partial row. A frequent word is a hot join
-    key; the join is inner and feeds an aggregation, so the adaptive skew join may split it.
+    One pass over the texts. One sum per dimension keeps the aggregation in flat, fixed-width hash buffers
+    (three times faster than a vector-valued aggregate), and a text leaves each task as one partial row. A
+    frequent word is a hot join key; the join feeds an aggregation, so the adaptive skew join may split it.
     """
     units = vectors.select("word", unit(F.col("vector")).alias("_unit")).where(F.col("_unit").isNotNull())
-    sums = words.join(units, "word").groupBy(*keys).agg(
-        F.count("*").alias("_n"), *[F.sum(F.col("_unit")[i]).alias(f"_s{i}") for i in range(dim)]
+    known = F.filter(F.split(column, " "), lambda word: word != "")
+    words = texts.select(*keys, F.col(column).isNotNull().alias("_present"), F.explode_outer(known).alias("word"))
+    sums = words.join(units, "word", "left").groupBy(*keys).agg(
+        F.max("_present").alias("_present"), F.count("_unit").alias("_n"),
+        *[F.sum(F.col("_unit")[i]).alias(f"_s{i}") for i in range(dim)],
     )
     means = F.array(*[(F.col(f"_s{i}") / F.col("_n")).cast("float") for i in range(dim)])
-    return sums.select(*keys, means.alias("vector"))
+    vector = F.when(F.col("_n") > 0, means).when(F.col("_present"), zeros(dim))
+    return sums.select(*keys, vector.alias("vector"))
 
 
 def text_vector(df: DataFrame, key: str, column: str, vectors: DataFrame, dim: int) -> DataFrame:
-    """``key, vector``: null for a null text, zeros for a text without known words."""
-    words = df.select(key, F.explode(F.split(column, " ")).alias("word")).where(F.col("word") != "")
-    means = mean_word_vectors(words, [key], vectors, dim)
-    present = df.select(key, F.col(column).isNotNull().alias("_present"))
-    return present.join(means, key, "left").select(
-        key, F.when(F.col("_present"), F.coalesce("vector", zeros(dim))).alias("vector")
-    )
+    """``key, vector`` for a table with one text per key."""
+    return mean_word_vectors(df, [key], column, vectors, dim)
 
 
 def host_text_vectors(docs: DataFrame, hosts: DataFrame, whitelist: DataFrame, vectors: DataFrame,
@@ -90,11 +89,7 @@ def host_text_vectors(docs: DataFrame, hosts: DataFrame, whitelist: DataFrame, v
         ).alias("_texts"),
     )
     long = fields.select("host", F.explode("_texts").alias("field", "text"))
-    words = long.select("host", "field", F.explode(F.split("text", " ")).alias("word")).where(F.col("word") != "")
-    means = mean_word_vectors(words, ["host", "field"], vectors, dim)
-    filled = long.select("host", "field", F.col("text").isNotNull().alias("_present")).join(
-        means, ["host", "field"], "left"
-    ).withColumn("vector", F.when(F.col("_present"), F.coalesce("vector", zeros(dim))))
+    filled = mean_word_vectors(long, ["host", "field"], "text", vectors, dim)
     return filled.groupBy("host").agg(
         *[F.max(F.when(F.col("field") == f, F.col("vector"))).alias(f"text_{f}") for f in FIELDS]
     )

@@ -35,8 +35,8 @@ def write_user_buckets(df: DataFrame, path: str, n: int = USER_BUCKETS, rows_per
         "_part", F.pmod(F.xxhash64(*others), F.col("_files"))
     )
     (
-        placed.repartition("user_bucket", "_part").drop("_part", "_files")
-        .write.mode(mode).partitionBy("user_bucket").parquet(path)
+        placed.repartition("user_bucket", "_part").sortWithinPartitions("user_bucket", "user_id")
+        .drop("_part", "_files").write.mode(mode).partitionBy("user_bucket").parquet(path)
     )
 
 
