@@ -1,5 +1,8 @@
 """Headline queries, full result forced through the noop sink: median of three runs after one warm-up.
 
+The warm-up also derives the domain's stored tables (click log, merged log, documents, dictionary) from the
+given ones, so the figures are those of the operators over Parquet.
+
 Prints one JSON line. ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose data and cores; names on the command line
 choose queries.
 """

@@ -18,8 +18,8 @@ from clickfolk.session import materialise
 
 
 def _vectors(spark: SparkSession, d: str) -> DataFrame:
-    """Features are read several times below, so the three inputs and the result are stored tables."""
-    clicks = materialise(views.clicks(spark, d), "clicks")
+    """Features are read several times below, so the inputs and the result are stored tables."""
+    clicks = views.clicks(spark, d)
     labelled = A.labelled_clicks(clicks, views.users(spark, d))
     profile = materialise(A.profile_columns(A.host_statistics(labelled)), "profile")
     categories = {c: materialise(K.category_profile(labelled, c), f"profile-{c}") for c in K.CATEGORY_COLUMNS}

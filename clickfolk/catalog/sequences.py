@@ -20,13 +20,8 @@ GROUPS = {
 }
 
 
-def events(spark: SparkSession, d: str) -> DataFrame:
-    """The merged log as a stored table, as the flows keep it: most operators read it more than once."""
-    return materialise(views.events(spark, d), "events")
-
-
 def _indexed(spark: SparkSession, d: str) -> DataFrame:
-    return I.event_index(events(spark, d))
+    return I.event_index(views.events(spark, d))
 
 
 def _weeks(spark: SparkSession, d: str) -> DataFrame:
@@ -34,28 +29,23 @@ def _weeks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _week_events(spark: SparkSession, d: str) -> DataFrame:
-    log = events(spark, d)
+    log = views.events(spark, d)
     cells = materialise(I.timeline(log), "timeline")
     return I.week_events(I.event_index(log, cells), I.week_groups(cells))
 
 
 def _padded(spark: SparkSession, d: str) -> DataFrame:
-    log = events(spark, d)
+    log = views.events(spark, d)
     cells = materialise(I.timeline(log), "timeline")
     return I.padded_batches(I.event_index(log, cells), I.pack_weeks(I.week_groups(cells), BUDGET))
 
 
-def dictionary(spark: SparkSession, d: str) -> DataFrame:
-    """A stored frequency dictionary, as the flows keep it."""
-    return materialise(A.frequency_dictionary(views.clicks(spark, d)), "dictionary")
-
-
 def _entries(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return I.tuple_dictionary(events(spark, d), GROUPS[name], name)
+    return I.tuple_dictionary(views.events(spark, d), GROUPS[name], name)
 
 
 def _with_tokens(spark: SparkSession, d: str) -> DataFrame:
-    log = events(spark, d)
+    log = views.events(spark, d)
     tokens = log
     for name, columns in GROUPS.items():
         tokens = I.tuple_tokens(tokens, I.tuple_dictionary(log, columns, name), columns, name)
@@ -64,13 +54,13 @@ def _with_tokens(spark: SparkSession, d: str) -> DataFrame:
 
 def _sequences(spark: SparkSession, d: str) -> I.UserSequences:
     return I.user_sequences(
-        events(spark, d), dictionary(spark, d), V.features(spark, d), views.users(spark, d),
+        views.events(spark, d), views.dictionary(spark, d), V.features(spark, d), views.users(spark, d),
         {"transformer": 2, "text_domain": 1}, BUDGET,
     )
 
 
 def _encoded(spark: SparkSession, d: str) -> DataFrame:
-    codes = dictionary(spark, d)
+    codes = views.dictionary(spark, d)
     df = views.clicks(spark, d)
     for column in schemas.CODED_COLUMNS:
         df = I.encode_column(df, codes, column)
@@ -173,7 +163,7 @@ QUERIES = {
             + _ALL_JOINS, "merged", extra=_ALL_DICTS),
     ),
     "i10_decode_tuples": Query(
-        lambda s, d: I.decode_tuples(_entries(s, d, "token_device"), schemas.DEVICE_COLUMNS, dictionary(s, d)).select(
+        lambda s, d: I.decode_tuples(_entries(s, d, "token_device"), schemas.DEVICE_COLUMNS, views.dictionary(s, d)).select(
             "user_id", "token_device", *[f"{c}_code" for c in _DEVICE_CODED], "has_price", r6("price_scaled", "price_scaled")),
         views.with_views(
             "SELECT user_id, token_device, " + ", ".join(f"code_{c}.code AS {c}_code" for c in _DEVICE_CODED) + ", has_price, "

@@ -2,20 +2,43 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfolk.operators.aggregates import merge_duplicates
+from clickfolk.operators.aggregates import frequency_dictionary, merge_duplicates
 from clickfolk.operators.cleaning import clean_users
 from clickfolk.operators.pages import host_of
 from clickfolk.operators.sequences import has_price
+from clickfolk.session import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+_PATHS: dict[tuple[str, str, str], str] = {}
+
+
+def stored(name: str, build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The view as a Parquet table, derived from the given tables once per session and folder.
+
+    The domain keeps its log, documents and dictionaries as stored tables, and the operators read them so.
+    """
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+        if key not in _PATHS:
+            path = fresh_path(spark, name)
+            build(spark, sf_dir).write.parquet(path)
+            _PATHS[key] = path
+        return spark.read.parquet(_PATHS[key])
+
+    return read
+
+
+def _clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, part, pages = (table(spark, sf_dir, t) for t in ("events", "part", "pages"))
     n_part = part.agg(F.count("*")).scalar()
     n_pages = pages.agg(F.count("*")).scalar()
@@ -44,9 +67,9 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Merged click log, the input of the sequence operators."""
-    return has_price(merge_duplicates(clicks(spark, sf_dir).drop("event_id")))
+clicks = stored("clicks", _clicks)
+# merged click log, the input of the sequence operators
+events = stored("events", lambda spark, sf_dir: has_price(merge_duplicates(clicks(spark, sf_dir).drop("event_id"))))
 
 
 def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +112,7 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def titled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _titled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``host, title`` of the first page per host; a prefixed host whose page has an even id also lends its
     title to the host without the prefix."""
     pages = table(spark, sf_dir, "pages").select(
@@ -101,6 +124,10 @@ def titled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.unionByName(lent).groupBy("host").agg(F.min_by("title", "page_id").alias("title"))
 
 
+titled_docs = stored("titled-docs", _titled_docs)
+dictionary = stored("dictionary", lambda spark, sf_dir: frequency_dictionary(clicks(spark, sf_dir)))
+
+
 def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(
         F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("word"), F.col("embedding").alias("vector")

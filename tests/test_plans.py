@@ -4,7 +4,6 @@ import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
-from clickfolk.catalog import sequences as CS
 from clickfolk.catalog import views
 from clickfolk.catalog.registry import all_queries
 from clickfolk.operators import aggregates as A
@@ -27,7 +26,7 @@ def test_no_row_at_a_time_python(spark, name):
 
 
 def test_profile_shuffles_only_partial_sums(spark):
-    clicks = materialise(views.clicks(spark, SF_DIR), "clicks")
+    clicks = views.clicks(spark, SF_DIR)
     text = plan(A.host_profile(clicks, views.users(spark, SF_DIR)))
     assert text.count("Exchange hashpartitioning") == 1 and "partial_sum" in text
     assert "BroadcastHashJoin" in text  # the user table is small by its file size
@@ -44,7 +43,7 @@ def test_large_user_tables_are_not_broadcast(spark):
 
 
 def test_canonicalise_broadcasts_a_small_mapping(spark):
-    clicks = materialise(views.clicks(spark, SF_DIR), "clicks")
+    clicks = views.clicks(spark, SF_DIR)
     docs = spark.createDataFrame([], "host string, title string")
     text = plan(H.canonicalise(clicks, RuleSet(replace_tld=[{"replace_from": "example", "replace_to": "x"}]), docs))
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
@@ -53,7 +52,7 @@ def test_canonicalise_broadcasts_a_small_mapping(spark):
 def test_event_index_partitions_by_cell_not_by_user(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        log = CS.events(spark, SF_DIR)
+        log = views.events(spark, SF_DIR)
         text = plan(I.event_index(log, materialise(I.timeline(log), "timeline")))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -68,7 +67,7 @@ def test_dictionary_expands_combinations_not_rows(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    log = CS.events(spark, SF_DIR)
+    log = views.events(spark, SF_DIR)
     text = plan(I.event_count(log.where(F.col("part_of_day") == "night")))
     assert "PushedFilters: [IsNotNull(part_of_day), EqualTo(part_of_day,night)]" in text
     assert "ReadSchema: struct<user_id:bigint,part_of_day:string>" in text
