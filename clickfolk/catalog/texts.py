@@ -53,7 +53,7 @@ def prose_sql(x: str) -> str:
 
 def _entities(x: str) -> str:
     for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\xa0"), ("amp", "&")):
-        x = f"replace({x}, '&{name};', '{char}')"
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"  # the semicolon may be missing
     return x
 
 

@@ -85,3 +85,7 @@ def test_meta_description(spark):
     pages = [PAGE, "<p>no description</p>", '<meta name="description"><meta name="description" content="b">', None]
     assert results(spark, pages, X.meta_description) == ["about", None, None, None]
     assert X.meta_description_of(PAGE) == "about"
+
+
+def test_entities_without_semicolon():
+    assert X.visible_text_of("<title>a &am</title><h1>b &amp</h1>&copy c &am") == "b & © c &am"
