@@ -6,9 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfolk.catalog.registry import Query
+from clickfolk.llm import pii, toxicity
+from clickfolk.llm.packing import pack, token_pieces
+from clickfolk.llm.simhash import near_duplicates
 from clickfolk.llm.substring_dedup import remove_repeats
 from clickfolk.llm.tables import table
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts and digests of the base kinds, and all spans."""
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["order"] < len(pii.BASE))
+    counts = [pii.number_of("spans", kind).cast("bigint").alias(f"n_{kind.name}") for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.digest(base), 256).alias("base_sha256"),
+                        pii.digest(F.col("spans")).alias("spans"))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    rows = toxicity.sample_of(table(spark, sf_dir, "labels"), table(spark, sf_dir, "documents"))
+    return toxicity.fit(toxicity.graded(rows))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, by a model fitted on a bounded sample of the labels."""
+    return toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    pieces = token_pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", capacity=2048, end_id=0)
+    return pack(pieces, 2048).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left after removing every 20-word passage that starts earlier in the corpus."""
@@ -16,6 +46,16 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    out = near_duplicates(table(spark, sf_dir, "documents"), size=3, bits=3)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_pii": Query(op1_pii),
+    "op2_toxicity": Query(op2_toxicity),
+    "op4_packing": Query(op4_packing),
     "op5_substring_dedup": Query(op5_substring_dedup),
+    "op6_simhash": Query(op6_simhash),
 }
