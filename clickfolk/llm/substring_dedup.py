@@ -36,6 +36,7 @@ _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 _ENTRY = [("hash", "<u8"), ("second", "<u4"), ("doc", "<i8"), ("copy", "<u4"), ("home", "<u4"), ("at", "<u4"),
           ("run", "<u4"), ("many", "u1")]
 _NAMES = [name for name, _ in _ENTRY]
+_STEPS = ("doc", "at")
 _ASK = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), ("tag", pa.int32()),
                   *[(name, pa.binary()) for name in _NAMES]])
 _NOTE = pa.schema([("home", pa.int32()), ("tag", pa.int32()), *[(n, pa.binary()) for n in ("doc", "copy", "at", "run")]])
@@ -136,13 +137,20 @@ def _entries(chunk: _Chunk, length: int, start: int, window: int, wanted: dict |
 
 def _packed(schema: pa.Schema, key: int, more: list, rows: np.ndarray) -> pa.RecordBatch:
     names = [f.name for f in schema if f.type == pa.binary()]
-    values = [[key], *[[m] for m in more], *[[np.ascontiguousarray(rows[n]).tobytes()] for n in names]]
+    values = [[key], *[[m] for m in more]]
+    for name in names:
+        column = np.ascontiguousarray(rows[name])
+        if name in _STEPS:  # neighbours are close: steps are small and compress well in the shuffle
+            column = np.diff(column, prepend=column.dtype.type(0))
+        values.append([column.tobytes()])
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
 
 
 def _unpacked(rows: list[dict], names: list[str], tag: bool = False) -> np.ndarray:
     kinds = dict(_ENTRY)
-    columns = {n: np.concatenate([np.frombuffer(r[n], kinds[n]) for r in rows]) for n in names}
+    columns = {n: np.concatenate([
+        np.cumsum(np.frombuffer(r[n], kinds[n]), dtype=kinds[n]) if n in _STEPS else np.frombuffer(r[n], kinds[n])
+        for r in rows]) for n in names}
     out = np.empty(len(columns["doc"]), [(n, kinds[n]) for n in names] + ([("tag", "<i4")] if tag else []))
     for name in names:
         out[name] = columns[name]
@@ -376,7 +384,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     if lengths[-1] != window:
         raise ValueError("window must be start times a power of two")
     spark = docs.sparkSession
-    buckets, homes = prime_from(4 * parts(spark)), prime_from(4 * parts(spark))
+    buckets, homes = prime_from(2 * parts(spark)), prime_from(2 * parts(spark))
     names = ["doc", "copy", "text", "home"]
     chosen = [F.col(id_col).cast("bigint").alias("doc"), F.col("copy_no").alias("copy"), F.col(text_col).alias("text"),
               modulo(F.col(id_col).cast("bigint"), homes).alias("home")]
