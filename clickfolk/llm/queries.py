@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfolk.catalog.registry import Query
-from clickfolk.llm import pii, toxicity
+from clickfolk.llm import ann, chat, oracles, pieces, pii, toxicity
+from clickfolk.llm.html_wrapper import extract_articles
 from clickfolk.llm.packing import pack, token_pieces
+from clickfolk.llm.repetition import repetition_rules
 from clickfolk.llm.simhash import near_duplicates
 from clickfolk.llm.substring_dedup import remove_repeats
 from clickfolk.llm.tables import table
@@ -34,6 +36,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
 
 
+def op3_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and the verdict of the repetition rules."""
+    return repetition_rules(table(spark, sf_dir, "documents"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
     pieces = token_pieces(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", capacity=2048, end_id=0)
@@ -52,10 +59,43 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three best segmentations of every document into pieces; the best one is decoded again."""
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    return pieces.digests(pieces.encode_nbest(table(spark, sf_dir, "documents"), model, 3), model)
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that says control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.format_chats(rows.unionByName(extra)))
+
+
+def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest neighbours of every 50th vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    router = ann.fit(ann.usable(vectors, "vec_id", "embedding"))
+    return ann.search(vectors, vectors.where("vec_id % 50 = 0"), k=5, router=router)
+
+
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = extract_articles(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES: dict[str, Query] = {
-    "op1_pii": Query(op1_pii),
+    "op1_pii": Query(op1_pii, oracles.PII),
     "op2_toxicity": Query(op2_toxicity),
+    "op3_repetition": Query(op3_repetition),
     "op4_packing": Query(op4_packing),
-    "op5_substring_dedup": Query(op5_substring_dedup),
+    "op5_substring_dedup": Query(op5_substring_dedup, oracles.SUBSTRINGS),
     "op6_simhash": Query(op6_simhash),
+    "op7_pieces": Query(op7_pieces),
+    "op8_chat": Query(op8_chat, oracles.CHATS),
+    "op9_ann": Query(op9_ann),
+    "op10_html": Query(op10_html),
 }
