@@ -24,7 +24,8 @@ from clickfolk.session import materialise
 travels(__name__)
 
 SAMPLE = 8_000  # vectors the index is fitted on
-PARTS, PROBES = 32, 12
+PARTS = 32
+RECALL = 0.96  # share of true neighbours that the parts probed must hold in the sample
 BLOCK, QUERY_BLOCK = 20_000, 2_000
 
 
@@ -35,6 +36,7 @@ class Router(NamedTuple):
     hidden_bias: np.ndarray
     out: np.ndarray
     out_bias: np.ndarray
+    probes: int
 
     def best(self, unit: np.ndarray, n: int) -> np.ndarray:
         score = np.maximum(unit @ self.hidden + self.hidden_bias, 0) @ self.out + self.out_bias
@@ -131,7 +133,7 @@ def train_router(unit: np.ndarray, part: np.ndarray, parts: int, width: int = 12
                 first[k] = 0.9 * first[k] + 0.1 * slope
                 second[k] = 0.99 * second[k] + 0.01 * slope**2
                 state[k] -= 0.004 * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8)
-    return Router(*state)
+    return Router(*state, parts)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -142,7 +144,8 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
         F.col("id").isNotNull() & F.col("vector").isNotNull() & fine & F.exists("vector", lambda x: x != 0))
 
 
-def fit(rows: DataFrame, *, sample: int = SAMPLE, parts: int = PARTS, near: int = 10) -> Router | None:
+def fit(rows: DataFrame, *, sample: int = SAMPLE, parts: int = PARTS, near: int = 10,
+        recall: float = RECALL) -> Router | None:
     """Fit on at most ``sample`` usable rows, by hash of id and vector; None if there are too few to divide."""
     taken = rows.orderBy(F.xxhash64("id", "vector"), "id").limit(sample).select("vector").toArrow()  # bounded by ``sample``
     vectors = taken.column("vector").to_pylist()
@@ -155,8 +158,18 @@ def fit(rows: DataFrame, *, sample: int = SAMPLE, parts: int = PARTS, near: int
     parts = min(parts, len(unit) // 20)
     if parts < 2:
         return None
-    part = balanced_parts(unit, neighbour_graph(unit, near), parts)
-    return train_router(unit, part, parts)
+    graph = neighbour_graph(unit, near)
+    router = train_router(unit, balanced_parts(unit, graph, parts), parts)
+    return router._replace(probes=enough_probes(router, unit, graph, parts, recall))
+
+
+def enough_probes(router: Router, unit: np.ndarray, graph: np.ndarray, parts: int, recall: float) -> int:
+    """Fewest parts to probe so that they hold ``recall`` of the sample's neighbours."""
+    ranked = router.best(unit, parts)
+    place = np.empty_like(ranked)
+    np.put_along_axis(place, ranked, np.arange(parts)[None, :].repeat(len(unit), 0), axis=1)
+    needed = np.take_along_axis(place, ranked[:, 0][graph], axis=1).ravel()
+    return int(np.searchsorted(np.cumsum(np.bincount(needed, minlength=parts)) / len(needed), recall)) + 1
 
 
 def _routing(router: Router | None, n: int):
@@ -207,7 +220,7 @@ def _ranking(k: int):
 
 
 def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
-           router: Router | None = None, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
+           router: Router | None = None, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query by cosine, ties to the smaller id.
 
     Vectors that are null, zero or hold null or non-finite components take no part; a query among them has no rows.
@@ -219,7 +232,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
         _routing(router, 1), "id bigint, vector array<double>, parts array<int>").select(
         "id", "vector", F.element_at("parts", 1).alias("part")), "indexed")
     asked = materialise(usable(queries, id_col, vector_col).dropDuplicates(["id"]).mapInArrow(
-        _routing(router, probes), "id bigint, vector array<double>, parts array<int>").select(
+        _routing(router, router.probes if router else 1), "id bigint, vector array<double>, parts array<int>").select(
         "id", "vector", F.explode("parts").alias("part")), "asked")
     # a row per part: how many blocks of vectors and tiles of queries it is dealt in
     sizes = base.groupBy("part").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")).join(
