@@ -170,7 +170,8 @@ def _meeting(bits: int, limit: int):
         new[1:] = (chain[1:] != chain[:-1]) | (mask[1:] != mask[:-1]) | (value[1:] != value[:-1])
         group = np.cumsum(new) - 1
         sizes = np.bincount(group)[group]
-        big = (sizes > limit) & (np.bitwise_count(mask.view(np.uint64)) < 64)
+        # with no more than ``bits`` bits free a group is small, and all its members are near
+        big = (sizes > limit) & (64 - np.bitwise_count(mask.view(np.uint64)).astype(int) > bits)
         if not closed:
             big |= group == group[-1]
         some = (sizes > 1) & ~big
@@ -199,7 +200,7 @@ def _meeting(bits: int, limit: int):
                 continue
             rows = [np.concatenate(c) for c in zip(*held)]
             last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1]) & (rows[2] == rows[2][-1])
-            if last.sum() > limit:
+            if last.sum() > max(limit, 1 << bits):
                 streaming = (rows[0][-1], rows[1][-1], rows[2][-1])
                 yield from settle(rows, False)
                 held = []
