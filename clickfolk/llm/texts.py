@@ -11,7 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 NULL_ID = -(1 << 63)  # stands for a null id inside a task: it sorts before every other id
 
 
@@ -51,7 +51,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of each word, remembered up to a number of words; the limit only costs time."""
 
-    LIMIT = 1_000_000
+    LIMIT = 400_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
