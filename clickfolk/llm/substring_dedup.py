@@ -336,9 +336,8 @@ def _without(text: str | None, gone: np.ndarray, words: list[bytes]) -> str:
     return b"".join(out).decode("utf-8", "surrogatepass")
 
 
-def _cutting(window: int, joined: bool, carried: pa.DataType | None):
-    fields = [("doc", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())]
-    schema = pa.schema(fields + ([("carried", carried)] if carried else []))
+def _cutting(window: int, joined: bool, carry: bool):
+    names_out = ["doc", "n_words", "n_removed", "kept", *(["carried"] if carry else [])]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, notes in _noted(batches):
@@ -358,9 +357,9 @@ def _cutting(window: int, joined: bool, carried: pa.DataType | None):
                     kept.append(_without(text, gone, words) if removed[-1] else text)
             columns = [batch.column("doc"), pa.array(total, pa.int64()), pa.array(removed, pa.int64()),
                        pa.array(kept, pa.string())]
-            if carried:
-                columns.append(batch.column("carried").cast(carried))
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+            if carry:
+                columns.append(batch.column("carried"))
+            yield pa.RecordBatch.from_arrays(columns, names_out)
 
     return run
 
@@ -403,13 +402,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             _answering(length == window), _NOTE_SQL)
 
     kind = "doc bigint, n_words bigint, n_removed bigint, kept string"
-    carried = None
     if carry:
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        carried = to_arrow_type(base.schema["carried"].dataType)
         kind += f", carried {base.schema['carried'].dataType.simpleString()}"
-    out = _delivered(base, notes).mapInArrow(_cutting(window, joined, carried), kind)
+    out = _delivered(base, notes).mapInArrow(_cutting(window, joined, carry), kind)
     return out.withColumnRenamed("doc", id_col)
 
 

