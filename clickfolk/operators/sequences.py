@@ -234,8 +234,12 @@ def decode_tuples(entries: DataFrame, columns: Sequence[str], dictionary: DataFr
 
 
 def host_token_features(entries: DataFrame, features: DataFrame, vector_dims: dict[str, int]) -> DataFrame:
-    """Feature record of each host token, with presence flags and zeros for missing vectors."""
-    joined = entries.join(features.withColumnRenamed("host", "url_host"), "url_host")
+    """Feature record of each host token, with presence flags and zeros for missing vectors.
+
+    Every token has a row: events refer to it. A host without features, and the null host, is not ``known``.
+    """
+    known = features.withColumnRenamed("host", "url_host").withColumn("known", F.lit(True))
+    joined = entries.join(known, "url_host", "left").withColumn("known", F.coalesce("known", F.lit(False)))
     flagged = presence_flags(joined, [c for c in features.columns if c != "host"])
     for column, dim in vector_dims.items():
         flagged = zero_fill_vectors(flagged, column, dim)

@@ -50,18 +50,17 @@ def train_and_score(spark: SparkSession, out: str, to_score: DataFrame) -> DataF
     """Fit on the train split, report on the test split, score ``to_score``; returns the report."""
     clicks = spark.read.parquet(f"{out}/clicks")
     train, test = spark.read.parquet(f"{out}/train"), spark.read.parquet(f"{out}/test")
-    profile = spark.read.parquet(f"{out}/host_profile")
-    labelled = aggregates.labelled_clicks(clicks, train)
-    categories = {
-        c: materialise(scoring.category_profile(labelled, c), f"profile-{c}") for c in scoring.CATEGORY_COLUMNS
-    }
-    features = materialise(scoring.user_vectors(clicks, profile, categories), "user-vectors")
-    models = scoring.fit_demographics(sequences.attach_labels(features.join(train.select("user_id"), "user_id"), train))
+    statistics, categories = scoring.train_statistics(clicks, train)
+
+    def features(users: DataFrame) -> DataFrame:
+        return scoring.labelled_vectors(clicks, statistics, categories, users, train)
+
+    models = scoring.fit_demographics(sequences.attach_labels(materialise(features(train), "train-vectors"), train))
     models.save(f"{out}/models")
-    scored = scoring.score_demographics(features.join(to_score.select("user_id"), "user_id"), models)
+    scored = scoring.score_demographics(features(to_score), models)
     writers.write_artifact(metrics.full_results(scored), f"{out}/results")
     writers.write_csv(metrics.submission(spark.read.parquet(f"{out}/results")), f"{out}/submission")
-    held_out = sequences.attach_labels(features.join(test.select("user_id"), "user_id"), test)
+    held_out = sequences.attach_labels(features(test), test)
     return scoring.evaluate(scoring.score_demographics(held_out, models))
 
 

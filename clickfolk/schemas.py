@@ -73,5 +73,6 @@ def _cast(name: str, found: str, want: str):
     column = F.col(name)
     if want == "bigint" and found in ("double", "float"):
         # whole numbers stored as floats because of missing values: NaN means missing
-        column = F.when(~F.isnan(column), column)
+        fraction = F.raise_error(F.concat(F.lit(f"{name} must be whole, found "), column.cast("string"))).cast(found)
+        column = F.when(F.isnan(column), F.lit(None)).when(column != F.floor(column), fraction).otherwise(column)
     return column.cast(want).alias(name)
