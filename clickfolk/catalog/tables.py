@@ -51,7 +51,7 @@ def _submissions(spark: SparkSession, d: str) -> DataFrame:
 
 def _site_docs(spark: SparkSession, d: str) -> DataFrame:
     path = fresh_path(spark, "site-docs")
-    docs = D.page_record(views.table(spark, d, "pages"))
+    docs = D.site_docs(views.table(spark, d, "pages"))
     one = docs.select("host", F.to_json(F.struct("title", "description", "html"), {"ignoreNullFields": "false"}).alias("value"))
     one.write.partitionBy("host").text(path)
     return A.read_site_docs(spark, path, "*.txt")

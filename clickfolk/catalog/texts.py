@@ -51,29 +51,23 @@ def prose_sql(x: str) -> str:
     return f"coalesce(regexp_replace({runs_sql(lines)}, '^\\s+|\\s+$', '', 'g'), '{E.MISSING_TEXT}')"
 
 
-def _entities(x: str) -> str:
-    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\xa0"), ("amp", "&")):
-        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"  # the semicolon may be missing
-    return x
-
-
 _BODY = "regexp_extract(html, '(?s)<body[^>]*>(.*)$', 1)"
 _MARKUP = r"(?s)<!--.*?-->|<[^>]*>"
-BODY_TEXT_SQL = _entities(f"regexp_replace({_BODY}, '{_MARKUP}', '', 'g')")
+BODY_TEXT_SQL = views.entities_sql(f"regexp_replace({_BODY}, '{_MARKUP}', '', 'g')")
 VISIBLE_SQL = (
-    f"array_to_string(list_transform(list_filter(string_split({_entities(f'''regexp_replace({_BODY}, '{_MARKUP}', chr(1), 'g')''')}"
+    f"array_to_string(list_transform(list_filter(string_split({views.entities_sql(f'''regexp_replace({_BODY}, '{_MARKUP}', chr(1), 'g')''')}"
     f", chr(1)), lambda s: s <> ''), lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), ' ')"
 )
 
 
 def _corpus(spark: SparkSession, d: str) -> DataFrame:
     counts = H.host_counts(views.clicks(spark, d))
-    return D.corpus_lines(D.page_record(views.table(spark, d, "pages")), whitelist(spark, d), counts)
+    return D.build_corpus(D.site_docs(views.table(spark, d, "pages")), whitelist(spark, d), counts)
 
 
 def _corpus_sql() -> str:
     lines = [("host", 0), (tokens_sql("title"), 1), (tokens_sql(VISIBLE_SQL), 3)]
-    union = " UNION ALL ".join(f"SELECT n_rows, host, {no} AS line_no, {x} AS line FROM chosen" for x, no in lines)
+    union = " UNION ALL ".join(f"SELECT {x} AS line FROM chosen" for x, _ in lines)
     chosen = WHITELIST_SQL + """,
 chosen AS (SELECT n_rows, host, title, html FROM page_docs JOIN (
   SELECT url_host AS host, count(*) AS n_rows FROM clicks GROUP BY url_host) USING (host)
@@ -112,7 +106,7 @@ QUERIES = {
     ),
     "d3_page_record": Query(
         lambda s, d: D.page_record(views.table(s, d, "pages")),
-        views.with_views("SELECT host, title, CAST(NULL AS VARCHAR) AS description, html FROM page_docs", "page_docs"),
+        f"SELECT page_id, {views.HOST_SQL} AS host, {views.TITLE_SQL} AS title, CAST(NULL AS VARCHAR) AS description, html FROM pages",
     ),
     "d4_visible_text": Query(
         lambda s, d: views.table(s, d, "pages").select("page_id", X.visible_text(F.col("html")).alias("text")),

@@ -45,7 +45,7 @@ _VECTOR_SQL = "WITH " + _UNITS + " SELECT event_id, " + ", ".join(
 
 
 def _page_hosts(spark: SparkSession, d: str) -> DataFrame:
-    return D.page_record(views.table(spark, d, "pages")).select("host", "title", F.length("html").alias("n"))
+    return D.site_docs(views.table(spark, d, "pages")).select("host", "title", F.length("html").alias("n"))
 
 
 def feature_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -85,7 +85,7 @@ def _host_vectors(spark: SparkSession, d: str) -> DataFrame:
     from clickfolk.functions.html import visible_text
     from clickfolk.functions.text import normalise_tokens
 
-    docs = D.page_record(views.table(spark, d, "pages"))
+    docs = D.site_docs(views.table(spark, d, "pages"))
     lines = docs.select(F.concat_ws(" ", F.regexp_replace("host", "[.-]", " "),
                                     normalise_tokens(visible_text(F.col("html")))).alias("line"))
     words = V.train_word_vectors(lines, "line", dim=16, min_count=5, seed=1)

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickfolk.functions.html import page_head
 from clickfolk.operators.aggregates import frequency_dictionary, merge_duplicates
 from clickfolk.operators.cleaning import clean_users
 from clickfolk.operators.pages import host_of
@@ -117,7 +118,7 @@ def _titled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     title to the host without the prefix."""
     pages = table(spark, sf_dir, "pages").select(
         host_of(F.col("url")).alias("host"), "page_id",
-        F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"),
+        page_head(F.col("html"))["title"].alias("title"),
     )
     bare = F.regexp_extract("host", r"^(?:m|www|blog)\.(.+)$", 1)
     lent = pages.where((bare != "") & (F.col("page_id") % 2 == 0)).withColumn("host", bare)
@@ -136,6 +137,14 @@ def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- the same as SQL for the oracle
 
+def entities_sql(x: str) -> str:
+    for name, char in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("lt", "<"), ("gt", ">"), ("nbsp", "\xa0"), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name};?', '{char}', 'g')"  # the semicolon may be missing
+    return x
+
+
+TITLE_SQL = ("trim(regexp_replace(" + entities_sql("regexp_extract(html, '(?i)<title[^>]*>([^<]*)</title>', 1)")
+             + ", '[\\s\xa0]+', ' ', 'g'))")
 HOST_SQL = "regexp_extract(url, '^https?://([^/?#:]+)', 1)"
 
 _CLICKS = f"""clicks AS MATERIALIZED (
@@ -208,11 +217,11 @@ _SUBMISSIONS = """submissions AS (
 
 _DOCS = f"""page_docs AS (
   SELECT host, arg_min(title, page_id) AS title, arg_min(html, page_id) AS html FROM (
-    SELECT {HOST_SQL} AS host, page_id, html, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages)
+    SELECT {HOST_SQL} AS host, page_id, html, {TITLE_SQL} AS title FROM pages)
   GROUP BY host)"""
 
 _TITLED = f"""p AS (
-  SELECT {HOST_SQL} AS host, page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages),
+  SELECT {HOST_SQL} AS host, page_id, {TITLE_SQL} AS title FROM pages),
 titled AS (
   SELECT host, arg_min(title, page_id) AS title FROM (
     SELECT host, page_id, title FROM p

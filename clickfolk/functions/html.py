@@ -117,6 +117,27 @@ def meta_description_of(html: str | None) -> str | None:
         return None
 
 
+def title_of(html: str | None) -> str | None:
+    """Text of the first title element as a browser shows it: decoded, blanks collapsed; '' if there is none."""
+    if html is None:
+        return None
+    try:
+        nodes = parse_page(html).nodes
+    except Exception:
+        return None
+    return next((" ".join(text.split()) for text, parent, _ in nodes if parent == "title"), "")
+
+
+@F.pandas_udf(T.StructType([T.StructField(n, T.StringType()) for n in ("title", "description")]))
+def _head(html: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame({"title": html.map(title_of), "description": html.map(meta_description_of)}, dtype=object)
+
+
+def page_head(html: Column) -> Column:
+    """``title, description`` of a page, from one batch to the parser."""
+    return _head(html)
+
+
 @F.pandas_udf(T.StringType())
 def _visible_text(html: pd.Series) -> pd.Series:
     return html.map(visible_text_of)

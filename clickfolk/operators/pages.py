@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickfolk.functions.html import meta_description, visible_text
+from clickfolk.functions.html import page_head, visible_text
 from clickfolk.functions.text import depunycode, normalise_tokens
 from clickfolk.operators.cleaning import only_whitelisted
 
 HOST_OF_URL = r"^https?://([^/?#:]+)"
-TITLE_OF_HTML = r"<title>([^<]*)</title>"
 
 
 def pending_hosts(hosts: DataFrame, done: DataFrame) -> DataFrame:
@@ -27,17 +26,25 @@ def host_of(url: Column) -> Column:
     return F.regexp_extract(url, HOST_OF_URL, 1)
 
 
-def title_of_html(html: Column) -> Column:
-    return F.regexp_extract(html, TITLE_OF_HTML, 1)
+def page_record(pages: DataFrame) -> DataFrame:
+    """``page_id, host, title, description, html`` of every page; the title as a browser shows it."""
+    parsed = pages.select("page_id", host_of(F.col("url")).alias("host"), "html", page_head(F.col("html")).alias("_head"))
+    return parsed.select("page_id", "host", "_head.title", "_head.description", "html")
 
 
-def page_record(pages: DataFrame) -> DataFrame:
-    """``host, title, description, html`` per host; of several pages the one with the lowest id counts."""
-    first = pages.groupBy(host_of(F.col("url")).alias("host")).agg(F.min_by("html", "page_id").alias("html"))
-    return first.select(
-        "host", title_of_html(F.col("html")).alias("title"), meta_description(F.col("html")).alias("description"),
-        "html",
-    )
+def first_pages(pages: DataFrame) -> DataFrame:
+    """One page per host, the layout of stored site documents: that with the lowest id.
+
+    The id is found on narrow columns, then the page is fetched. A page stored twice counts once.
+    """
+    first = pages.groupBy(host_of(F.col("url")).alias("_host")).agg(F.min("page_id").alias("page_id"))
+    found = pages.join(first.select("page_id"), "page_id", "left_semi")
+    return found.groupBy("page_id", "url").agg(F.max("html").alias("html"))
+
+
+def site_docs(pages: DataFrame) -> DataFrame:
+    """``host, title, description, html``, one document per host."""
+    return page_record(first_pages(pages)).drop("page_id")
 
 
 def corpus_lines(docs: DataFrame, whitelist: DataFrame, counts: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from conftest import SF_DIR
 
 from clickfolk.catalog import views
-from clickfolk.operators.pages import host_of, page_record
+from clickfolk.operators.pages import host_of, site_docs
 from clickfolk.plans import flows
 from clickfolk.sources import readers, writers
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ def test_flows(spark, tmp_path):
         (tmp_path / "rules" / f"{name}.txt").write_text(ddl.replace(" string", "").replace(", ", ",") + "\n")
     (tmp_path / "rules" / "prefix_funky.txt").write_text("prefix\nwww\n")
     pages = views.table(spark, SF_DIR, "pages")
-    docs = page_record(pages)
+    docs = site_docs(pages)
     whitelist = pages.select(host_of(F.col("url")).alias("host")).distinct()
     out = f"{root}/out"
 
