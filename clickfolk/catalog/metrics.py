@@ -19,8 +19,8 @@ def _decoded(spark: SparkSession, d: str) -> DataFrame:
 _SOFTMAX = [f"age_softmax_{i}" for i in range(6)]
 
 
-def _rounded(df: DataFrame) -> DataFrame:
-    return df.select("user_id", "pred_age", r6("pred_male", "pred_male"), *[r6(c, c) for c in _SOFTMAX])
+def _rounded(df: DataFrame, *more) -> DataFrame:
+    return df.select("user_id", "pred_age", r6("pred_male", "pred_male"), *[r6(c, c) for c in _SOFTMAX], *more)
 
 
 _TOP = "greatest(a0, a1, a2, a3, a4, a5)"
@@ -35,7 +35,8 @@ _PT = f"({_P} * target_male + (1 - {_P}) * (1 - target_male))"
 _BCE = "(greatest(male_logit, 0) - male_logit * target_male + ln(1 + exp(-abs(male_logit))))"
 _MALE = f"avg({_BCE} * (1 - {_PT}) * 2)"
 _PICK = "CASE target_age " + " ".join(f"WHEN {i} THEN a{i}" for i in range(6)) + " END"
-_AGE = (f"avg(CASE WHEN target_age = -100 THEN 0 ELSE (1 - exp({_PICK} - {_LSE})) * -({_PICK} - {_LSE}) END)")
+_AGE_ROW = f"CASE WHEN target_age = -100 THEN 0 ELSE (1 - exp({_PICK} - {_LSE})) * -({_PICK} - {_LSE}) END"
+_AGE = f"avg({_AGE_ROW})"
 
 _AUC_SQL = """SELECT round((sum(r) FILTER (target = 1) - np * (np + 1) / 2) / (np * nn), 6) AS auc FROM (
   SELECT target, rank() OVER (ORDER BY pred) + (count(*) OVER (PARTITION BY pred) - 1) / 2.0::DOUBLE AS r,
@@ -79,7 +80,10 @@ QUERIES = {
             f"SELECT user_id, round({_P}, 6) AS is_male, CAST({_ARGMAX} AS INTEGER) + 1 AS age FROM logits", "logits"),
     ),
     "j3_full_results": Query(
-        lambda s, d: _rounded(M.full_results(_decoded(s, d))), views.with_views(_PRED_SQL, "logits")),
+        lambda s, d: _rounded(M.full_results(_decoded(s, d)), "target_male", "target_age", r6("loss_male", "loss_male"),
+                              r6("loss_age", "loss_age")),
+        views.with_views(_PRED_SQL.replace(" FROM logits", f", target_male, target_age, round({_BCE} * (1 - {_PT}) * 2, 6) AS "
+                                           f"loss_male, round({_AGE_ROW}, 6) AS loss_age FROM logits"), "logits")),
     "j4_mean_metric": Query(
         lambda s, d: M.mean_metric(M.host_losses(_host_predictions(s, d)), ["loss_male", "loss_age"]).select(
             r6("loss_male", "loss_male"), r6("loss_age", "loss_age")),

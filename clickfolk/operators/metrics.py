@@ -54,9 +54,16 @@ def submission(predictions: DataFrame) -> DataFrame:
 
 
 def full_results(predictions: DataFrame) -> DataFrame:
-    return predictions.select(
-        "user_id", "pred_male", "pred_age", *[f"age_softmax_{i}" for i in range(AGE_GROUPS)]
-    )
+    """Prediction rows; where targets are known they and the losses of the row stand beside."""
+    columns = ["user_id", "pred_male", "pred_age", *[f"age_softmax_{i}" for i in range(AGE_GROUPS)]]
+    have = set(predictions.columns)
+    if not {"target_male", "target_age"} <= have:
+        return predictions.select(*columns)
+    losses = []
+    if {"male_logit", "age_logits"} <= have:
+        losses = [binary_focal(F.col("male_logit"), F.col("target_male")).alias("loss_male"),
+                  focal(F.col("age_logits"), F.col("target_age")).alias("loss_age")]
+    return predictions.select(*columns, "target_male", "target_age", *losses)
 
 
 # ---------------------------------------------------------------- losses
