@@ -123,7 +123,7 @@ def _rules(least: int):
 
 
 def repetition_rules(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 10,
-                     most_covered: float = 0.15, longest: int = 64, fewest_words: int = 10,
+                     most_covered: float = 0.2, longest: int = 64, fewest_words: int = 10,
                      most_repeated: int = 20) -> DataFrame:
     """Counts and verdict of every row.
 
