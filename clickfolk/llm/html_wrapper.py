@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickfolk.llm.texts import slices, travels
+from clickfolk.session import materialise
 
 travels(__name__)
 
@@ -331,54 +333,58 @@ def host_of(url: str) -> F.Column:
 
 def _partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wrappers: dict[str, list] = {}
+    counts: Counter = Counter()
     for batch in slices(batches, "html", 4 << 20):
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             if page:
                 shape = _shape(parse(page))
                 wrappers[host] = align(wrappers[host], shape) if host in wrappers else shape
+                counts[host] += 1
         if len(wrappers) > 5000:
-            yield _as_rows(wrappers)
-            wrappers = {}
+            yield _as_rows(wrappers, counts)
+            wrappers, counts = {}, Counter()
     if wrappers:
-        yield _as_rows(wrappers)
+        yield _as_rows(wrappers, counts)
 
 
-def _as_rows(wrappers: dict[str, list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(wrappers)), pa.array([json.dumps(w) for w in wrappers.values()])],
-                                      ["host", "wrapper"])
+def _as_rows(wrappers: dict[str, list], counts: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(wrappers)), pa.array([json.dumps(w) for w in wrappers.values()]),
+         pa.array([counts[h] for h in wrappers], pa.int64())], ["host", "wrapper", "n_pages"])
 
 
 def _whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by host: one wrapper a host, with what reading a page needs."""
-    host, wrapper, out = None, None, []
+    host, wrapper, pages, out = None, None, 0, []
 
     def done() -> dict:
         path = main_labels(wrapper)
-        return {"host": host, "wrapper": json.dumps(wrapper), "path": path, "constant": constant_texts(wrapper, path)}
+        return {"host": host, "wrapper": json.dumps(wrapper), "path": path, "constant": constant_texts(wrapper, path),
+                "n_pages": pages}
 
     for batch in batches:
-        for h, w in zip(batch.column("host").to_pylist(), batch.column("wrapper").to_pylist()):
+        for h, w, n in zip(*[batch.column(c).to_pylist() for c in ("host", "wrapper", "n_pages")]):
             shape = json.loads(w)
             if wrapper is not None and h == host:
-                wrapper = align(wrapper, shape)
+                wrapper, pages = align(wrapper, shape), pages + n
                 continue
             if wrapper is not None:
                 out.append(done())
-            host, wrapper = h, shape
+            host, wrapper, pages = h, shape, n
     if wrapper is not None:
         out.append(done())
     if out:
         yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
             ("host", pa.string()), ("wrapper", pa.string()), ("path", pa.list_(pa.string())),
-            ("constant", pa.list_(pa.string()))]))
+            ("constant", pa.list_(pa.string())), ("n_pages", pa.int64())]))
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``host, wrapper, path, constant`` of every host with a page that is not empty; a null url is host ''."""
+    """``host, wrapper, path, constant, n_pages`` of every host with a page that is not empty; a null url is host ''."""
     partial = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).mapInArrow(
-        _partial, "host string, wrapper string")
+        _partial, "host string, wrapper string, n_pages bigint")
     return partial.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(
-        _whole, "host string, wrapper string, path array<string>, constant array<string>")
+        _whole, "host string, wrapper string, path array<string>, constant array<string>, n_pages bigint")
 
 
 def _reading(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,10 +402,19 @@ def extract_articles(pages: DataFrame, wrappers: DataFrame | None = None, *, id_
     Character references are decoded, white space inside a block becomes one blank. A null or empty page has no text;
     equal rows give equal texts; a host with one page is its own wrapper. An empty table gives an empty result.
     """
-    wrappers = infer_wrappers(pages, url_col, html_col) if wrappers is None else wrappers
+    wrappers = materialise(infer_wrappers(pages, url_col, html_col), "wrappers") if wrappers is None else wrappers
     narrow = pages.select(F.col(id_col).cast("bigint").alias("page"), F.col(url_col).alias("url"),
                           F.col(html_col).alias("html"), host_of(url_col).alias("host"))
-    joined = narrow.join(wrappers.select("host", "path", "constant"), "host", "left").select(
-        "page", "url", "html", "path", "constant")
-    return joined.mapInArrow(_reading, "page bigint, url string, text string").withColumnsRenamed(
+    needed = wrappers.select("host", "path", "constant", "n_pages")
+    total = needed.agg(F.coalesce(F.sum("n_pages"), F.lit(0))).first()[0]
+    # hosts with more than a thousandth of all pages are fewer than a thousand: they are broadcast, and their pages
+    # are spread over keys of their own instead of meeting in one task
+    large = needed.where(F.col("n_pages") * 1000 > total).select("host", F.struct("path", "constant").alias("_large"))
+    rest = needed.where(F.col("n_pages") * 1000 <= total).select(
+        F.col("host").alias("_key"), F.struct("path", "constant").alias("_rest"))
+    spread = F.concat(F.lit("\n"), F.pmod(F.xxhash64("page", "url"), F.lit(100_000)).cast("string"))
+    keyed = narrow.join(F.broadcast(large), "host", "left").withColumn(
+        "_key", F.when(F.col("_large").isNull(), F.col("host")).otherwise(spread))
+    joined = keyed.join(rest, "_key", "left").select("page", "url", "html", F.coalesce("_large", "_rest").alias("w"))
+    return joined.select("page", "url", "html", "w.path", "w.constant").mapInArrow(_reading, "page bigint, url string, text string").withColumnsRenamed(
         {"page": id_col, "url": url_col})

@@ -17,6 +17,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def _row(words: Counter, grams: dict[str, int], seen: dict[str, tuple[int, ...]]
         own = seen.get(word)
         if own is None:
             own = tuple(grams[g] for g in _grams(word) if g in grams)
-            if len(seen) > 500_000:
+            if len(seen) > 200_000:
                 seen.clear()
             seen[word] = own
         for i in own:
@@ -195,10 +196,19 @@ def graded(rows: DataFrame, *, text_col: str = "text", label_col: str = "label")
     return known.select("text", F.when(F.col("label") == 0, 0).when(F.col("share") <= middle, 1).otherwise(2).alias("grade"))
 
 
-def _scoring(model: Model, more: list[str]):
+def _scoring(model: Model, more: list[str], inside: str | None = None):
+    """``inside``: the text is this field of the struct ``_row``, so that it is sent once."""
+    def with_text(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if inside is None or not batch.num_rows:
+                yield batch
+            else:
+                row = batch.column("_row")
+                yield pa.RecordBatch.from_arrays([row, pa.compute.struct_field(row, [inside])], ["_row", "_text"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, tuple[int, ...]] = {}
-        for batch in slices(batches, "_text"):
+        for batch in slices(with_text(batches), "_text"):
             above = model.above([_row(_counted(t), model.grams, seen) for t in batch.column("_text").to_pylist()])
             chances = np.concatenate([np.ones((len(above), 1)), above, np.zeros((len(above), 1))], axis=1)
             yield pa.RecordBatch.from_arrays(
@@ -227,6 +237,5 @@ def without_toxic(docs: DataFrame, model: Model, *, text_col: str = "text") -> D
     schema = T.StructType([T.StructField("_row", docs.select(F.struct("*").alias("r")).schema["r"].dataType),
                            T.StructField("expected_severity", T.DoubleType()),
                            T.StructField("severity_grade", T.IntegerType()), T.StructField("toxic", T.BooleanType())])
-    scored = docs.select(F.struct("*").alias("_row"), F.col(text_col).alias("_text")).mapInArrow(
-        _scoring(model, ["_row"]), schema)
+    scored = docs.select(F.struct("*").alias("_row")).mapInArrow(_scoring(model, ["_row"], text_col), schema)
     return scored.where("not toxic").select("_row.*")
