@@ -46,10 +46,7 @@ def _entries(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def _with_tokens(spark: SparkSession, d: str) -> DataFrame:
     log = views.events(spark, d)
-    tokens = log
-    for name, columns in GROUPS.items():
-        tokens = I.tuple_tokens(tokens, I.tuple_dictionary(log, columns, name), columns, name)
-    return tokens
+    return I.all_tokens(log, {name: I.tuple_dictionary(log, columns, name) for name, columns in GROUPS.items()}, GROUPS)
 
 
 def _sequences(spark: SparkSession, d: str) -> I.UserSequences:

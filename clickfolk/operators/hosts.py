@@ -76,7 +76,8 @@ def replace_titles(hosts: DataFrame, rules: list[dict], docs: DataFrame, column:
     target_titles = {r["host"]: r["title"] for r in title_of(targets, docs).collect()}
     steps = [{**r, "next_title": target_titles.get(r["replace_to"])} for r in rules]
     # a title that no rule names cannot change anything, so only these documents are joined
-    relevant = docs.where(F.col("title").isin(titles)).select(F.col("host").alias("_host"), F.col("title").alias("_title"))
+    # (one title per host, so that a document stored twice does not double the host)
+    relevant = docs.where(F.col("title").isin(titles)).groupBy(F.col("host").alias("_host")).agg(F.min("title").alias("_title"))
 
     def step(state: Column, rule: Column) -> Column:
         hit = F.coalesce(state["title"] == rule["title"], F.lit(False))

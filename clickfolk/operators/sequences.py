@@ -205,6 +205,15 @@ def tuple_tokens(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], n
     return null_safe_join(df, dictionary.select("user_id", *columns, name), ["user_id", *columns])
 
 
+def all_tokens(events: DataFrame, entries: dict[str, DataFrame], groups: dict[str, Sequence[str]]) -> DataFrame:
+    """Events with every token of ``groups``: the codes meet on the distinct tuples of a user, the log is joined once."""
+    columns = list(dict.fromkeys(c for own in groups.values() for c in own))
+    combined = events.select("user_id", *columns).distinct()
+    for name, own in groups.items():
+        combined = tuple_tokens(combined, entries[name], own, name)
+    return null_safe_join(events, combined, ["user_id", *columns])
+
+
 def encode_column(df: DataFrame, dictionary: DataFrame, column: str, strict: bool = True) -> DataFrame:
     """Add ``<column>_code`` from a frequency dictionary; an unknown value is an error, or null if not strict.
 
@@ -289,10 +298,7 @@ def user_sequences(events: DataFrame, dictionary: DataFrame, features: DataFrame
         "token_url_host": schemas.HOST_COLUMNS,
     }
     entries = {name: tuple_dictionary(events, columns, name) for name, columns in groups.items()}
-    tokens = event_index(events, cells)
-    for name, columns in groups.items():
-        tokens = tuple_tokens(tokens, entries[name], columns, name)
-    tokens = tokens.withColumn("requests", scale_requests(F.col("request_cnt")))
+    tokens = all_tokens(event_index(events, cells), entries, groups).withColumn("requests", scale_requests(F.col("request_cnt")))
     header = cells.groupBy("user_id").agg(F.sum("n_events").alias("event_count"))
     return UserSequences(
         header=attach_labels(header, users) if users is not None else header,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickfolk.functions.arrays import let
@@ -19,14 +19,17 @@ FIELDS = ["title", "description", "body", "domain"]
 
 
 def train_word_vectors(corpus: DataFrame, column: str = "line", dim: int = 300, min_count: int = 5,
-                       seed: int = 0, partitions: int = 1, iterations: int = 1) -> DataFrame:
+                       seed: int = 0, partitions: int | None = None, iterations: int = 1,
+                       max_words: int = 1_000_000) -> DataFrame:
     """``word, vector`` by skip-gram over the corpus lines; words seen less than ``min_count`` get none.
 
-    MLlib holds vocabulary x dim on the driver while training, so ``min_count`` is what bounds it.
+    MLlib holds vocabulary x dim on the driver while training: where more than ``max_words`` words pass, the rarest
+    counts are left out until they fit. Training runs in ``partitions`` tasks, as many as a shuffle has by default.
     """
     words = corpus.select(F.split(F.trim(column), " +").alias("words"))
+    partitions = partitions or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     model = Word2Vec(
-        vectorSize=dim, minCount=min_count, seed=seed, numPartitions=partitions, maxIter=iterations,
+        vectorSize=dim, minCount=least_count(words, min_count, max_words), seed=seed, numPartitions=partitions, maxIter=iterations,
         inputCol="words", outputCol="v",
     ).fit(words)
     return model.getVectors().select(
@@ -34,6 +37,22 @@ def train_word_vectors(corpus: DataFrame, column: str = "line", dim: int = 300,
     )
 
 
+def least_count(words: DataFrame, min_count: int, max_words: int) -> int:
+    """The smallest count from ``min_count`` up that at most ``max_words`` words reach."""
+    counts = words.select(F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    by_count = counts.where(F.col("n") >= min_count).groupBy("n").agg(F.count("*").alias("words"))
+    # one row per distinct count, far fewer than words
+    down = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"))
+    fits = by_count.withColumn("_total", F.sum("words").over(down)).where(F.col("_total") <= max_words)
+    row = by_count.agg(F.max("n").alias("most"), F.min("n").alias("least")).first()
+    if row["most"] is None:
+        return min_count
+    fitting = fits.agg(F.min("n").alias("n")).first()["n"]
+    if fitting == row["least"]:
+        return min_count
+    return (fitting or row["most"] + 1)
+
+
 def unit(vector: Column) -> Column:
     """Vector divided by its length; a zero vector gives null."""
     square = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
