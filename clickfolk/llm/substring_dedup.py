@@ -34,14 +34,14 @@ _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 # one entry of a packed array: hash within its bucket, second hash (last level), document id, number among
 # rows with that id, home bucket of the document, first window of the run, windows in the run, known to repeat
 _ENTRY = [("hash", "<u8"), ("second", "<u4"), ("doc", "<i8"), ("copy", "<u4"), ("home", "<u4"), ("at", "<u4"),
-          ("run", "<u4"), ("many", "u1")]
+          ("run", "<u4"), ("many", "u1"), ("tag", "<i4")]
 _NAMES = [name for name, _ in _ENTRY]
 _STEPS = ("doc", "at")
-_ASK = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), ("tag", pa.int32()),
-                  *[(name, pa.binary()) for name in _NAMES]])
-_NOTE = pa.schema([("home", pa.int32()), ("tag", pa.int32()), *[(n, pa.binary()) for n in ("doc", "copy", "at", "run")]])
-_ASK_SQL = "bucket int, known boolean, tag int, " + ", ".join(f"{n} binary" for n in _NAMES)
-_NOTE_SQL = "home int, tag int, doc binary, copy binary, at binary, run binary"
+_TOLD = ["doc", "copy", "at", "run", "tag"]
+_ASK = pa.schema([("bucket", pa.int32()), ("known", pa.bool_()), *[(name, pa.binary()) for name in _NAMES]])
+_NOTE = pa.schema([("home", pa.int32()), *[(n, pa.binary()) for n in _TOLD]])
+_ASK_SQL = "bucket int, known boolean, " + ", ".join(f"{n} binary" for n in _NAMES)
+_NOTE_SQL = "home int, " + ", ".join(f"{n} binary" for n in _TOLD)
 
 
 def _window_hashes(words: np.ndarray, length: int, start: int, base: np.uint64) -> np.ndarray:
@@ -99,7 +99,7 @@ def _entries(chunk: _Chunk, length: int, start: int, window: int, wanted: dict |
     begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     words = np.concatenate(chunk.words)
     if len(words) < window:
-        return np.empty(0, _ENTRY + [("tag", "<i4")])
+        return np.empty(0, _ENTRY)
     inner = _window_hashes(words, length, start, _BASE)
     hashes = _least_inside(inner, window - length + 1)
     inside = np.zeros(len(hashes), bool)
@@ -125,7 +125,7 @@ def _entries(chunk: _Chunk, length: int, start: int, window: int, wanted: dict |
         many = _twice_inside(inner, at, runs + window - length, hashes[at])
     else:
         runs, many = np.ones(len(at), np.int64), np.zeros(len(at), bool)
-    out = np.zeros(len(at), _ENTRY + [("tag", "<i4")])
+    out = np.zeros(len(at), _ENTRY)
     docs = np.array(chunk.docs, np.int64).reshape(-1, 3)
     out["hash"], out["at"], out["run"], out["tag"] = hashes[at], at - begins[row], runs, tags[at]
     out["many"] = many
@@ -146,16 +146,14 @@ def _packed(schema: pa.Schema, key: int, more: list, rows: np.ndarray) -> pa.Rec
     return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, schema)], schema=schema)
 
 
-def _unpacked(rows: list[dict], names: list[str], tag: bool = False) -> np.ndarray:
+def _unpacked(rows: list[dict], names: list[str]) -> np.ndarray:
     kinds = dict(_ENTRY)
     columns = {n: np.concatenate([
         np.cumsum(np.frombuffer(r[n], kinds[n]), dtype=kinds[n]) if n in _STEPS else np.frombuffer(r[n], kinds[n])
         for r in rows]) for n in names}
-    out = np.empty(len(columns["doc"]), [(n, kinds[n]) for n in names] + ([("tag", "<i4")] if tag else []))
+    out = np.empty(len(columns["doc"]), [(n, kinds[n]) for n in names])
     for name in names:
         out[name] = columns[name]
-    if tag:
-        out["tag"] = np.concatenate([np.full(len(r["doc"]) // 8, r["tag"], np.int32) for r in rows])
     return out
 
 
@@ -194,15 +192,16 @@ def _asking(length: int, start: int, window: int, buckets: int):
             known[order] = ~new
             rows["many"][order] = ((np.bincount(group) > 1) | (np.bincount(group, rows["many"][order]) > 0))[group]
             rows["hash"] = (rows["hash"] // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
+        rows["tag"] = bucket
         asks, told = np.flatnonzero(~known), np.flatnonzero(known)
         for b, at in grouped(bucket[asks]):
-            yield _packed(_ASK, b, [False, b], rows[asks[at]])
-        for tag, at in grouped(bucket[told]):
-            for home, inner in grouped(rows["home"][told[at]]):
-                sent = rows[told[at][inner]]
-                sent = _joined(sent)
-                sent["hash"], sent["second"] = 0, 0
-                yield _packed(_ASK, home % buckets, [True, tag], sent)
+            sent = rows[asks[at]]
+            sent["tag"] = 0  # the row's bucket says it
+            yield _packed(_ASK, b, [False], sent)
+        for home, at in grouped(rows["home"][told]):
+            sent = _joined(rows[told[at]])
+            sent["hash"], sent["second"] = 0, 0
+            yield _packed(_ASK, home % buckets, [True], sent)
 
     return combined
 
@@ -215,7 +214,7 @@ def _joined(rows: np.ndarray) -> np.ndarray:
     rows = rows[order]
     new = np.ones(len(rows), bool)
     new[1:] = (rows["doc"][1:] != rows["doc"][:-1]) | (rows["copy"][1:] != rows["copy"][:-1]) | (
-        rows["at"][1:] != rows["at"][:-1] + rows["run"][:-1])
+        rows["at"][1:] != rows["at"][:-1] + rows["run"][:-1]) | (rows["tag"][1:] != rows["tag"][:-1])
     first = np.flatnonzero(new)
     out = rows[first].copy()
     out["run"] = np.add.reduceat(rows["run"], first)
@@ -268,12 +267,14 @@ def _answering(last: bool):
                     many = (np.bincount(group) > 1) | (np.bincount(group, entries["many"][order]) > 0)
                     hit = many[group]
                 found = entries[order[hit]]
+                found["tag"] = bucket
                 for home, at in grouped(found["home"]):
-                    yield _packed(_NOTE, home, [bucket], _joined(found[at]))
-            for r in rows:
-                if r["known"]:
-                    yield _packed(_NOTE, int(np.frombuffer(r["home"], "<u4")[0]), [r["tag"]],
-                                  _unpacked([r], ["doc", "copy", "at", "run"]))
+                    yield _packed(_NOTE, home, [], _joined(found[at]))
+            passed = [r for r in rows if r["known"]]
+            if passed:
+                entries = _unpacked(passed, ["home", *_TOLD])
+                for home, at in grouped(entries["home"]):
+                    yield _packed(_NOTE, home, [], _joined(entries[at]))
 
     return run
 
@@ -290,14 +291,13 @@ def _noted(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
             is_note = part.column("is_note").to_numpy(zero_copy_only=False)
             n = int(is_note.sum())
             if n:
-                notes += part.slice(0, n).select(["tag", "note_doc", "note_copy", "note_at", "note_run"]).rename_columns(
-                    ["tag", "doc", "copy", "at", "run"]).to_pylist()
+                notes += part.slice(0, n).select([f"note_{t}" for t in _TOLD]).rename_columns(_TOLD).to_pylist()
             if n == part.num_rows:
                 continue
             if wanted is None:
                 wanted = {}
                 if notes:
-                    for doc, copy, at_, run, tag in _unpacked(notes, ["doc", "copy", "at", "run"], tag=True).tolist():
+                    for doc, copy, at_, run, tag in _unpacked(notes, _TOLD).tolist():
                         wanted.setdefault((doc, copy), []).append((at_, run, tag))
             yield part.slice(n), wanted
 
@@ -410,9 +410,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
 def _delivered(docs: DataFrame, notes: DataFrame) -> DataFrame:
     """Documents by home bucket, each bucket led by its notes."""
-    empty = [F.lit(None).cast(t).alias(n) for n, t in
-             (("tag", "int"), ("note_doc", "binary"), ("note_copy", "binary"), ("note_at", "binary"), ("note_run", "binary"))]
+    empty = [F.lit(None).cast("binary").alias(f"note_{n}") for n in _TOLD]
     sent = notes.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name != "home" else F.col("home") for f in docs.schema],
-                        F.lit(True).alias("is_note"), "tag", *[F.col(n).alias(f"note_{n}") for n in ("doc", "copy", "at", "run")])
+                        F.lit(True).alias("is_note"), *[F.col(n).alias(f"note_{n}") for n in _TOLD])
     both = docs.select("*", F.lit(False).alias("is_note"), *empty).unionByName(sent)
     return both.repartition(parts(docs.sparkSession), "home").sortWithinPartitions("home", F.desc("is_note"))
