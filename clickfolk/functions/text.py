@@ -81,4 +81,4 @@ def compose_text(host: Column, title: Column, description: Column, body: Column,
     """``host SEP title SEP description SEP text``, cut to ``max_tokens`` blank-separated tokens."""
     text = F.when(body.isNull(), F.lit("")).otherwise(normalise_prose(body))
     full = F.concat_ws(f" {separator} ", host, normalise_prose(title), normalise_prose(description), text)
-    return F.concat_ws(" ", F.slice(F.split(full, " "), 1, max_tokens))
+    return F.substring_index(full, " ", max_tokens)
