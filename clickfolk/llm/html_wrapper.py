@@ -396,7 +396,7 @@ def _reading(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def extract_articles(pages: DataFrame, wrappers: DataFrame | None = None, *, id_col: str = "page_id", url_col: str = "url",
-                     html_col: str = "html") -> DataFrame:
+                     html_col: str = "html", large: int = 1000) -> DataFrame:
     """``id_col, url_col, text`` of every page: the article's blocks joined by a blank line, '' if there is none.
 
     Character references are decoded, white space inside a block becomes one blank. A null or empty page has no text;
@@ -407,13 +407,13 @@ def extract_articles(pages: DataFrame, wrappers: DataFrame | None = None, *, id_
                           F.col(html_col).alias("html"), host_of(url_col).alias("host"))
     needed = wrappers.select("host", "path", "constant", "n_pages")
     total = needed.agg(F.coalesce(F.sum("n_pages"), F.lit(0))).first()[0]
-    # hosts with more than a thousandth of all pages are fewer than a thousand: they are broadcast, and their pages
-    # are spread over keys of their own instead of meeting in one task
-    large = needed.where(F.col("n_pages") * 1000 > total).select("host", F.struct("path", "constant").alias("_large"))
-    rest = needed.where(F.col("n_pages") * 1000 <= total).select(
+    # fewer than ``large`` hosts can have more than that part of all pages: they are broadcast, and their pages are spread
+    # over keys of their own instead of meeting in one task
+    top = needed.where(F.col("n_pages") * large > total).select("host", F.struct("path", "constant").alias("_large"))
+    rest = needed.where(F.col("n_pages") * large <= total).select(
         F.col("host").alias("_key"), F.struct("path", "constant").alias("_rest"))
     spread = F.concat(F.lit("\n"), F.pmod(F.xxhash64("page", "url"), F.lit(100_000)).cast("string"))
-    keyed = narrow.join(F.broadcast(large), "host", "left").withColumn(
+    keyed = narrow.join(F.broadcast(top), "host", "left").withColumn(
         "_key", F.when(F.col("_large").isNull(), F.col("host")).otherwise(spread))
     joined = keyed.join(rest, "_key", "left").select("page", "url", "html", F.coalesce("_large", "_rest").alias("w"))
     return joined.select("page", "url", "html", "w.path", "w.constant").mapInArrow(_reading, "page bigint, url string, text string").withColumnsRenamed(

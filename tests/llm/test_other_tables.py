@@ -106,7 +106,8 @@ def test_wrapper_from_alignment(spark):
     for i in range(6):
         assert got[i] == "\n\n".join([f"Title {i}", *[f"text {i} {k} & more" for k in range(i + 1)]])
     assert got[10] == "alone" and got[11] == got[12] == "" and got[13] == "a < b c"
-    assert wrapper.extract_articles(df).count() == 11 and wrapper.extract_articles(df.limit(0)).count() == 0
+    spread = {r.page_id: r.text for r in wrapper.extract_articles(df, large=1).collect()}  # no host is large
+    assert spread == got and wrapper.extract_articles(df).count() == 11 and wrapper.extract_articles(df.limit(0)).count() == 0
     found = {r.host: r for r in wrapper.infer_wrappers(df).collect()}
     assert found["h.example"].path[-1].startswith("div.wrap")
 
