@@ -218,7 +218,7 @@ def _vocabulary(path: str) -> Vocabulary:
 def _encoding(path: str, n: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
-        searched = kept_in_process(f"searched {path} {n}", lambda: _Searched(vocabulary, n))
+        searched = kept_in_process(f"pieces searched {path} {n}", lambda: _Searched(vocabulary, n))
         for batch in slices(batches, "text", 1 << 20):
             docs, ranks, scores, ids = [], [], [], []
             for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist()):

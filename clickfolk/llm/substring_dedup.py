@@ -28,7 +28,7 @@ from clickfolk.llm.texts import NULL_ID, grouped, hashed_words, mixed, slices, t
 
 travels(__name__)
 
-_CHUNK_WORDS = 800_000
+_CHUNK_WORDS = 500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
 # one entry of a packed array: hash within its bucket, second hash (last level), document id, number among

@@ -25,11 +25,19 @@ travels(__name__)
 
 
 def kept_in_process(name: str, make: Callable[[], object]) -> object:
-    """A value that later tasks of the same Python worker find again (caches, loaded vocabularies)."""
+    """A value that later tasks of the same Python worker find again (caches, loaded vocabularies).
+
+    The first word of ``name`` says whose it is. Only one owner's values are kept: workers live on from job to job,
+    and what an earlier operator left would take memory from the next.
+    """
     holder = sys.modules.setdefault("_kept_in_process", types.ModuleType("_kept_in_process"))
-    if name not in holder.__dict__:
-        holder.__dict__[name] = make()
-    return holder.__dict__[name]
+    kept = holder.__dict__.setdefault("kept", {})
+    if name not in kept:
+        for other in [k for k in kept if k.split(" ")[0] != name.split(" ")[0]]:
+            del kept[other]
+        pa.default_memory_pool().release_unused()
+        kept[name] = make()
+    return kept[name]
 
 
 def slices(batches: Iterable[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -63,7 +71,7 @@ class WordHashes(dict):
 
 def hashed_words(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all texts end to end, and where each text begins (one more entry than texts)."""
-    look = kept_in_process("word_hashes", WordHashes).__getitem__
+    look = kept_in_process("hashes", WordHashes).__getitem__
     parts, ends = [], [0]
     for text in texts:
         words = words_of(text)
