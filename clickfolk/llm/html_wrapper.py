@@ -127,8 +127,8 @@ def _imply(stack: list[Node], tags: set[str], limits: set[str]) -> None:
 
 
 # ---------------------------------------------------------------- wrappers
-# [label, apart, optional, repeated, children, text]: text is None, a digest every page agrees on, or True for a slot;
-# chars counts the characters the slot has held. Kept as plain lists: they are stored as JSON.
+# [label, apart, optional, repeated, children, text, chars, pages]: text is None, a digest all that have one agree on, or
+# True for a slot; chars counts the characters held, pages the pages with a text. Kept as plain lists: stored as JSON.
 
 def _shape(node: Node) -> list:
     children, chars, texts = [], 0, []
@@ -148,7 +148,7 @@ def _shape(node: Node) -> list:
 
     visit(node)
     text = None if not texts else hash_text(" ".join(texts))
-    return [node.label, node.apart, False, False, _folded(children), text, chars]
+    return [node.label, node.apart, False, False, _folded(children), text, chars, int(bool(texts))]
 
 
 def hash_text(text: str) -> str:
@@ -178,7 +178,7 @@ def _folded(items: list[list]) -> list[list]:
 def align(a: list, b: list) -> list:
     """The wrapper both match: what only one side has is optional, what repeats on one side repeats."""
     text = b[5] if a[5] is None else a[5] if b[5] is None or a[5] == b[5] else True
-    return [a[0], a[1] or b[1], a[2] or b[2], a[3] or b[3], _aligned(a[4], b[4]), text, a[6] + b[6]]
+    return [a[0], a[1] or b[1], a[2] or b[2], a[3] or b[3], _aligned(a[4], b[4]), text, a[6] + b[6], a[7] + b[7]]
 
 
 def _aligned(a: list[list], b: list[list]) -> list[list]:
@@ -203,8 +203,8 @@ def _aligned(a: list[list], b: list[list]) -> list[list]:
     return _folded(out)
 
 
-def main_labels(wrapper: list) -> list[str]:
-    """Path of labels from the top to the article's element; empty if the wrapper holds no text in slots."""
+def main_labels(wrapper: list, constant: frozenset[str] = frozenset()) -> list[str]:
+    """Path of labels from the top to the article's element; empty if it is the whole page."""
     def paths(node: list, path: list[str]) -> Iterator[tuple[list[str], list]]:
         if node[1]:
             return
@@ -213,7 +213,7 @@ def main_labels(wrapper: list) -> list[str]:
             yield from paths(child, [*path, child[0]])
 
     def held(node: list) -> int:
-        own = node[6] if node[5] is not None else 0
+        own = node[6] if node[5] is not None and node[5] not in constant else 0
         return 0 if node[1] else own + sum(held(c) for c in node[4])
 
     all_paths = list(paths(wrapper, []))
@@ -231,19 +231,23 @@ def main_labels(wrapper: list) -> list[str]:
         node, path = child, [*path, child[0]]
 
 
-def constant_texts(wrapper: list, path: list[str]) -> list[str]:
-    """Digests of short texts that are the same on all pages, outside an article element: boilerplate."""
-    if any(label.split(".")[0] in ("article", "main") for label in path):
-        return []
-    out = []
+def constant_texts(wrapper: list, n_pages: int, n_texts: int) -> list[str]:
+    """Digests of texts outside article elements that stand in one place on every page: boilerplate.
+
+    Of a host whose pages all say the same (``n_texts`` below two) nothing was compared: it has none.
+    """
+    out: list[str] = []
 
     def visit(node: list) -> None:
-        if isinstance(node[5], str) and not node[3] and not node[2]:
+        if node[3] or node[7] < n_pages and not node[4] or node[0].split(".")[0] in ("article", "main"):
+            return
+        if isinstance(node[5], str) and node[7] == n_pages:
             out.append(node[5])
         for child in node[4]:
             visit(child)
 
-    visit(wrapper)
+    if n_texts > 1:
+        visit(wrapper)
     return out
 
 
@@ -318,7 +322,7 @@ def main_text(page: str | None, path: list[str] | None, constant: frozenset[str]
     if not page:
         return ""
     root = parse(page)
-    node = _followed(root, path) if path else None
+    node = None if path is None else _followed(root, path)
     if node is None:
         own = main_labels(_shape(root))
         node, constant = (_followed(root, own) if own else root) or root, frozenset()
@@ -334,43 +338,53 @@ def host_of(url: str) -> F.Column:
 def _partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wrappers: dict[str, list] = {}
     counts: Counter = Counter()
+    said: dict[str, list[str]] = {}  # least and greatest digest of a page's text: equal if all pages say the same
     for batch in slices(batches, "html", 4 << 20):
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             if page:
-                shape = _shape(parse(page))
+                root = parse(page)
+                shape, text = _shape(root), hash_text("\n".join(blocks_of(root)))
                 wrappers[host] = align(wrappers[host], shape) if host in wrappers else shape
                 counts[host] += 1
+                least, most = said.get(host, (text, text))
+                said[host] = [min(least, text), max(most, text)]
         if len(wrappers) > 5000:
-            yield _as_rows(wrappers, counts)
-            wrappers, counts = {}, Counter()
+            yield _as_rows(wrappers, counts, said)
+            wrappers, counts, said = {}, Counter(), {}
     if wrappers:
-        yield _as_rows(wrappers, counts)
+        yield _as_rows(wrappers, counts, said)
+
+
+_PARTIAL = "host string, wrapper string, n_pages bigint, least string, most string"
 
 
-def _as_rows(wrappers: dict[str, list], counts: Counter) -> pa.RecordBatch:
+def _as_rows(wrappers: dict[str, list], counts: Counter, said: dict[str, list[str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(list(wrappers)), pa.array([json.dumps(w) for w in wrappers.values()]),
-         pa.array([counts[h] for h in wrappers], pa.int64())], ["host", "wrapper", "n_pages"])
+         pa.array([counts[h] for h in wrappers], pa.int64()), pa.array([said[h][0] for h in wrappers]),
+         pa.array([said[h][1] for h in wrappers])], ["host", "wrapper", "n_pages", "least", "most"])
 
 
 def _whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by host: one wrapper a host, with what reading a page needs."""
-    host, wrapper, pages, out = None, None, 0, []
+    host, wrapper, pages, least, most, out = None, None, 0, "", "", []
 
     def done() -> dict:
-        path = main_labels(wrapper)
-        return {"host": host, "wrapper": json.dumps(wrapper), "path": path, "constant": constant_texts(wrapper, path),
+        constant = constant_texts(wrapper, pages, 1 if least == most else 2)
+        path = main_labels(wrapper, frozenset(constant))
+        marked = any(label.split(".")[0] in ("article", "main") for label in path)
+        return {"host": host, "wrapper": json.dumps(wrapper), "path": path, "constant": [] if marked else constant,
                 "n_pages": pages}
 
     for batch in batches:
-        for h, w, n in zip(*[batch.column(c).to_pylist() for c in ("host", "wrapper", "n_pages")]):
+        for h, w, n, low, high in zip(*[batch.column(c).to_pylist() for c in ("host", "wrapper", "n_pages", "least", "most")]):
             shape = json.loads(w)
             if wrapper is not None and h == host:
-                wrapper, pages = align(wrapper, shape), pages + n
+                wrapper, pages, least, most = align(wrapper, shape), pages + n, min(least, low), max(most, high)
                 continue
             if wrapper is not None:
                 out.append(done())
-            host, wrapper, pages = h, shape, n
+            host, wrapper, pages, least, most = h, shape, n, low, high
     if wrapper is not None:
         out.append(done())
     if out:
@@ -382,7 +396,7 @@ def _whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``host, wrapper, path, constant, n_pages`` of every host with a page that is not empty; a null url is host ''."""
     partial = pages.select(host_of(url_col).alias("host"), F.col(html_col).alias("html")).mapInArrow(
-        _partial, "host string, wrapper string, n_pages bigint")
+        _partial, _PARTIAL)
     return partial.repartition("host").sortWithinPartitions("host", "wrapper").mapInArrow(
         _whole, "host string, wrapper string, path array<string>, constant array<string>, n_pages bigint")
 
