@@ -55,28 +55,35 @@ _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\
 
 
 class Node:
-    """An element of a page: name with classes, whether it stands apart from the article, children and texts in order."""
+    """An element of a page: name with classes, whether it stands apart from the article, children and texts in order.
 
-    __slots__ = ("label", "tag", "apart", "children")
+    ``doubt``: it is apart by a class or id, or a form, and the page decides; ``heads``: its headings stay.
+    """
+
+    __slots__ = ("label", "tag", "apart", "children", "doubt", "heads")
 
     def __init__(self, label: str, tag: str, apart: bool) -> None:
         self.label, self.tag, self.apart = label, tag, apart
         self.children: list[Node | str] = []
+        self.doubt, self.heads = False, tag == "header"
 
 
 def _element(tag: str, attributes: str) -> Node:
-    names, apart = [], tag in _APART
+    names, apart, doubt, heads = [], tag in _APART, False, tag == "header"
     if "=" in attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
             value = next((v for v in values if v), "").lower()
-            words = set(re.split(r"[^a-z]+", value))
+            words = set(value.split())
             if name.lower() == "role":
                 apart = apart or value in _ROLES_APART
             elif tag not in ("html", "body", "article", "main"):
-                apart = apart or bool(words & _WORDS_APART)
+                doubt = doubt or bool(words & _WORDS_APART)
+                heads = heads or "header" in words
             if name.lower() == "class":
                 names += value.split()
-    return Node(".".join([tag, *sorted(names)[:3]]), tag, apart)
+    node = Node(".".join([tag, *sorted(names)[:3]]), tag, apart or doubt)
+    node.doubt, node.heads = not apart and doubt or tag == "form", heads
+    return node
 
 
 def parse(page: str) -> Node:
@@ -114,9 +121,50 @@ def parse(page: str) -> Node:
                 beyond += 1
     if at < len(page):
         stack[-1].children.append(page[at:])
+    _decide(root)
     return root
 
 
+def _decide(root: Node) -> None:
+    """Elements in doubt are not apart if they hold the article's element, or most of the text where nothing is marked."""
+    doubtful: list[tuple[Node, int, list[Node]]] = []  # element, its characters, article and main elements inside
+    outside: list[Node] = []
+    in_marked = 0
+
+    def visit(node: Node, in_doubt: bool, marked: bool) -> tuple[int, list[Node]]:
+        """Characters and topmost article and main elements, without what is apart beyond doubt."""
+        nonlocal in_marked
+        chars, inside = 0, []
+        for child in node.children:
+            if isinstance(child, str):
+                own = len(" ".join(child.split()))
+                chars += own
+                in_marked += own if marked and not in_doubt else 0
+            elif child.doubt or not child.apart:
+                is_marked = child.tag in ("article", "main")
+                if is_marked and not in_doubt:
+                    outside.append(child)
+                n, below = visit(child, in_doubt or child.doubt, marked or is_marked)
+                chars += n
+                inside += [child] if is_marked else below
+                if child.doubt:
+                    doubtful.append((child, n, below))
+        return chars, inside
+
+    total, _ = visit(root, False, False)
+    for node, chars, inside in doubtful:
+        most = 2 * chars > total
+        if node.tag == "form" and not inside:
+            most = most and _heading_below(node)
+        holds = any(m.tag == "main" for m in inside) or (inside and (len(inside) == 1 or most))
+        if not in_marked and (most or holds) or holds and not any(m.tag == inside[0].tag for m in outside):
+            node.apart = node.doubt = False
+
+
+def _heading_below(node: Node) -> bool:
+    return any(isinstance(c, Node) and (c.tag == "h1" or _heading_below(c)) for c in node.children)
+
+
 def _imply(stack: list[Node], tags: set[str], limits: set[str]) -> None:
     for depth in range(len(stack) - 1, 0, -1):
         if stack[depth].tag in limits:
@@ -178,7 +226,7 @@ def _folded(items: list[list]) -> list[list]:
 def align(a: list, b: list) -> list:
     """The wrapper both match: what only one side has is optional, what repeats on one side repeats."""
     text = b[5] if a[5] is None else a[5] if b[5] is None or a[5] == b[5] else True
-    return [a[0], a[1] or b[1], a[2] or b[2], a[3] or b[3], _aligned(a[4], b[4]), text, a[6] + b[6], a[7] + b[7]]
+    return [a[0], a[1] and b[1], a[2] or b[2], a[3] or b[3], _aligned(a[4], b[4]), text, a[6] + b[6], a[7] + b[7]]
 
 
 def _aligned(a: list[list], b: list[list]) -> list[list]:
@@ -273,7 +321,7 @@ def blocks_of(node: Node, constant: frozenset[str] = frozenset()) -> list[str]:
             pending.append(item)
         elif item.tag == "br":
             pending.append(" ")
-        elif item.apart and not (item.tag == "header" and _has_heading(item)):
+        elif item.apart and not (item.heads and _has_heading(item)):
             if item.tag not in _INLINE:
                 close()
         elif item.tag in _INLINE:

@@ -28,3 +28,26 @@ def test_constant_texts_need_pages_to_compare(spark):
     assert got["copies.example"] == ["T\n\na"] * 4 and got["nonce.example"] == ["T\n\na"] * 3
     assert got["half.example"] == ["T1\n\na", "", "T1\n\na\n\nz"]
     assert got["many.example"] == [f"T{i}\n\na{i}" for i in range(5)]
+
+
+def test_layout_words_do_not_lose_the_article(spark):
+    article = "<article><h1>T{0}</h1><p>text {0}</p></article>"
+    layouts = ["layout has-sidebar", "no-sidebar", "comments-open", "sidebar", "widget", "header"]
+    hosts = {f"h{k}.example": [f"<body><nav>n</nav><div class='{words}'>{article.format(i)}</div><div class=related><p>else {i}</p></div></body>"
+                               for i in range(3)] for k, words in enumerate(layouts)}
+    got = texts_of(spark, hosts)
+    assert all(texts == [f"T{i}\n\ntext {i}" for i in range(3)] for texts in got.values()), got
+
+
+def test_elements_in_doubt():
+    def read(html):
+        return wrapper.main_text(html, None)
+
+    assert read("<article><div class='article-header'><h1>T</h1></div><p>a</article>") == "T\n\na"
+    assert read("<div class=header><h1>T</h1><p>by</div><p>a longer text") == "T\n\na longer text"
+    assert read("<div class=widget><p>nearly all of the text</div>") == "nearly all of the text"
+    assert read("<form id=f><main><p>a</main></form>") == "a" and read("<form><h1>T</h1><p>a</form>") == "T\n\na"
+    assert read("<article><p>a</article><div class=comments><p>much longer than the article</div>") == "a"
+    assert read("<article><p>a<div id=comments><article><p>longer than the rest</article></div></article>") == "a"
+    assert read("<p>long text of its own<div class=related><article>x</article><article>y</article></div>") == "long text of its own"
+    assert read("<main><div class=widget><article><p>a</article></div></main>") == "a"
