@@ -6,8 +6,8 @@ host's pages one after another: neighbours of one shape fold into a repeated gro
 optional, texts that differ turn into slots. Each task folds its pages into one wrapper a host, then the partial
 wrappers of a host are aligned in the same way, so no host is gathered and no page is left out.
 
-The wrapper tells where the article is: the element all pages mark as article or main, or else the one that holds most
-of the text in slots. A page's text is then read from the elements the wrapper points at.
+The wrapper tells where the article is: the element all pages mark as article or main, or else the least one that holds
+all text in slots. A page's text is then read from the elements the wrapper points at.
 """
 
 from __future__ import annotations
@@ -260,23 +260,30 @@ def main_labels(wrapper: list, constant: frozenset[str] = frozenset()) -> list[s
         for child in node[4]:
             yield from paths(child, [*path, child[0]])
 
+    sums: dict[int, int] = {}
+
     def held(node: list) -> int:
-        own = node[6] if node[5] is not None and node[5] not in constant else 0
-        return 0 if node[1] else own + sum(held(c) for c in node[4])
+        if id(node) not in sums:
+            parts = node[0].split(".")
+            if node[1]:  # of what stands apart only the headings of a header are read
+                inner = [c for c in node[4] if c[0].split(".")[0] in ("h1", "h2")] if "header" in parts else []
+                own = 0
+            else:
+                inner, own = node[4], node[6] if node[5] is not None and node[5] not in constant else 0
+            sums[id(node)] = own + sum(held(c) for c in inner)
+        return sums[id(node)]
 
     all_paths = list(paths(wrapper, []))
     marked = [(held(node), path) for path, node in all_paths if path and path[-1].split(".")[0] in ("article", "main")]
     if marked and max(marked, key=lambda m: m[0])[0]:
-        return max(marked, key=lambda m: (m[0], len(m[1])))[1]
+        return max(marked, key=lambda m: (m[0], -len(m[1])))[1]
     node, path = wrapper, []
-    while True:  # go down while one child holds most of the text that varies
-        total = held(node)
-        inner = [(held(c), c) for c in node[4]]
-        size, child = max(inner, key=lambda m: m[0], default=(0, None))
-        if child is None or child[3] or not total or size < 0.7 * total or child[0].split(".")[0] in (
+    while True:  # go down while one child holds all the text that varies
+        inner = [c for c in node[4] if held(c)]
+        if len(inner) != 1 or held(inner[0]) < held(node) or inner[0][1] or inner[0][3] or inner[0][0].split(".")[0] in (
                 "p", "h1", "h2", "h3", "ul", "ol", "table", "li", "blockquote", "pre"):
             return path
-        node, path = child, [*path, child[0]]
+        node, path = inner[0], [*path, inner[0][0]]
 
 
 def constant_texts(wrapper: list, n_pages: int, n_texts: int) -> list[str]:
@@ -340,20 +347,17 @@ def _has_heading(node: Node) -> bool:
 
 
 def _followed(node: Node, path: list[str]) -> Node | None:
-    for k, label in enumerate(path):
-        found = [c for c in _elements(node) if c.label == label and not c.apart]
-        if not found:
+    """All elements the path leads to, in page order, below one node."""
+    nodes = [node]
+    for label in path:
+        nodes = [c for n in nodes for c in _elements(n) if c.label == label and not c.apart]
+        if not nodes:
             return None
-        if len(found) > 1:  # several of them: the one that holds most text below the rest of the path
-            whole = [(sum(map(len, blocks_of(f))), -i, f) for i, f in enumerate(found)]
-            if k == len(path) - 1 and label.split(".")[0] in ("article", "main"):
-                together = Node(label, found[0].tag, False)
-                together.children = list(found)
-                return together
-            node = max(whole, key=lambda w: w[:2])[2]
-        else:
-            node = found[0]
-    return node
+    if len(nodes) == 1:
+        return nodes[0]
+    together = Node("", "", False)
+    together.children = list(nodes)
+    return together
 
 
 def _elements(node: Node) -> Iterator[Node]:

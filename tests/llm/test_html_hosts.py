@@ -51,3 +51,21 @@ def test_elements_in_doubt():
     assert read("<article><p>a<div id=comments><article><p>longer than the rest</article></div></article>") == "a"
     assert read("<p>long text of its own<div class=related><article>x</article><article>y</article></div>") == "long text of its own"
     assert read("<main><div class=widget><article><p>a</article></div></main>") == "a"
+
+
+def test_no_sibling_with_text_is_lost(spark):
+    def lead(i):
+        return f"<body><h1>T{i}</h1><p>lead {i}</p><div class=content>{f'<p>long text {i} and so on</p>' * 5}</div><div class=copy>All rights</div></body>"
+
+    def rows(i):
+        return f"<body><div class=row><article>a{i}</article></div><hr><div class=row><article>longer b{i}</article></div></body>"
+
+    got = texts_of(spark, {
+        "lead.example": [lead(i) for i in range(3)], "single.example": [lead(0)], "rows.example": [rows(i) for i in range(3)],
+        "main.example": [f"<main>{rows(i)}</main>" for i in range(3)],
+        "header.example": [f"<header><h1>T{i}</h1></header><div class=content><p>a{i}</div>" for i in range(3)]})
+    whole = ["\n\n".join([f"T{i}", f"lead {i}", *[f"long text {i} and so on"] * 5]) for i in range(3)]
+    assert got["lead.example"] == whole and got["single.example"] == [whole[0] + "\n\nAll rights"]
+    assert got["rows.example"] == got["main.example"] == [f"a{i}\n\nlonger b{i}" for i in range(3)]
+    assert got["header.example"] == [f"T{i}\n\na{i}" for i in range(3)]
+    assert wrapper.main_text("<div class=widget><p>nearly all of the text</div><p>rest", None) == "nearly all of the text\n\nrest"
