@@ -19,9 +19,31 @@ NEAR_BEFORE, NEAR_AFTER = 48, 24
 SPAN = "struct<start:bigint,order:int,kind:string,end:bigint,score:double>"
 _STEP = "struct<at:bigint,found:array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>>"
 
-# fixed values: length of an account number by country
+# fixed values: length of an account number by country; the oracle reads the first table
 IBAN_LENGTHS = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22,
                 "GR": 27, "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+IBAN_REGISTRY = IBAN_LENGTHS | {
+    "AD": 24, "AE": 23, "AL": 28, "AZ": 28, "BA": 20, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CR": 22, "CY": 28,
+    "DJ": 27, "DO": 28, "EE": 20, "EG": 29, "FK": 18, "FO": 18, "GE": 22, "GI": 23, "GL": 18, "GT": 28, "HN": 28, "HR": 21,
+    "IL": 23, "IQ": 23, "IS": 26, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LV": 21, "LY": 25,
+    "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "OM": 23, "PK": 24, "PS": 29,
+    "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25,
+    "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30}
+
+
+def _iban_pattern() -> str:
+    """Two letters where a number begins; group 1 is all of it, unspaced or in groups of four, as long as its country says.
+
+    Only the letters are consumed: a number may begin inside what looks like another one.
+    """
+    def of_length(n: int) -> str:
+        codes = "|".join(sorted(c for c, size in IBAN_REGISTRY.items() if size == n))
+        fours, rest = divmod(n - 4, 4)
+        last = f" [A-Z0-9]{{{rest}}}" if rest else ""
+        return f"(?:{codes})[0-9]{{2}}(?:[A-Z0-9]{{{n - 4}}}|(?: [A-Z0-9]{{4}}){{{fours}}}{last})"
+
+    numbers = "|".join(of_length(n) for n in sorted(set(IBAN_REGISTRY.values())))
+    return f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?=((?:{numbers})(?![A-Za-z0-9])))[A-Z]{{2}}"
 
 
 class Kind(NamedTuple):
@@ -33,6 +55,7 @@ class Kind(NamedTuple):
     context: str  # words nearby that make a match more likely
     bonus: float
     bounded: bool = False  # no letter or digit may touch the match
+    ahead: int = 0  # if not 0: the pattern consumes so many characters and group 1 is the match
 
 
 def _digits(value: Column) -> Column:
@@ -57,9 +80,7 @@ def _mod_97(value: Column) -> Column:
 
 def _iban_valid(value: Column) -> Column:
     plain = F.replace(value, F.lit(" "), F.lit(""))
-    lengths = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
-    known = F.coalesce(F.try_element_at(lengths, F.substr(plain, F.lit(1), F.lit(2))), F.lit(0))
-    return (F.length(plain) == known) & _mod_97(plain)
+    return _mod_97(plain)
 
 
 def _always(value: Column) -> Column:
@@ -77,24 +98,31 @@ BASE = [
          lambda v: F.length(_digits(v)).between(10, 15), 0.7, r"(?i)phone|call|tel|mobil|fax", 0.2),
 ]
 MORE = [
-    Kind("iban", r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)",
+    Kind("iban", _iban_pattern(),
          lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}[ A-Z0-9]"), _iban_valid, 0.7, r"(?i)iban|account|konto|compte|cuenta|bank",
-         0.3, True),
+         0.3, ahead=2),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", lambda t: t.rlike(r"[0-9]-[0-9]{2}-[0-9]"),
          lambda v: ~v.rlike(r"^(?:000|666|9)|-00-|-0000$"), 0.3, r"(?i)\bssn\b|social security", 0.5, True),
 ]
 
 
 def _matches(text: Column, kind: Kind) -> Column:
-    """Leftmost matches that do not overlap, with positions in code points and the text around each."""
-    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    """Leftmost matches that do not overlap, with positions in code points and the text around each.
+
+    With ``ahead`` every place where the pattern matches counts.
+    """
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(1 if kind.ahead else 0))
     gaps = F.split(text, kind.pattern)
+
+    def rest(value: Column, after: Column) -> Column:
+        return F.substr(after, F.length(value) - kind.ahead + 1) if kind.ahead else after
+
     rows = F.zip_with(
         F.arrays_zip(found.alias("value"), F.slice(gaps, 1, F.size(found)).alias("before")),
         F.slice(gaps, 2, F.size(found)),
         lambda m, after: F.struct(m["value"].alias("value"), F.length(m["before"]).cast("bigint").alias("gap"),
                                   F.right(m["before"], F.lit(NEAR_BEFORE)).alias("before"),
-                                  F.left(after, F.lit(NEAR_AFTER)).alias("after")))
+                                  F.left(rest(m["value"], after), F.lit(NEAR_AFTER)).alias("after")))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().alias("found")).cast(_STEP)
 
     def step(done: Column, row: Column) -> Column:
@@ -102,7 +130,8 @@ def _matches(text: Column, kind: Kind) -> Column:
         end = begin + F.length(row["value"])
         one = F.struct(begin.alias("start"), end.alias("end"), row["value"].alias("value"),
                        row["before"].alias("before"), row["after"].alias("after"))
-        return F.struct(end.alias("at"), F.concat(done["found"], F.array(one)).alias("found")).cast(_STEP)
+        at = begin + kind.ahead if kind.ahead else end
+        return F.struct(at.alias("at"), F.concat(done["found"], F.array(one)).alias("found")).cast(_STEP)
 
     return F.aggregate(rows, start, step, lambda done: done["found"])
 
