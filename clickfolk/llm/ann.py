@@ -25,7 +25,9 @@ travels(__name__)
 
 SAMPLE = 8_000  # vectors the index is fitted on
 PARTS = 32
-RECALL = 0.96  # share of true neighbours that the parts probed must hold in the sample
+RECALL = 0.96  # share of true neighbours that the parts probed must hold in the held-out part of the sample
+HELD_OUT = 5  # one in so many vectors of the sample is not fitted
+PAIRS = 50_000  # exact cosines at once
 BLOCK, QUERY_BLOCK = 20_000, 2_000
 
 
@@ -158,13 +160,14 @@ def fit(rows: DataFrame, *, sample: int = SAMPLE, parts: int = PARTS, near: int
     parts = min(parts, len(unit) // 20)
     if parts < 2:
         return None
-    graph = neighbour_graph(unit, near)
-    router = train_router(unit, balanced_parts(unit, graph, parts), parts)
-    return router._replace(probes=enough_probes(router, unit, graph, parts, recall))
+    unit = unit[np.random.default_rng(7).permutation(len(unit))]
+    held, unit = unit[: len(unit) // HELD_OUT], unit[len(unit) // HELD_OUT :]
+    router = train_router(unit, balanced_parts(unit, neighbour_graph(unit, near), parts), parts)
+    return router._replace(probes=enough_probes(router, held, neighbour_graph(held, near), parts, recall))
 
 
 def enough_probes(router: Router, unit: np.ndarray, graph: np.ndarray, parts: int, recall: float) -> int:
-    """Fewest parts to probe so that they hold ``recall`` of the sample's neighbours."""
+    """Fewest parts to probe so that they hold ``recall`` of the neighbours among vectors the router was not fitted on."""
     ranked = router.best(unit, parts)
     place = np.empty_like(ranked)
     np.put_along_axis(place, ranked, np.arange(parts)[None, :].repeat(len(unit), 0), axis=1)
@@ -192,24 +195,44 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (_unit(a) * _unit(b)).sum(axis=1)
 
 
+def _entries(ids: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors by id, rows repeated once, of each direction the ``most`` smallest ids.
+
+    No other copy can be among the ``most - 1`` nearest of a query: that many smaller ids have the same cosine.
+    """
+    _, same = np.unique(_unit(vectors) + 0.0, axis=0, return_inverse=True)
+    same = same.ravel()
+    order = np.lexsort((ids, same))
+    order = order[np.r_[True, (np.diff(same[order]) != 0) | (np.diff(ids[order]) != 0)]]
+    place = np.arange(len(order)) - np.searchsorted(same[order], same[order])
+    kept = order[place < most]
+    kept = kept[np.argsort(ids[kept], kind="stable")]
+    return ids[kept], vectors[kept]
+
+
 def _ranking(k: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"),
                              "score": pd.Series(dtype="float64")})
         if not len(left) or not len(right):
             return none
-        left = left.sort_values("id", kind="stable")
         ids, vectors = left["id"].to_numpy(), np.stack(left["vector"].to_numpy())
         asked, queries = right["id"].to_numpy(), np.stack(right["vector"].to_numpy())
+        ids, vectors = _entries(ids, vectors, k + 1)
+        begins = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])  # an id may have several vectors
         unit, out = _unit(vectors), []
         for a in range(0, len(queries), 256):
             score = _unit(queries[a : a + 256]) @ unit.T
             score[asked[a : a + 256][:, None] == ids[None, :]] = -np.inf
-            n = min(k, score.shape[1])
-            edge = np.partition(score, score.shape[1] - n, axis=1)[:, score.shape[1] - n] - 1e-9
+            best = score if len(begins) == len(ids) else np.maximum.reduceat(score, begins, axis=1)
+            n = min(k, best.shape[1])
+            edge = np.partition(best, best.shape[1] - n, axis=1)[:, best.shape[1] - n] - 1e-9
             rows, columns = np.nonzero((score >= edge[:, None]) & (score > -np.inf))
-            exact = cosines(queries[a + rows], vectors[columns])
-            order = np.lexsort((ids[columns], -exact, rows))
+            exact = np.concatenate([np.empty(0), *(cosines(queries[a + rows[i : i + PAIRS]], vectors[columns[i : i + PAIRS]])
+                                                   for i in range(0, len(rows), PAIRS))])
+            order = np.lexsort((-exact, ids[columns], rows))  # the best score of each id
+            order = order[np.r_[True, (np.diff(rows[order]) != 0) | (np.diff(ids[columns[order]]) != 0)][: len(order)]]
+            order = order[np.lexsort((ids[columns[order]], -exact[order], rows[order]))]
             rows, columns, exact = rows[order], columns[order], exact[order]
             begin = np.searchsorted(rows, rows)
             top = np.arange(len(rows)) - begin < n
