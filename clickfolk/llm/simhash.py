@@ -59,7 +59,7 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(size: int):
+def _fingerprints(size: int):  # the key passes as it is
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             found = np.array([fingerprint(t, size) for t in batch.column("text").to_pylist()], np.uint64)
@@ -68,10 +68,11 @@ def _fingerprints(size: int):
     return run
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
+                 key_type: str = "bigint") -> DataFrame:
     """``doc, fp`` of every row: the fingerprint of ``size``-word shingles as a signed long."""
-    return docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
-        _fingerprints(size), "doc bigint, fp bigint")
+    return docs.select(F.col(id_col).cast(key_type).alias("doc"), F.col(text_col).alias("text")).mapInArrow(
+        _fingerprints(size), f"doc {key_type}, fp bigint")
 
 
 def _chain(bits: int) -> tuple[int, int]:
@@ -275,9 +276,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = materialise(fingerprints(docs, id_col, text_col, size), "fingerprints")
     distinct = materialise(prints.groupBy("fp").agg(F.min("doc").alias("least")), "distinct-fingerprints")
-    roots = components(near_links(distinct.select("fp"), bits, limit))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = least_of_components(distinct, bits, limit)
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = materialise(rooted.join(of_root, "root").select("fp", "component_id"), "components")
     return prints.join(by_print, "fp").select(F.col("doc").alias(id_col), "fp", "component_id")
+
+
+def least_of_components(distinct: DataFrame, bits: int = 3, limit: int = GROUP) -> DataFrame:
+    """``fp, least, root`` of distinct fingerprints: the root names the component."""
+    roots = components(near_links(distinct.select("fp"), bits, limit))
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))

@@ -12,14 +12,16 @@ from pyspark.sql import functions as F
 from clickfolk.llm import pii
 from clickfolk.llm.packing import pack, token_pieces
 from clickfolk.llm.queries import TOKENIZERS
-from clickfolk.llm.rows import numbered_copies
-from clickfolk.llm.simhash import near_duplicates
+from clickfolk.llm.simhash import fingerprints, least_of_components
 from clickfolk.llm.substring_dedup import remove_repeats
 from clickfolk.llm.tables import table
 from clickfolk.llm.toxicity import fit, graded, sample_of, without_toxic
 from clickfolk.session import materialise
 
 
+KEY = "struct<no_id:boolean,id:bigint,of_text:bigint,of_row:bigint>"
+
+
 def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
     """The columns of ``docs`` with a new text and its length."""
     out = [F.col(text).alias("text") if c == "text" else
@@ -33,15 +35,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the least id stays.
+    """Of each group of linked fingerprints one row stays: the least by id, then hash of its text, then of the row.
 
-    Rows that share an id are one document: the first by hash of its text stays. Rows without an id stay.
+    Rows that share an id are separate rows, each goes by its own group only; a null id comes after all others. Of rows
+    equal in every column one stays.
     """
-    groups = near_duplicates(docs)
-    kept = materialise(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept-ids")
-    single = numbered_copies(docs.where("doc_id is not null"), "doc_id", "text", "_copy")
-    chosen = single.where("_copy = 0").select(*docs.columns).join(kept, "doc_id", "left_semi")
-    return chosen.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("bigint").alias("id"),
+                   F.xxhash64("text").alias("of_text"), F.xxhash64(*sorted(docs.columns)).alias("of_row"))
+    prints = materialise(fingerprints(docs.withColumn("_key", key), "_key", "text", key_type=KEY), "fingerprints")
+    alike = prints.groupBy("fp", "doc").agg(F.count("*").alias("n"))
+    distinct = materialise(alike.groupBy("fp").agg(F.min(F.struct("doc", "n")).alias("least")), "distinct-fingerprints")
+    kept = materialise(least_of_components(distinct).groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc").alias("_key"), F.col("least.n").alias("_n")), "kept-keys")
+    found = docs.withColumn("_key", key).join(kept, "_key")
+    single = found.where("_n = 1").select(*docs.columns)
+    if kept.where("_n > 1").isEmpty():
+        return single
+    # few rows here differ: equal ones are combined in each task before they meet
+    return single.unionByName(found.where("_n > 1").dropDuplicates(["_key"]).select(*docs.columns))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
