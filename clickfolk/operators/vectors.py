@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Word2Vec
@@ -24,12 +25,17 @@ def train_word_vectors(corpus: DataFrame, column: str = "line", dim: int = 300,
     """``word, vector`` by skip-gram over the corpus lines; words seen less than ``min_count`` get none.
 
     MLlib holds vocabulary x dim on the driver while training: where more than ``max_words`` words pass, the rarest
-    counts are left out until they fit. Training runs in ``partitions`` tasks, as many as a shuffle has by default.
+    counts are left out until they fit, and a warning says so. Training runs in ``partitions`` tasks, as many as a shuffle has by default.
     """
     words = corpus.select(F.split(F.trim(column), " +").alias("words"))
     partitions = partitions or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = least_count(words, min_count, max_words)
+    if least > min_count:
+        excluded = word_counts(words).where((F.col("n") >= min_count) & (F.col("n") < least)).count()
+        logging.getLogger(__name__).warning(
+            "more than %d words are seen %d times: least count %d, %d words excluded", max_words, min_count, least, excluded)
     model = Word2Vec(
-        vectorSize=dim, minCount=least_count(words, min_count, max_words), seed=seed, numPartitions=partitions, maxIter=iterations,
+        vectorSize=dim, minCount=least, seed=seed, numPartitions=partitions, maxIter=iterations,
         inputCol="words", outputCol="v",
     ).fit(words)
     return model.getVectors().select(
@@ -37,10 +43,13 @@ def train_word_vectors(corpus: DataFrame, column: str = "line", dim: int = 300,
     )
 
 
+def word_counts(words: DataFrame) -> DataFrame:
+    return words.select(F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+
+
 def least_count(words: DataFrame, min_count: int, max_words: int) -> int:
     """The smallest count from ``min_count`` up that at most ``max_words`` words reach."""
-    counts = words.select(F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
-    by_count = counts.where(F.col("n") >= min_count).groupBy("n").agg(F.count("*").alias("words"))
+    by_count = word_counts(words).where(F.col("n") >= min_count).groupBy("n").agg(F.count("*").alias("words"))
     # one row per distinct count, far fewer than words
     down = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"))
     fits = by_count.withColumn("_total", F.sum("words").over(down)).where(F.col("_total") <= max_words)

@@ -1,0 +1,11 @@
+"""A vocabulary above the bound says what it excludes."""
+
+from clickfolk.operators.vectors import train_word_vectors
+
+
+def test_excluded_words_are_told(spark, caplog):
+    corpus = spark.createDataFrame([("a a a a b b b c c d d",)] * 1, "line string")
+    got = {r.word for r in train_word_vectors(corpus, dim=2, min_count=2, partitions=1, max_words=2).collect()}
+    assert got == {"a", "b"} and "least count 3, 2 words excluded" in caplog.text
+    caplog.clear()
+    assert train_word_vectors(corpus, dim=2, min_count=2, partitions=1).count() == 4 and "excluded" not in caplog.text
