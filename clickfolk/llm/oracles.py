@@ -66,3 +66,40 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || x || c
   CAST(sum(length(x) + {_ESCAPES.format("x")} + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 5
     ELSE 14 + length(role) + {_ESCAPES.format("role")} END) AS BIGINT) AS formatted_chars
 FROM r GROUP BY conv_id"""
+
+FILTER_AUDIT = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{_WORDS}') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+f AS (SELECT doc_id, part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+  100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+  coalesce(doc_id > least, false)] AS fails FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+  FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+one AS (SELECT unnest(range(1, 6)) AS k),
+o AS (SELECT [a.k, b.k, c.k, d.k, e.k] AS ks FROM one a JOIN one b ON b.k <> a.k JOIN one c ON c.k NOT IN (a.k, b.k)
+  JOIN one d ON d.k NOT IN (a.k, b.k, c.k) JOIN one e ON e.k NOT IN (a.k, b.k, c.k, d.k)),
+s AS (SELECT ks, array_to_string(list_transform(ks, lambda k: substr('ABCDE', k, 1)), '') AS filter_order,
+  unnest(range(1, 6)) AS step FROM o),
+r AS (SELECT part, filter_order, step, ks[step] AS k, n, good, bad, fails[ks[step]] AS own, len(list_filter(fails, lambda x: x)) AS many,
+  len(list_filter(ks[1:step - 1], lambda k: fails[k])) > 0 AS gone FROM s CROSS JOIN c),
+p AS (SELECT part, filter_order, step, k,
+  CAST(coalesce(sum(n) FILTER (NOT gone AND NOT own), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (NOT gone AND own), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (gone AND own), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (own AND many = 1), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (NOT gone AND own), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(bad) FILTER (NOT gone AND own), 0) AS BIGINT) AS toxic_lost FROM r GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, k) AS BIGINT) AS shapley FROM p"""
+
+URL_FILTERS = """
+WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS u FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(u, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(u, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+m AS (SELECT page_id, host, path, CASE
+  WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+  WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+  WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+  WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM m"""

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfolk.catalog.registry import Query
-from clickfolk.llm import ann, chat, oracles, pieces, pii, toxicity
+from clickfolk.llm import ann, chat, oracles, periodic_runs, pieces, pii, toxicity, url_filters
+from clickfolk.llm.filter_audit import audit
 from clickfolk.llm.html_wrapper import extract_articles
 from clickfolk.llm.packing import pack, token_pieces
 from clickfolk.llm.repetition import repetition_rules
@@ -87,6 +88,32 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from each source at each step of all their orders."""
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, a tenth of them made periodic first."""
+    text = periodic_runs.planted(F.col("doc_id"), F.col("text"))
+    found = periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), text=text)
+    best = found.withColumn("best", periodic_runs.longest_run(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])), "")
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op13_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest fitting rule and the verdict of every page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filters.judge(table(spark, sf_dir, "pages"), rules)
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": Query(op1_pii, oracles.PII),
     "op2_toxicity": Query(op2_toxicity),
@@ -98,4 +125,7 @@ QUERIES: dict[str, Query] = {
     "op8_chat": Query(op8_chat, oracles.CHATS),
     "op9_ann": Query(op9_ann),
     "op10_html": Query(op10_html),
+    "op11_filter_audit": Query(op11_filter_audit, oracles.FILTER_AUDIT),
+    "op12_periodic_runs": Query(op12_periodic_runs),
+    "op13_url_filters": Query(op13_url_filters, oracles.URL_FILTERS),
 }
