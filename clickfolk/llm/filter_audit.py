@@ -1,10 +1,11 @@
 """Interaction of document filters, from a sparse document-term matrix.
 
-Words get their numbers in two steps. A task numbers the words of its own slice of documents and writes the slice as a
-shard in compressed sparse rows: where each document begins, its distinct words, how often each occurs, and the list of
-the slice's words. Those lists, far smaller than the texts, are made distinct and numbered without gaps for the whole
-table; each shard gets the numbers of its own words back and is written again with them. A word that every document has
-is one row per shard in these joins, so no key grows with the documents.
+Words get their numbers in two steps. A task numbers the words of its own slice of documents, in the order of their hashes,
+and writes the slice as a shard in compressed sparse rows: where each document begins, its distinct words, how often each
+occurs, and the slice's words. Those lists, far smaller than the texts, are cut at fixed hashes into buckets; a task
+numbers the distinct words of one bucket after the other, and each shard gets the numbers of its own words back,
+bucket by bucket, which is the order it already has them in. There are as many buckets as keep a bucket within a bounded number
+of entries. A word that every document has is one entry per shard, so no key grows with the documents.
 
 The sum of a matrix row is the number of words, its nonzero entries are the distinct words. With the other properties
 they tell which filters a document fails, as a bit mask. What any order of the filters does to a part of the table
@@ -21,16 +22,18 @@ from itertools import count, permutations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickfolk.llm.texts import slices, travels
+from clickfolk.llm.texts import mixed, slices, travels
 from clickfolk.session import materialise
 
 travels(__name__)
 
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 16 << 20
+BUCKET_ENTRIES = 1_000_000  # words of shards that a bucket holds on average
 _ROWS_OF_TASK = 33  # a shard's number: its task's number, then this many bits for its place in the task
 
 
@@ -38,41 +41,151 @@ def _list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_LONG = 64
+
+
+def _words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of each word of the texts that ``bounds`` cuts ``data`` into."""
+    inside = ~_IS_SPACE[data]
+    apart = np.ones(len(data) + 1, bool)  # no word goes on from the byte before
+    apart[1:-1] = ~(inside[1:] & inside[:-1])
+    apart[bounds] = True
+    starts = np.flatnonzero(inside & apart[:-1])
+    return starts, np.flatnonzero(inside & apart[1:]) + 1 - starts
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each word's bytes, taken eight at a time; words over 64 bytes one by one."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    first, second = lengths.astype(np.uint64), ~lengths.astype(np.uint64)
+    rest = np.flatnonzero(lengths <= _LONG)
+    for k in range(0, _LONG, 8):
+        rest = rest[lengths[rest] > k]
+        if not len(rest):
+            break
+        block = eight[starts[rest] + k] & _LOW_BYTES[np.minimum(lengths[rest] - k, 8)]
+        first[rest] = mixed(first[rest] * np.uint64(0x9E3779B97F4A7C15) + block)
+        second[rest] = mixed((second[rest] ^ block) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(k))
+    for k in np.flatnonzero(lengths > _LONG).tolist():
+        both = xxhash.xxh128_intdigest(data[starts[k]:starts[k] + lengths[k]].tobytes())
+        first[k], second[k] = both >> 64, both & (1 << 64) - 1
+    return first, second
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a binary column without nulls, end to end, and where each value begins in them."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).astype(np.int64)
+    data = column.buffers()[2]
+    if data is None or not len(offsets) or offsets[-1] == offsets[0]:
+        return np.empty(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    return np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
+
+
+def _joined(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> bytes:
+    """The words with a blank after each."""
+    stops = np.cumsum(lengths + 1)
+    if not len(stops):
+        return b""
+    out = data[np.minimum(np.repeat(starts - stops + lengths + 1, lengths + 1) + np.arange(stops[-1]), len(data) - 1)]
+    out[stops - 1] = 32
+    return out.tobytes()
+
+
+def _distinct(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An example of each distinct pair, in the order of ``first``, and for each pair the place of its example."""
+    index = np.arange(len(first), dtype=np.uint64)
+    bits = np.uint64(max(len(first), 2).bit_length())
+    # one plain sort by the leading bits, with the place in the others
+    packed = np.sort((first >> bits << bits) | index)
+    order = (packed & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    new = np.ones(len(order), bool)
+    new[1:] = (first[order[1:]] != first[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
+    if (new[1:] & (packed[1:] >> bits == packed[:-1] >> bits)).any():  # leading bits agree, hashes don't
+        order = np.lexsort((second, first))
+        new[1:] = (first[order[1:]] != first[order[:-1]]) | (second[order[1:]] != second[order[:-1]])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place
+
+
 def _shards(size: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << _ROWS_OF_TASK
         for batch in slices(batches, "text", size):
-            numbers: dict[bytes, int] = defaultdict(count().__next__)
-            found, ends = [], [0]
-            for text in batch.column("text").to_pylist():
-                words = text.split()  # bytes: cut at the six ASCII white-space characters
-                found.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
-                ends.append(ends[-1] + len(words))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-            cells, counts = np.unique(row * max(len(numbers), 1) + np.concatenate(found), return_counts=True)
-            begins = np.searchsorted(cells, np.arange(batch.num_rows + 1) * max(len(numbers), 1))
+            data, bounds = _bytes_of(batch.column("text"))
+            starts, lengths = _words(data, bounds)
+            first, second = _hashes(data, starts, lengths)
+            example, place = _distinct(first, second)
+            width = max(len(example), 1)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(np.searchsorted(starts, bounds)))
+            cells, counts = np.unique(row * width + place, return_counts=True)
+            begins = np.searchsorted(cells, np.arange(batch.num_rows + 1) * width)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), _list(batch.column("row")), _list(pa.array(begins, pa.int32())),
-                 _list(pa.array(cells % max(len(numbers), 1), pa.int32())), _list(pa.array(counts, pa.int32())),
-                 _list(pa.array(list(numbers), pa.binary()))],
-                ["shard", "rows", "begins", "words", "counts", "vocabulary"])
+                 _list(pa.array(cells % width, pa.int32())), _list(pa.array(counts, pa.int32())),
+                 pa.array([len(example)], pa.int64()), pa.array([_joined(data, starts[example], lengths[example])], pa.binary())],
+                ["shard", "rows", "begins", "words", "counts", "n_entries", "vocabulary"])
             number += 1
 
     return run
 
 
-def _renumbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucketed(buckets: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, text in zip(batch.column("shard").to_pylist(), batch.column("vocabulary").to_pylist()):
+                data = np.frombuffer(text, np.uint8)
+                starts, lengths = _words(data, np.array([0, len(data)]))
+                # the words stand in the order of these hashes
+                bucket = ((_hashes(data, starts, lengths)[0] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                own, at = np.unique(bucket, return_index=True)
+                cuts = [*starts[at].tolist(), len(data)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.array(np.full(len(own), shard)),
+                     pa.array([text[a:b] for a, b in zip(cuts, cuts[1:])], pa.binary())], ["bucket", "shard", "words"])
+
+    return run
+
+
+def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by bucket. Each gets its words' numbers; after a bucket's last row comes one with all its words."""
+    kind = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("numbers", pa.list_(pa.int32())), ("words", pa.binary())])
+    current, numbers = None, {}
     for batch in batches:
-        for k in range(batch.num_rows):
-            shard = batch.slice(k, 1)
-            pairs = shard.column("numbers").flatten()
-            numbers = np.empty(len(pairs), np.int64)
-            numbers[pairs.field("place").to_numpy()] = pairs.field("word_id").to_numpy()
-            local = shard.column("words").flatten().to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [shard.column("shard"), shard.column("rows"), shard.column("begins"),
-                 _list(pa.array(numbers[local], pa.int64())), shard.column("counts")],
-                ["shard", "rows", "begins", "words", "counts"])
+        out = []
+        for bucket, shard, text in zip(*[batch.column(c).to_pylist() for c in ("bucket", "shard", "words")]):
+            if bucket != current:
+                if numbers:
+                    out.append((current, None, None, b" ".join(numbers)))
+                current, numbers = bucket, defaultdict(count().__next__)
+            words = text.split()
+            out.append((bucket, shard, np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)), None))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), kind)], schema=kind) if out else \
+            pa.RecordBatch.from_pylist([], kind)
+    if numbers:
+        yield pa.RecordBatch.from_pylist([{"bucket": current, "words": b" ".join(numbers)}], kind)
+
+
+def _renumbered(buckets: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                shard = batch.slice(k, 1)
+                pieces = shard.column("pieces").flatten()
+                bucket, numbers = pieces.field("bucket").to_numpy(), pieces.field("numbers")
+                ids = [numbers.slice(p, 1).flatten().to_numpy().astype(np.int64) * buckets + bucket[p]
+                       for p in np.argsort(bucket).tolist()]
+                local = shard.column("words").flatten().to_numpy()
+                ids = np.concatenate(ids)[local] if ids else np.empty(0, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [shard.column("shard"), shard.column("rows"), shard.column("begins"), _list(pa.array(ids, pa.int64())),
+                     shard.column("counts")], ["shard", "rows", "begins", "words", "counts"])
+
+    return run
 
 
 def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,48 +199,48 @@ def _sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(np.diff(begins).astype(np.int64))], ["row", "n_words", "n_distinct"])
 
 
-def numbered_words(words: DataFrame) -> DataFrame:
-    """``word, word_id``: distinct words numbered from 0 without gaps; a stored table.
+def _words_of_bucket(buckets: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, text in zip(batch.column("bucket").to_pylist(), batch.column("words").to_pylist()):
+                words = text.split()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words, pa.binary()), pa.array(np.arange(len(words), dtype=np.int64) * buckets + bucket)], ["word", "word_id"])
 
-    A word's number is its place in its task and the words of the tasks before, one total per task.
-    """
-    place = F.monotonically_increasing_id()
-    distinct = materialise(words.select("word").distinct().withColumn("_at", place), "vocabulary")
-    task = F.shiftright("_at", _ROWS_OF_TASK)
-    sizes = sorted(tuple(r) for r in distinct.groupBy(task).count().collect())  # one row a task
-    before, offsets = 0, []
-    for number, size in sizes:
-        offsets.append((number, before))
-        before += size
-    starts = words.sparkSession.createDataFrame(offsets, "_task bigint, _before bigint")
-    return distinct.join(F.broadcast(starts), task == F.col("_task")).select(
-        "word", (F.col("_before") + F.col("_at").bitwiseAND((1 << _ROWS_OF_TASK) - 1)).alias("word_id"))
-
-
-def document_term_matrix(docs: DataFrame, row: Column, text: Column, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """The matrix in shards and the dictionary ``word, word_id``, both stored.
+    return run
+
+
+def document_term_matrix(docs: DataFrame, row: Column, text: Column, shard_bytes: int = SHARD_BYTES,
+                         bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, DataFrame]:
+    """The matrix in shards and the dictionary ``word, word_id``; both come from stored tables.
 
     A shard holds ``rows`` (the value of ``row`` for each document), ``begins`` (where each begins, and the total),
     ``words`` (numbers of distinct words) and ``counts``. A null text has no words; equal rows stay separate. An empty
-    table has no shard. Words are runs without ASCII white space, compared byte by byte.
+    table has no shard. Words are runs without ASCII white space, compared byte by byte. A word's number is its place in its
+    bucket times the number of buckets, plus the bucket.
     """
     source = docs.select(row.alias("row"), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
     kind = source.schema["row"].dataType.simpleString()
     body = f"shard bigint, rows array<{kind}>, begins array<int>, words array<{{}}>, counts array<int>"
-    local = materialise(source.mapInArrow(_shards(shard_bytes), body.format("int") + ", vocabulary array<binary>"), "shards")
-    words = local.select("shard", F.posexplode("vocabulary").alias("place", "word"))
-    dictionary = numbered_words(words)
-    # a list holds the words of one slice, whose bytes are bounded
-    numbers = words.join(dictionary, "word").groupBy("shard").agg(F.collect_list(F.struct("place", "word_id")).alias("numbers"))
-    none = F.array().cast("array<struct<place:int,word_id:bigint>>")
-    joined = local.drop("vocabulary").join(numbers, "shard", "left").withColumn("numbers", F.coalesce("numbers", none))
-    return materialise(joined.mapInArrow(_renumbered, body.format("bigint")), "matrix"), dictionary
+    local = materialise(source.mapInArrow(
+        _shards(shard_bytes), body.format("int") + ", n_entries bigint, vocabulary binary"), "shards")
+    entries = local.agg(F.sum("n_entries")).first()[0] or 0
+    buckets = -(-entries // bucket_entries) or 1
+    lists = local.select("shard", "vocabulary").mapInArrow(_bucketed(buckets), "bucket bigint, shard bigint, words binary")
+    numbered = materialise(lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _numbered, "bucket bigint, shard bigint, numbers array<int>, words binary"), "numbered-words")
+    # the lists of a shard hold as many numbers as the slice has words, whose bytes are bounded
+    pieces = numbered.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("bucket", "numbers")).alias("pieces"))
+    matrix = local.drop("n_entries", "vocabulary").join(pieces, "shard", "left").mapInArrow(_renumbered(buckets), body.format("bigint"))
+    dictionary = numbered.where("shard IS NULL").select("bucket", "words").mapInArrow(
+        _words_of_bucket(buckets), "word binary, word_id bigint")
+    return matrix, dictionary
 
 
 def row_sums(matrix: DataFrame) -> DataFrame:
-    """``row, n_words, n_distinct`` of every matrix row; the word numbers themselves are not read."""
+    """``row, n_words, n_distinct`` of every matrix row: its sum and its nonzero entries."""
     kind = matrix.schema["rows"].dataType.elementType.simpleString()
-    return matrix.select("rows", "begins", "counts").mapInArrow(_sums, f"row {kind}, n_words bigint, n_distinct bigint")
+    return matrix.mapInArrow(_sums, f"row {kind}, n_words bigint, n_distinct bigint")
 
 
 def document_masks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source",

@@ -235,10 +235,10 @@ def test_audit_equals_a_plain_loop(spark):
 
 def test_matrix_holds_the_counts_of_every_word(spark, odd_docs):
     docs = odd_docs.select("doc_id", "text")
-    matrix, dictionary = document_term_matrix(docs, F.col("doc_id"), F.col("text"), shard_bytes=2000)
+    matrix, dictionary = document_term_matrix(docs, F.col("doc_id"), F.col("text"), shard_bytes=2000, bucket_entries=20)
     assert matrix.count() > 1
     words = {r["word_id"]: bytes(r["word"]).decode() for r in dictionary.collect()}
-    assert sorted(words) == list(range(len(words))) and len(set(words.values())) == len(words)
+    assert len(words) == dictionary.count() == len(set(words.values())) and max(words) < 40 * len(words)
     found = []
     for r in matrix.collect():
         for k, doc in enumerate(r["rows"]):
@@ -259,3 +259,27 @@ def test_audit_on_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert out.count() == 2 * 120 * 5 and out.where("part = ''").count() == 600
     masks = {r["id"]: r["mask"] for r in document_masks(odd_docs).collect()}
     assert masks[6] & 1 == 0 and masks[6] & 2 and masks[6] & 8 and masks[4] & 16 and not masks[3] & 16
+
+
+def test_words_and_hashes_of_a_byte_buffer():
+    import numpy as np
+    import pyarrow as pa
+
+    from clickfolk.llm import filter_audit as A
+
+    rng = random.Random(1)
+    alphabet = ["a", "b", " ", "\t", "\n", "é", "x" * 7, "y" * 8, "z" * 33, "w" * 70, "\x0b", " "]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))).encode() for _ in range(300)] + [b"", b"end", b"on"]
+    column = pa.array([b"skipped", *texts], pa.binary()).slice(1)
+    data, bounds = A._bytes_of(column)
+    starts, lengths = A._words(data, bounds)
+    words = [data[a:a + n].tobytes() for a, n in zip(starts, lengths)]
+    assert A._joined(data, starts, lengths) == b"".join(w + b" " for w in words)
+    assert words == [w for t in texts for w in t.split()]
+    first, second = A._hashes(data, starts, lengths)
+    assert len(set(first.tolist())) == len(set(second.tolist())) == len(set(words)) == len(set(zip(first.tolist(), words)))
+    for a, b in ((first, second), (first % 7, second), (first % 7, second % 3), (first[:1], second[:1]), (first[:0], second[:0])):
+        example, place = A._distinct(a, b)
+        assert (a[example][place] == a).all() and (b[example][place] == b).all() and (np.diff(a[example].astype(float)) >= 0).all()
+        assert len(example) == len(set(zip(a.tolist(), b.tolist())))
+    assert A._words(np.empty(0, np.uint8), np.zeros(3, np.int64))[0].tolist() == []
