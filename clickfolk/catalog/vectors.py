@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfolk.catalog import views
-from clickfolk.catalog.demographics import whitelist
+from clickfolk.catalog.demographics import WHITELIST_SQL, whitelist
 from clickfolk.catalog.registry import Query, r6
+from clickfolk.catalog.texts import BODY_TEXT_SQL, tokens_sql
+from clickfolk.functions import text as E
 from clickfolk.operators import hosts as H
 from clickfolk.operators import pages as D
+from clickfolk.operators import subwords as S
 from clickfolk.operators import vectors as V
+from clickfolk.session import materialise
 
 DIM = 64
 
@@ -73,23 +77,123 @@ def flat(df: DataFrame, *extra: str) -> DataFrame:
         F.col("text_domain")[0].cast("double").alias("d0"))
 
 
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    return views.table(spark, d, "documents").select(E.normalise_tokens(F.col("text")).alias("line"))
+
+
 def _trained(spark: SparkSession, d: str) -> DataFrame:
-    from clickfolk.functions.text import normalise_tokens
+    """Vectors of all words seen 20 times, and of the n-gram buckets they have."""
+    model = V.train_word_vectors(_lines(spark, d), dim=16, min_count=20, iterations=1, seed=1, n_buckets=50_000)
+    return model.words.withColumn("bucket", F.lit(None).cast("bigint")).unionByName(
+        model.buckets.withColumn("word", F.lit(None).cast("string")))
 
-    lines = views.table(spark, d, "documents").select(normalise_tokens(F.col("text")).alias("line"))
-    return V.train_word_vectors(lines, "line", dim=16, min_count=20, seed=1, partitions=8)
 
+NEGATIVES = 2
+
+
+def _ppmi(spark: SparkSession, d: str) -> DataFrame:
+    """The table that training factorises, with words in place of their ids."""
+    lines = materialise(_lines(spark, d), "lines")
+    known = materialise(S.vocabulary(lines, "line", 20), "vocabulary")
+    entries = S.shifted_ppmi(materialise(S.cooccurrences(lines, "line", known, 5), "pairs"), NEGATIVES)
+    rows, cols = (known.select(F.col("id").alias(c), F.col("word").alias(w)) for c, w in (("row", "word"), ("col", "near")))
+    return entries.join(rows, "row").join(cols, "col").select("word", "near", r6("value", "value"))
+
+
+# a value next to zero counts as none in both engines
+_PPMI = f"""WITH lines AS (SELECT row_number() OVER () AS line_no, {tokens_sql('text')} AS line FROM documents),
+w AS (SELECT line_no, unnest(list_filter(string_split(line, ' '), lambda x: x <> '')) AS word,
+  generate_subscripts(list_filter(string_split(line, ' '), lambda x: x <> ''), 1) AS i FROM lines),
+known AS (SELECT word FROM w GROUP BY word HAVING count(*) >= 20),
+k AS (SELECT * FROM w SEMI JOIN known USING (word)),
+step AS (SELECT unnest(range(1, 6)) AS d),
+one AS (SELECT a.word AS x, b.word AS y, 6 - d AS weight FROM k a CROSS JOIN step JOIN k b ON b.line_no = a.line_no AND b.i = a.i + d),
+pairs AS (SELECT x AS word, y AS near, sum(weight) AS n FROM (SELECT * FROM one UNION ALL SELECT y, x, weight FROM one) GROUP BY x, y),
+sums AS (SELECT word, sum(n) AS n FROM pairs GROUP BY word),
+v AS (SELECT pairs.word, near, ln(CAST(pairs.n AS DOUBLE) * CAST((SELECT sum(n) FROM pairs) AS DOUBLE) / (CAST(a.n AS DOUBLE) * CAST(b.n AS DOUBLE)))
+  - ln({NEGATIVES}.0::DOUBLE) AS value FROM pairs JOIN sums a ON a.word = pairs.word JOIN sums b ON b.word = near)
+SELECT word, near, round(value, 6) AS value FROM v WHERE value > 0.000000001"""
 
-def _host_vectors(spark: SparkSession, d: str) -> DataFrame:
-    """Vectors of title, body and name of every page host, from words trained on the page texts."""
-    from clickfolk.functions.html import visible_text
-    from clickfolk.functions.text import normalise_tokens
 
+def _numbered(text: str | Column) -> Column:
+    return S.bucket_of(F.col(text) if isinstance(text, str) else text, 1 << 32)
+
+
+GRAM_BUCKETS = 200
+
+
+def given_vectors(spark: SparkSession, d: str, words: DataFrame) -> S.SubwordVectors:
+    """N-gram vectors from the first ``embeddings`` (a quarter of the buckets unknown), own vectors for a third of ``words``."""
+    given = views.table(spark, d, "embeddings")
+    buckets = given.where((F.col("vec_id") < GRAM_BUCKETS) & (F.col("vec_id") % 4 != 0)).select(
+        F.col("vec_id").alias("bucket"), F.col("embedding").cast("array<double>").alias("vector"))
+    number = _numbered("word")
+    known = words.where(number % 3 == 0).withColumn("vec_id", GRAM_BUCKETS + number % 100)
+    own = known.join(given, "vec_id").select("word", F.col("embedding").cast("array<double>").alias("vector"))
+    return S.SubwordVectors(own, buckets, GRAM_BUCKETS)
+
+
+def _host_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of title, body and name of every page host, from given words and n-grams."""
     docs = D.site_docs(views.table(spark, d, "pages"))
-    lines = docs.select(F.concat_ws(" ", F.regexp_replace("host", "[.-]", " "),
-                                    normalise_tokens(visible_text(F.col("html")))).alias("line"))
-    words = V.train_word_vectors(lines, "line", dim=16, min_count=5, seed=1)
-    return V.host_text_vectors(docs, docs.select("host"), whitelist(spark, d), words, 16)
+    words = V.words_of(V.host_texts(docs, docs.select("host"), whitelist(spark, d), True), "text")
+    model = given_vectors(spark, d, materialise(words, "words"))
+    vectors = V.host_text_vectors(docs, docs.select("host"), whitelist(spark, d), model, DIM)
+    fields = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"text_{f}").alias("vector")) for f in V.FIELDS])
+    return vectors.select("host", F.inline(fields)).select("host", "field", *[_at(i) for i in range(DIM)])
+
+
+def _hash_sql(x: str) -> str:
+    return f"CAST('0x' || substr(md5({x}), 1, 8) AS BIGINT)"
+
+
+_COMPOSED_SQL = f"""words AS (SELECT DISTINCT word FROM tokens),
+grams AS (SELECT DISTINCT word, {_hash_sql("substr('<' || word || '>', i, n)")} % {GRAM_BUCKETS} AS vec_id
+  FROM (SELECT word, n, unnest(range(1, length(word) + 4 - n)) AS i FROM (SELECT word, unnest(range(3, 7)) AS n FROM words))),
+parts AS (SELECT word, vec_id FROM grams WHERE vec_id % 4 <> 0
+  UNION ALL SELECT word, {GRAM_BUCKETS} + {_hash_sql('word')} % 100 FROM words WHERE {_hash_sql('word')} % 3 = 0),
+cells AS (SELECT word, unnest(range(1, {DIM + 1})) AS i, unnest(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS x
+  FROM parts JOIN embeddings USING (vec_id)),
+composed AS (SELECT word, i, avg(x) AS x FROM cells GROUP BY word, i),
+units AS (SELECT word, i, x / sqrt(sum(x * x) OVER (PARTITION BY word)) AS u FROM composed)"""
+
+
+def _text_cells(keys: str) -> str:
+    """``means``: the mean unit vector of each text's known words, one row per text."""
+    dims = ", ".join(f"avg(u) FILTER (i = {i + 1}) AS m{i}" for i in range(DIM))
+    return f"{_COMPOSED_SQL},\nmeans AS (SELECT {keys}, {dims} FROM tokens JOIN units USING (word) GROUP BY {keys})"
+
+
+def _cells_sql(present: str) -> str:
+    return ", ".join(f"CASE WHEN {present} THEN CAST(floor(CAST(CAST(coalesce(m{i}, 0) AS FLOAT) AS DOUBLE) * 100000 + 0.5::DOUBLE) AS BIGINT) END "
+                     f"AS v{i}" for i in range(DIM))
+
+
+_HOST_VECTORS = views.with_views(
+    f"SELECT host, field, {_cells_sql('text IS NOT NULL')} FROM texts LEFT JOIN means USING (host, field)", "page_docs",
+    extra=WHITELIST_SQL + f""",
+texts AS (SELECT host, 'domain' AS field, host AS text FROM page_docs
+  UNION ALL SELECT host, 'description', CAST(NULL AS VARCHAR) FROM page_docs
+  UNION ALL SELECT host, 'title', CASE WHEN host IN (SELECT host FROM whitelist) THEN {tokens_sql('title')} END FROM page_docs
+  UNION ALL SELECT host, 'body', CASE WHEN host IN (SELECT host FROM whitelist) THEN {tokens_sql(BODY_TEXT_SQL)} END FROM page_docs),
+tokens AS (SELECT host, field, word FROM (SELECT host, field, unnest(string_split(text, ' ')) AS word FROM texts) WHERE word <> ''),
+""" + _text_cells("host, field"))
+
+
+def _document_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of all documents; every tenth id has no text, every eleventh an empty one."""
+    doc = F.col("doc_id")
+    text = F.when(doc % 10 == 0, F.lit(None)).when(doc % 11 == 0, F.lit("")).otherwise(E.normalise_tokens(F.col("text")))
+    texts = materialise(views.table(spark, d, "documents").select("doc_id", text.alias("text")), "texts")
+    model = given_vectors(spark, d, materialise(V.words_of(texts, "text"), "words"))
+    return V.text_vector(texts, "doc_id", "text", model, DIM).select("doc_id", *[_at(i) for i in range(DIM)])
+
+
+_DOCUMENT_VECTORS = f"""WITH texts AS (SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN ''
+  ELSE {tokens_sql('text')} END AS text FROM documents),
+tokens AS (SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM texts) WHERE word <> ''),
+{_text_cells('doc_id')}
+SELECT doc_id, {_cells_sql('text IS NOT NULL')} FROM texts LEFT JOIN means USING (doc_id)"""
 
 
 def _index(spark: SparkSession, d: str) -> DataFrame:
@@ -104,7 +208,9 @@ QUERIES = {
     "h1_train_word_vectors": Query(_trained),
     "h2_text_vector": Query(
         lambda s, d: _text_vectors(s, d).select("event_id", *[_at(i) for i in range(DIM)]), _VECTOR_SQL),
-    "h3_host_text_vectors": Query(_host_vectors),
+    "h1_ppmi": Query(_ppmi, _PPMI),
+    "h2_document_vectors": Query(_document_vectors, _DOCUMENT_VECTORS),
+    "h3_host_text_vectors": Query(_host_vectors, _HOST_VECTORS),
     "h4_host_features": Query(
         lambda s, d: flat(features(s, d)),
         views.with_views("SELECT host, t0, t1, d0 FROM features", "page_docs", extra=FEATURES_SQL),

@@ -2,64 +2,25 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfolk.functions.arrays import let
 from clickfolk.functions.html import body_text
 from clickfolk.functions.text import depunycode, normalise_tokens
 from clickfolk.operators.ranking import HOT_ROWS, position
+from clickfolk.operators.subwords import SubwordVectors, compose, train
 from clickfolk.session import materialise
 
 FIELDS = ["title", "description", "body", "domain"]
 
 
 def train_word_vectors(corpus: DataFrame, column: str = "line", dim: int = 300, min_count: int = 5,
-                       seed: int = 0, partitions: int | None = None, iterations: int = 1,
-                       max_words: int = 1_000_000) -> DataFrame:
-    """``word, vector`` by skip-gram over the corpus lines; words seen less than ``min_count`` get none.
-
-    MLlib holds vocabulary x dim on the driver while training: where more than ``max_words`` words pass, the rarest
-    counts are left out until they fit, and a warning says so. Training runs in ``partitions`` tasks, as many as a shuffle has by default.
-    """
-    words = corpus.select(F.split(F.trim(column), " +").alias("words"))
-    partitions = partitions or int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    least = least_count(words, min_count, max_words)
-    if least > min_count:
-        excluded = word_counts(words).where((F.col("n") >= min_count) & (F.col("n") < least)).count()
-        logging.getLogger(__name__).warning(
-            "more than %d words are seen %d times: least count %d, %d words excluded", max_words, min_count, least, excluded)
-    model = Word2Vec(
-        vectorSize=dim, minCount=least, seed=seed, numPartitions=partitions, maxIter=iterations,
-        inputCol="words", outputCol="v",
-    ).fit(words)
-    return model.getVectors().select(
-        "word", F.transform(vector_to_array("vector"), lambda x: x.cast("float")).alias("vector")
-    )
-
-
-def word_counts(words: DataFrame) -> DataFrame:
-    return words.select(F.explode("words").alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
-
-
-def least_count(words: DataFrame, min_count: int, max_words: int) -> int:
-    """The smallest count from ``min_count`` up that at most ``max_words`` words reach."""
-    by_count = word_counts(words).where(F.col("n") >= min_count).groupBy("n").agg(F.count("*").alias("words"))
-    # one row per distinct count, far fewer than words
-    down = Window.partitionBy(F.lit(0)).orderBy(F.desc("n"))
-    fits = by_count.withColumn("_total", F.sum("words").over(down)).where(F.col("_total") <= max_words)
-    row = by_count.agg(F.max("n").alias("most"), F.min("n").alias("least")).first()
-    if row["most"] is None:
-        return min_count
-    fitting = fits.agg(F.min("n").alias("n")).first()["n"]
-    if fitting == row["least"]:
-        return min_count
-    return (fitting or row["most"] + 1)
+                       seed: int = 0, iterations: int = 2, **settings) -> SubwordVectors:
+    """Vectors of the words seen at least ``min_count`` times and of the letter n-grams they have (``subwords.train``)."""
+    return train(corpus, column, dim, min_count, seed=seed, iterations=iterations, **settings)
 
 
 def unit(vector: Column) -> Column:
@@ -93,31 +54,56 @@ def mean_word_vectors(texts: DataFrame, keys: Sequence[str], column: str, vector
     return sums.select(*keys, vector.alias("vector"))
 
 
-def text_vector(df: DataFrame, key: str, column: str, vectors: DataFrame, dim: int) -> DataFrame:
+def words_of(texts: DataFrame, column: str) -> DataFrame:
+    return texts.select(F.explode(F.split(column, " ")).alias("word")).where("word <> ''").distinct()
+
+
+def any_word_vectors(texts: DataFrame, keys: Sequence[str], column: str, vectors: DataFrame | SubwordVectors, dim: int) -> DataFrame:
+    """``mean_word_vectors``; with sub-words, every word of the texts is composed first, once per distinct word.
+
+    A text whose words have no known part has zeros, as an empty one; a null text has null.
+    """
+    if isinstance(vectors, SubwordVectors):
+        vectors = materialise(compose(words_of(texts, column), vectors), "composed-words")
+    return mean_word_vectors(texts, keys, column, vectors, dim)
+
+
+def text_vector(df: DataFrame, key: str, column: str, vectors: DataFrame | SubwordVectors, dim: int) -> DataFrame:
     """``key, vector`` for a table with one text per key."""
-    return mean_word_vectors(df, [key], column, vectors, dim)
+    return any_word_vectors(df, [key], column, vectors, dim)
 
 
-def host_text_vectors(docs: DataFrame, hosts: DataFrame, whitelist: DataFrame, vectors: DataFrame,
-                      dim: int) -> DataFrame:
-    """Per host one vector of title, description, body (whitelisted hosts only) and of the host name.
+def host_texts(docs: DataFrame, hosts: DataFrame, whitelist: DataFrame, host_as_word: bool) -> DataFrame:
+    """``host, field, text``: title, description and body (whitelisted hosts only), and the host name.
 
-    All four fields go through one word join in long form and come back with one aggregation per host.
+    The name is one word, whose letters speak for it, or is split at dots and hyphens.
     """
     chosen = docs.join(whitelist, "host", "left_semi")
-    fields = hosts.select("host").join(chosen, "host", "left").select(
+    name = depunycode(F.col("host"))
+    return hosts.select("host").join(chosen, "host", "left").select(
         "host",
-        F.map_from_arrays(
+        F.explode(F.map_from_arrays(
             F.array(*[F.lit(f) for f in FIELDS]),
             F.array(
                 normalise_tokens(F.col("title")), normalise_tokens(F.col("description")),
                 normalise_tokens(body_text(F.col("html"))),
-                F.regexp_replace(depunycode(F.col("host")), r"[.\-]", " "),
+                name if host_as_word else F.regexp_replace(name, r"[.\-]", " "),
             ),
-        ).alias("_texts"),
+        )).alias("field", "text"),
     )
-    long = fields.select("host", F.explode("_texts").alias("field", "text"))
-    filled = mean_word_vectors(long, ["host", "field"], "text", vectors, dim)
+
+
+def host_text_vectors(docs: DataFrame, hosts: DataFrame, whitelist: DataFrame, vectors: DataFrame | SubwordVectors,
+                      dim: int) -> DataFrame:
+    """Per host one vector of title, description, body (whitelisted hosts only) and of the host name.
+
+    All four fields go through one word join in long form and come back with one aggregation per host.
+    """
+    subwords = isinstance(vectors, SubwordVectors)
+    long = host_texts(docs, hosts, whitelist, subwords)
+    if subwords:
+        long = materialise(long, "host-texts")  # pages are parsed once, the texts are read twice
+    filled = any_word_vectors(long, ["host", "field"], "text", vectors, dim)
     return filled.groupBy("host").agg(
         *[F.max(F.when(F.col("field") == f, F.col("vector"))).alias(f"text_{f}") for f in FIELDS]
     )

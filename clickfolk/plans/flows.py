@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,10 @@ def prepare_hosts(spark: SparkSession, out: str, docs: DataFrame, whitelist: Dat
     counts = readers.read_host_list(spark, f"{out}/host_counts")
     writers.write_corpus(pages.build_corpus(docs, whitelist, counts), f"{out}/corpus")
     corpus = spark.read.text(f"{out}/corpus").withColumnRenamed("value", "line")
-    writers.write_artifact(vectors.train_word_vectors(corpus, "line", dim, min_count), f"{out}/word_vectors")
-    words = spark.read.parquet(f"{out}/word_vectors")
+    model = vectors.train_word_vectors(corpus, "line", dim, min_count)
+    writers.write_artifact(model.words, f"{out}/word_vectors")
+    writers.write_artifact(model.buckets, f"{out}/ngram_vectors")
+    words = replace(model, words=spark.read.parquet(f"{out}/word_vectors"), buckets=spark.read.parquet(f"{out}/ngram_vectors"))
     profile = aggregates.host_profile(
         spark.read.parquet(f"{out}/clicks"), spark.read.parquet(f"{out}/train"), None
     )
