@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfolk.catalog import views
 from clickfolk.catalog.registry import Query
 from clickfolk.functions import rules as R
 from clickfolk.operators import hosts as H
+from clickfolk.operators import rule_program as P
+from clickfolk.operators.ranking import position
+from clickfolk.session import fresh_path, materialise
 from clickfolk.sources.readers import RuleSet
 
 AMP = ["example.org", "example.net"]
@@ -106,6 +109,112 @@ HOST_ONLY = ("amp_domains", "cdn_domains", "domain_replace_sub", "domain_replace
 FULL = ("cdn_domains", "domain_replace_sub", "domain_replace_contains", "prefix_funky", "title_replace")
 
 
+# ---------------------------------------------------------------- rule tables of any size
+
+def _junk_rules(docs: DataFrame) -> DataFrame:
+    """One title rule per title of a junk host, as a table."""
+    rows = docs.where(F.col("host").rlike(JUNK)).select("title", F.lit(JUNK_HOST).alias("replace_to")).distinct()
+    return materialise(P.as_rules(rows, "title_replace", F.lit(0), F.monotonically_increasing_id()), "junk-rules")
+
+
+def _titles_replaced(spark: SparkSession, d: str) -> DataFrame:
+    docs = views.titled_docs(spark, d)
+    return H.host_mapping(views.clicks(spark, d), _junk_rules(docs), docs)
+
+
+# per rule table: which pages give a rule, and its columns, in Spark and in SQL
+_HOST = F.regexp_extract("url", "^https?://([^/?#:]+)", 1)
+_PARENT, _PARENT_SQL = F.regexp_extract(_HOST, r"^[^.]+\.(.+)$", 1), f"regexp_extract({views.HOST_SQL}, '^[^.]+\\.(.+)$', 1)"
+_NUMBER, _NUMBER_SQL = F.col("page_id").cast("string"), "CAST(page_id AS VARCHAR)"
+_FILES = {
+    "amp_domains": (0, {"domain": _PARENT}),
+    "cdn_domains": (1, {"domain": _HOST, "replace_to": F.concat(F.lit("static"), _NUMBER)}),
+    "domain_replace_sub": (2, {"domain": _HOST, "replace_to": F.concat(F.lit("p"), _NUMBER),
+                               "whitelist": F.when(F.col("page_id") % 5 == 0, F.concat(_HOST, F.lit(" m."), _HOST))}),
+    "domain_replace_contains": (3, {"contains": F.substring(_HOST, 3, 7), "replace_to": F.concat(F.lit("c"), _NUMBER)}),
+    "replace_tld": (4, {"replace_from": F.concat(F.lit("n"), _NUMBER), "replace_to": F.lit("com")}),
+    "prefix_funky": (5, {"prefix": F.concat(F.lit("www"), _NUMBER)}),
+    "title_replace": (6, {"title": F.concat(F.lit('a "title", '), _NUMBER), "replace_to": _PARENT}),
+}
+_FILES_SQL = [
+    ("amp_domains", 0, _PARENT_SQL, "NULL", "NULL"), ("cdn_domains", 1, views.HOST_SQL, f"'static' || {_NUMBER_SQL}", "NULL"),
+    ("domain_replace_sub", 2, views.HOST_SQL, f"'p' || {_NUMBER_SQL}",
+     f"CASE WHEN page_id % 5 = 0 THEN {views.HOST_SQL} || ' m.' || {views.HOST_SQL} END"),
+    ("domain_replace_contains", 3, f"substr({views.HOST_SQL}, 3, 7)", f"'c' || {_NUMBER_SQL}", "NULL"),
+    ("replace_tld", 4, f"'n' || {_NUMBER_SQL}", "'com'", "NULL"), ("prefix_funky", 5, f"'www' || {_NUMBER_SQL}", "NULL", "NULL"),
+    ("title_replace", 6, f"'a \"title\", ' || {_NUMBER_SQL}", _PARENT_SQL, "NULL"),
+]
+
+
+def _rules_read(spark: SparkSession, d: str) -> DataFrame:
+    """Rules taken from the pages, written as files in the order of the pages and read again in that order."""
+    folder = fresh_path(spark, "rule-files")
+    for name, (part, columns) in _FILES.items():
+        rows = views.table(spark, d, "pages").where(F.col("page_id") % 7 == part)
+        # a rule file is one file
+        one = rows.select("page_id", *[c.alias(k) for k, c in columns.items()]).repartition(1).sortWithinPartitions("page_id")
+        one.drop("page_id").write.option("header", True).option("escape", '"').csv(f"{folder}/{name}.txt")
+    return P.read_rule_table(spark, folder)
+
+
+def _rules_in_order(spark: SparkSession, d: str) -> DataFrame:
+    rows = _rules_read(spark, d).select("kind", "at.block", "at.line", "key", "to", "whitelist")
+    placed = position(materialise(rows, "rules"), ["kind"], ["block", "line"], ["key"], "place")
+    return placed.select("kind", "place", "key", "to", "whitelist")
+
+
+_RULES_IN_ORDER = " UNION ALL ".join(
+    f"SELECT '{name}' AS kind, row_number() OVER (ORDER BY page_id) - 1 AS place, {key} AS key, CAST({to} AS VARCHAR) AS \"to\", "
+    f"CAST({listed} AS VARCHAR) AS whitelist FROM pages WHERE page_id % 7 = {part}" for name, part, key, to, listed in _FILES_SQL)
+
+
+def _first_of_many(spark: SparkSession, d: str) -> DataFrame:
+    """Sub-domain rules of every fourth page, then parts of the hosts of the pages after them; the first in page order wins."""
+    pages = views.table(spark, d, "pages")
+    sub = pages.where("page_id % 4 = 0").select(_HOST.alias("domain"), F.concat(F.lit("P"), _NUMBER).alias("replace_to"), "page_id")
+    part = pages.where("page_id % 4 = 1").select(
+        F.substring(_HOST, 3, 5).alias("contains"), F.concat(F.lit("C"), _NUMBER).alias("replace_to"), "page_id")
+    rules = P.as_rules(sub, "domain_replace_sub", F.lit(0), F.col("page_id")).unionByName(
+        P.as_rules(part, "domain_replace_contains", F.lit(0), F.col("page_id")))
+    hosts = pages.select(_HOST.alias("url_host"))
+    return H.host_mapping(hosts, materialise(rules, "rules"), views.titled_docs(spark, d))
+
+
+_FIRST_OF_MANY = f"""WITH h AS (SELECT DISTINCT {views.HOST_SQL} AS host FROM pages),
+s AS (SELECT page_id, {views.HOST_SQL} AS domain FROM pages WHERE page_id % 4 = 0),
+c AS (SELECT page_id, substr({views.HOST_SQL}, 3, 5) AS part FROM pages WHERE page_id % 4 = 1),
+a AS (SELECT host, min(page_id) AS p FROM h LEFT JOIN s ON ends_with('.' || host, '.' || domain) GROUP BY host),
+b AS (SELECT host, min(page_id) AS p FROM h LEFT JOIN c ON contains(host, part) GROUP BY host)
+SELECT host, CASE WHEN a.p IS NOT NULL THEN 'P' || CAST(a.p AS VARCHAR) WHEN b.p IS NOT NULL THEN 'C' || CAST(b.p AS VARCHAR)
+  ELSE host END AS canonical FROM a JOIN b USING (host)"""
+
+
+class LongHost:
+    """Hosts of more than three labels and an even length lose the first one."""
+
+    def apply(self, host: Column, title: Column) -> Column:
+        cut = (F.size(F.split(host, r"\.")) > 3) & (F.length(host) % 2 == 0)
+        return F.when(cut, R.remainder(host)).otherwise(host)
+
+
+class Untitled:
+    """Hosts without a title share one name."""
+
+    def apply(self, host: Column, title: Column) -> Column:
+        return F.when(title.isNull(), F.lit("untitled.example.com")).otherwise(host)
+
+
+def _custom(spark: SparkSession, d: str) -> DataFrame:
+    rules = P.rule_table(spark, rule_set("cdn_domains", "domain_replace_contains"))
+    return H.host_mapping(views.clicks(spark, d), rules, views.titled_docs(spark, d), custom=[LongHost(), Untitled()])
+
+
+STEPS["custom"] = [
+    "CASE WHEN len(string_split({h}, '.')) > 3 AND length({h}) % 2 = 0 THEN substr({h}, instr({h}, '.') + 1) ELSE {h} END",
+    "CASE WHEN {h} NOT IN (SELECT host FROM titled WHERE title IS NOT NULL) THEN 'untitled.example.com' ELSE {h} END",
+]
+
+
 def canonical_clicks(spark: SparkSession, d: str) -> DataFrame:
     docs = views.titled_docs(spark, d)
     return H.canonicalise(views.clicks(spark, d), rule_set(*FULL, junk_titles=junk_titles(docs)), docs)
@@ -124,7 +233,7 @@ QUERIES = {
     "c5_contains_rule": _mapping_query("domain_replace_contains"),
     "c6_tld_rule": _mapping_query("replace_tld"),
     "c7_prefix_rule": _mapping_query("prefix_funky"),
-    "c8_title_rule": _mapping_query("title_replace"),
+    "c8_title_rule": Query(_titles_replaced, _mapping_query("title_replace").sql),
     "c9_title_of": Query(
         lambda s, d: H.title_of(H.host_counts(views.clicks(s, d)).select("host"), views.titled_docs(s, d)),
         views.with_views(
@@ -142,4 +251,9 @@ QUERIES = {
         "WITH clicks AS (SELECT DISTINCT " + views.HOST_SQL + " AS url_host FROM pages),\n" + mapping_cte(*HOST_ONLY)
         + f"\nSELECT page_id, canonical FROM pages JOIN mapping ON host = {views.HOST_SQL}",
     ),
+    "c11_rule_table": Query(_first_of_many, _FIRST_OF_MANY),
+    "a2_read_rules": Query(_rules_in_order, _RULES_IN_ORDER),
+    "l1_custom_rules": Query(_custom, views.with_views(
+        "SELECT host, canonical FROM mapping", "clicks", "titled",
+        extra=mapping_cte("cdn_domains", "domain_replace_contains", "custom"))),
 }

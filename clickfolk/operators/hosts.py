@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from clickfolk.functions import rules as R
 from clickfolk.session import materialise
 from clickfolk.sources.readers import RuleSet
 
+MANY_RULES = 200
+
 
 def host_counts(df: DataFrame, column: str = "url_host") -> DataFrame:
     """Rows per host without nulls. Sort with ``by_count`` where the order is wanted."""
@@ -95,9 +99,19 @@ def replace_titles(hosts: DataFrame, rules: list[dict], docs: DataFrame, column:
     )
 
 
-def host_mapping(df: DataFrame, rules: RuleSet, docs: DataFrame, column: str = "url_host") -> DataFrame:
-    """``host, canonical`` for every distinct non-null host."""
+def host_mapping(df: DataFrame, rules: RuleSet | DataFrame, docs: DataFrame, column: str = "url_host",
+                 custom: Sequence[R.HostRule] = (), many: int = MANY_RULES) -> DataFrame:
+    """``host, canonical`` for every distinct non-null host.
+
+    A rule table, custom rules and lists of more than ``many`` rules run as a program of joins, a short list as one
+    expression per host; both give the same hosts.
+    """
     distinct = df.where(F.col(column).isNotNull()).select(F.col(column).alias("host")).distinct()
+    if isinstance(rules, DataFrame) or custom or sum(len(rows) for rows in vars(rules).values()) > many:
+        from clickfolk.operators.rule_program import rule_table, run_rules
+
+        rules = rules if isinstance(rules, DataFrame) else rule_table(df.sparkSession, rules)
+        return run_rules(distinct, rules, docs, custom)
     mapped = distinct.withColumn("canonical", R.compile_rules(rules, F.col("host")))
     if rules.prefix_funky:
         # read twice by the prefix step: the rules above run once per host
@@ -116,11 +130,12 @@ def apply_mapping(df: DataFrame, mapping: DataFrame, column: str = "url_host") -
     )
 
 
-def canonicalise(df: DataFrame, rules: RuleSet, docs: DataFrame, column: str = "url_host") -> DataFrame:
+def canonicalise(df: DataFrame, rules: RuleSet | DataFrame, docs: DataFrame, column: str = "url_host",
+                 custom: Sequence[R.HostRule] = ()) -> DataFrame:
     """Map each distinct host once and join back.
 
     Only hosts that change are kept, and the mapping is written out before the join: the planner then knows
     its size and broadcasts it if small, else joins by shuffle with skew splitting for hot hosts.
     """
-    mapping = host_mapping(df, rules, docs, column).where(F.col("host") != F.col("canonical"))
+    mapping = host_mapping(df, rules, docs, column, custom).where(F.col("host") != F.col("canonical"))
     return apply_mapping(df, materialise(mapping, "host-mapping"), column)

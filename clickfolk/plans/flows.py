@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickfolk.operators import aggregates, cleaning, hosts, metrics, pages, scoring, sequences, splits, vectors
+from clickfolk.operators import aggregates, cleaning, hosts, metrics, pages, rule_program, scoring, sequences, splits, vectors
 from clickfolk.session import materialise
 from clickfolk.sources import readers, writers
 
@@ -16,7 +16,7 @@ def prepare_clicks(spark: SparkSession, clicks_path: str, users_path: str, rules
                    out: str, buckets: int = readers.USER_BUCKETS, seed: int = 0) -> None:
     """Raw log and labels to: mapped log, host counts, user buckets, dictionary, train and test split."""
     clicks = cleaning.type_clicks(readers.read_clicks(spark, clicks_path))
-    rules = readers.read_rules(spark, rules_path)
+    rules = rule_program.read_rule_table(spark, rules_path)
     writers.write_table(hosts.canonicalise(clicks, rules, docs), f"{out}/clicks")
     mapped = spark.read.parquet(f"{out}/clicks")
     writers.write_csv(hosts.by_count(hosts.host_counts(mapped)), f"{out}/host_counts")

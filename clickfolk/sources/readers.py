@@ -67,6 +67,16 @@ def read_rules(spark: SparkSession, folder: str, suffix: str = ".txt") -> RuleSe
     return RuleSet(**tables)
 
 
+def read_rule_rows(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Rows of one rule CSV with ``_block`` and ``_line``, which give their order in the file.
+
+    The file may be split: where a split begins orders the splits, a running number orders the lines inside one. Store the
+    result before it is used twice. ``path`` is one file: the order of several is not told.
+    """
+    rows = spark.read.schema(ddl).option("header", True).option("escape", '"').csv(path)
+    return rows.select("*", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+
+
 # ---------------------------------------------------------------- host lists and submissions
 
 
