@@ -1,4 +1,9 @@
-"""Exact-size, seeded train/test splits."""
+"""Exact-size, seeded train/test splits.
+
+Every row has a lot, fixed by its key and the seed, and the rows with the least lots of a stratum are drawn. Nothing is
+ranked: the lot of the last row drawn is found per stratum by counting lots by their leading digits, first over all rows,
+then only inside the cell that holds it; a comparison with it splits the table where it lies.
+"""
 
 from __future__ import annotations
 
@@ -7,16 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickfolk.operators.ranking import HOT_ROWS, null_safe_join, position
+from clickfolk.operators.ranking import null_safe_join, tie_bucket
 from clickfolk.session import materialise
 
+CELL_ROWS = 1_000_000  # a cell of at most so many rows is counted lot by lot
+_STEP = 4  # digits by which a cell is refined: 65,536 counts
+_DIGITS = 34
+
 
-def _drawn(df: DataFrame, strata: Sequence[str], key: str, seed: int, hot_rows: int) -> DataFrame:
-    """Place of every row in a random order of its stratum, fixed by key and seed."""
-    lots = df.withColumn("_lot", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))))
-    # read more than once below
-    lots = materialise(lots, "lots")
-    return position(lots, strata, [], ["_lot", key], "_place", hot_rows).drop("_lot")
+def _with_lot(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """``_lot``: 34 hexadecimal digits. A null key has the lot of an empty one."""
+    drawn = df.withColumn("_md5", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))))
+    return drawn.withColumn("_lot", F.concat(tie_bucket(["_md5", key]), F.col("_md5"))).drop("_md5")
 
 
 def split_quotas(df: DataFrame, fraction: float, strata: Sequence[str]) -> DataFrame:
@@ -35,19 +42,57 @@ def split_quotas(df: DataFrame, fraction: float, strata: Sequence[str]) -> DataF
     return shares.select(*strata, "n_rows", quota.alias("n_test"))
 
 
+def last_lots(lots: DataFrame, strata: Sequence[str], quotas: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """``strata, _last, _need, _have``: the greatest lot drawn per stratum, how many rows with it are drawn, and how many have it.
+
+    ``quotas``: ``strata, n_rows, n_test``; a stratum without a row to draw has none here. One narrow pass over the rows for the
+    leading digits, a second one over the cells found; more only where a cell still holds more than ``cell_rows``.
+    """
+    cells = quotas.where("n_test > 0").select(
+        *strata, F.lit("").alias("_last"), F.col("n_test").alias("_need"), F.col("n_rows").alias("_have"))
+    digits = 0
+    while digits < _DIGITS:
+        most = cells.agg(F.max("_have")).first()[0] or 0
+        digits = _DIGITS if most <= cell_rows else min(digits + _STEP, _DIGITS)
+        inside = null_safe_join(lots.select(*strata, "_lot"), cells, strata).where(F.col("_lot").startswith(F.col("_last")))
+        counts = inside.groupBy(*strata, F.substring("_lot", 1, digits).alias("_cell")).agg(
+            F.count("*").alias("_n"), F.first("_need").alias("_need"))
+        upto = F.sum("_n").over(Window.partitionBy(*strata).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
+        found = counts.withColumn("_upto", upto).where((F.col("_upto") - F.col("_n") < F.col("_need")) & (F.col("_need") <= F.col("_upto")))
+        cells = materialise(found.select(
+            *strata, F.col("_cell").alias("_last"), (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_need"),
+            F.col("_n").alias("_have")), "lot-cells")
+    return cells
+
+
+def _split(df: DataFrame, strata: Sequence[str], quotas: DataFrame, key: str, seed: int, cell_rows: int) -> DataFrame:
+    lots = _with_lot(df, key, seed)
+    last = last_lots(lots, strata, quotas, cell_rows)
+    marked = null_safe_join(lots, last, strata, "left")
+    drawn = F.coalesce(F.col("_lot") <= F.col("_last"), F.lit(False))
+    if last.where("_need < _have").isEmpty():
+        return marked.select(*df.columns, drawn.alias("is_test"))
+    # rows with one key share a lot: where it is the last one, only some of them are drawn, any by their other columns
+    split_lot = F.coalesce((F.col("_lot") == F.col("_last")) & (F.col("_need") < F.col("_have")), F.lit(False))
+    place = F.row_number().over(Window.partitionBy(*strata).orderBy(F.xxhash64(*sorted(df.columns))))
+    rest = marked.where(~split_lot).select(*df.columns, drawn.alias("is_test"))
+    shared = marked.where(split_lot).select(*df.columns, (place <= F.col("_need")).alias("is_test"))
+    return rest.unionByName(shared)
+
+
 def stratified_split(df: DataFrame, fraction: float, strata: Sequence[str], key: str, seed: int,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``df`` with ``is_test``: exactly ``ceil(fraction*n)`` rows, shared out over the strata."""
+                     hot_rows: int = CELL_ROWS) -> DataFrame:
+    """``df`` with ``is_test``: exactly ``ceil(fraction*n)`` rows, shared out over the strata. ``hot_rows`` changes the plan only."""
     # stored, so the planner knows the size and broadcasts only what is small
-    quotas = materialise(split_quotas(df, fraction, strata).drop("n_rows"), "quotas")
-    placed = null_safe_join(_drawn(df, strata, key, seed, hot_rows), quotas, strata)
-    return placed.select(*df.columns, (F.col("_place") < F.col("n_test")).alias("is_test"))
+    quotas = materialise(split_quotas(df, fraction, strata), "quotas")
+    return _split(df, strata, quotas, key, seed, hot_rows)
 
 
-def random_split(df: DataFrame, fraction: float, key: str, seed: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+def random_split(df: DataFrame, fraction: float, key: str, seed: int, hot_rows: int = CELL_ROWS) -> DataFrame:
     """``df`` with ``is_test``: exactly ``ceil(fraction*n)`` rows drawn without strata."""
-    n_test = df.agg(F.ceil(F.lit(float(fraction)) * F.count("*"))).scalar()
-    return _drawn(df, [], key, seed, hot_rows).select(*df.columns, (F.col("_place") < n_test).alias("is_test"))
+    total = df.agg(F.count("*").alias("n_rows"), F.ceil(F.lit(float(fraction)) * F.count("*")).alias("n_test"))
+    whole = materialise(total.select(F.lit(0).alias("_all"), "n_rows", "n_test"), "quotas")
+    return _split(df.withColumn("_all", F.lit(0)), ["_all"], whole, key, seed, hot_rows).drop("_all")
 
 
 def train_part(split: DataFrame) -> DataFrame:
