@@ -1,10 +1,10 @@
 """Exact positions inside groups of any size.
 
 A window puts a whole group into one task. Groups here may be huge (one user with a third of the log, one
-dictionary column with most of its values seen once), so a group above ``hot_rows`` is cut into cells that
-are small by construction: the leading order columns, then 256 hash buckets of the remaining ones. A
-position is then the running total of the cells before plus the place inside the cell. The order is the
-same for every group, so the limit changes the plan and never the result.
+dictionary column with most of its values seen once), so a larger table is ranked by a sample sort: rows are dealt into
+ranges of the whole order, whose bounds Spark takes from a sample, and sorted inside them. A position is the number of the
+group's rows in the ranges before plus the place in the range; a range knows each group it holds by one count. No range
+depends on the size of a group. The order is the same either way, so the limit changes the plan and never the result.
 """
 
 from __future__ import annotations
@@ -15,7 +15,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickfolk.session import materialise
+
 HOT_ROWS = 4_000_000
+_RANGE_BITS = 33  # of a running number, the place in its task
 
 
 def tie_bucket(columns: Sequence[str]) -> Column:
@@ -48,7 +51,7 @@ def position(
     """0-based place of every row in its group, by ``coarse`` ('-' = descending), hash bucket, ``fine``.
 
     ``coarse`` columns must not be null. Pass a stored table (see ``session.materialise``): it is counted
-    first, which for Parquet reads the footers only, and read more than once if there may be hot groups.
+    first, which for Parquet reads the footers only, and read again for the sample. ``hot_rows``: rows that one task may rank.
     """
     keys = list(group) or ["_all"]
     rows = df.withColumn("_tie", tie_bucket(fine))
@@ -56,25 +59,20 @@ def position(
         rows = rows.withColumn("_all", F.lit(0))
     ordering = _ordering(coarse, fine)
     whole = F.row_number().over(Window.partitionBy(*keys).orderBy(*ordering)).cast("bigint") - 1
-    if df.count() <= hot_rows:  # then no group can be larger
+    n_rows = df.count()
+    if n_rows <= hot_rows:  # then no group can be larger
         return rows.withColumn(name, whole).drop("_tie", "_all")
 
-    # at most rows / hot_rows keys can pass, so this side is small whatever the data
-    hot = F.broadcast(rows.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(*keys))
-    plain = null_safe_join(rows, hot, keys, "left_anti").withColumn(name, whole)
-
-    big = null_safe_join(rows, hot, keys, "left_semi")
-    levels = [c.lstrip("-") for c in coarse] + ["_tie"]
-    before = Window.partitionBy(*keys).orderBy(*ordering[: len(levels)]).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    cells = (
-        big.groupBy(*keys, *levels).agg(F.count("*").alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    inside = F.row_number().over(Window.partitionBy(*keys, *levels).orderBy(*ordering)).cast("bigint") - 1
-    split = null_safe_join(big.withColumn("_inside", inside), cells, [*keys, *levels]).withColumn(
-        name, F.col("_before") + F.col("_inside")
-    ).select(*plain.columns)
-    return plain.unionByName(split).drop("_tie", "_all")
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // hot_rows))
+    order = [*[F.col(k).asc_nulls_first() for k in keys], *ordering]
+    dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # the running number of a sorted range stays with the row, whatever is read again later
+    placed = materialise(dealt.withColumn("_at", F.monotonically_increasing_id()), "ranked").withColumn(
+        "_range", F.shiftright("_at", _RANGE_BITS))
+    before = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per group and range: at most the groups and the ranges together
+    held = placed.groupBy(*keys, "_range").agg(F.count("*").alias("_n"), F.min("_at").alias("_first")).withColumn(
+        "_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    found = null_safe_join(placed, held, [*keys, "_range"])
+    return found.withColumn(name, F.col("_before") + F.col("_at") - F.col("_first")).drop(
+        "_tie", "_all", "_at", "_range", "_n", "_first", "_before")
