@@ -150,6 +150,30 @@ def fit_demographics(train: DataFrame, iterations: int = 50, regularisation: flo
     return DemographicModels(fit("is_male", "binomial"), fit("age_group", "multinomial"))
 
 
+def gradients(train: DataFrame, models: DemographicModels, regularisation: float = 0.01) -> DataFrame:
+    """``label, class, feature, gradient``: slope of the regularised loss at the fitted weights, near zero if they are its minimum.
+
+    ``feature`` is a user feature or ``intercept``. Features count in units of their deviation, as the fit has them; one that
+    never varies has no slope. One pass over the training rows.
+    """
+    rows = score_demographics(train, models)
+    joined = train.select("user_id", *USER_FEATURES).join(rows, "user_id")
+    gender, age = models.gender.stages[-1], models.age.stages[-1]
+    errors = {("is_male", 1): (F.col("pred_male") - F.col("is_male").cast("double"), gender.coefficients.toArray())}
+    for k in range(age.numClasses):
+        hit = (F.col("age_group") == k).cast("double")
+        errors["age_group", k] = (F.col(f"age_softmax_{k}") - hit, age.coefficientMatrix.toArray()[k])
+    spread = {c: F.stddev(F.col(c)) for c in USER_FEATURES}
+    slopes = []
+    for (label, k), (error, weights) in errors.items():
+        terms = {"intercept": F.avg(error)}
+        for c, w in zip(USER_FEATURES, weights.tolist()):
+            terms[c] = F.when(spread[c] > 0, F.avg(error * F.col(c)) / spread[c] + F.lit(regularisation * w) * spread[c])
+        slopes += [F.struct(F.lit(label).alias("label"), F.lit(k).alias("class"), F.lit(c).alias("feature"), v.alias("gradient"))
+                   for c, v in terms.items()]
+    return joined.agg(F.array(*slopes).alias("all")).select(F.inline("all")).where("gradient IS NOT NULL")
+
+
 def score_demographics(users: DataFrame, models: DemographicModels) -> DataFrame:
     """Prediction rows for users with features; labels are not needed and pass through if present."""
     kept = [c for c in users.columns if c not in USER_FEATURES]

@@ -164,9 +164,9 @@ def read_user_events(spark: SparkSession, path: str, user_ids: Iterable[int] | D
         wanted = user_ids.select("user_id").distinct().withColumn(
             "user_bucket", F.pmod("user_id", F.lit(buckets)).cast("int")
         )
-        # at most ``buckets`` values: as literals they prune the scan's partitions
-        opened = [row["user_bucket"] for row in wanted.select("user_bucket").distinct().collect()]
-        pruned = table.where(F.col("user_bucket").isin(opened))
+        # at most ``buckets`` rows; the comparison, true for all, marks this side as one that prunes the scan when it runs
+        opened = wanted.select("user_bucket").distinct().where(F.col("user_bucket") >= 0)
+        pruned = table.join(F.broadcast(opened), "user_bucket", "left_semi")
         return pruned.join(wanted, ["user_bucket", "user_id"], "left_semi").drop("user_bucket")
     ids = sorted(set(user_ids))
     return table.where(

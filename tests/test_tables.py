@@ -116,7 +116,11 @@ def test_read_user_events_prunes_buckets(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [user_bucket" in plan
     ids = spark.createDataFrame([(3,), (39,)], "user_id bigint")
-    assert sorted(r["user_id"] for r in A.read_user_events(spark, path, ids, 8).collect()) == [3, 39]
+    by_table = A.read_user_events(spark, path, ids, 8)
+    assert sorted(r["user_id"] for r in by_table.collect()) == [3, 39]
+    # the join itself prunes the scan while it runs
+    scan = [line for line in by_table._jdf.queryExecution().toString().split("\n") if "FileScan parquet" in line and path in line]
+    assert any("PartitionFilters:" in line and "dynamicpruning" in line for line in scan)
 
 
 def test_write_corpus_keeps_one_line_per_text(spark, tmp_path):
