@@ -13,6 +13,7 @@ Characters outside the vocabulary, and a literal blank mark, are spelled in byte
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import re
@@ -66,7 +67,16 @@ class Vocabulary:
         for piece in list(self.pieces):
             for n in range(1, len(piece)):
                 self.pieces.setdefault(piece[:n], False)
+        # the same as a tree by characters: score and id of a beginning, if it is a piece, and what may follow it
+        self.tree: dict[str, tuple] = {}
+        for piece in sorted(self.pieces):
+            at = self.tree
+            for char in piece[:-1]:
+                at = at[char][2]
+            number, score = self.pieces[piece] or (None, None)
+            at[piece[-1]] = (score, number, {})
         self.byte_score = worst - BYTE_PENALTY
+        self.longest = max(map(len, self.pieces), default=1)
         self.divides = all(MARK not in p.lstrip(MARK) and "\n" not in p for p in self.pieces)
 
     def chunks(self, text: str) -> list[str]:
@@ -83,40 +93,47 @@ class Vocabulary:
         The second best path, read from the end, first leaves the best one at some place by another piece and goes
         on from there as well as it can: its loss is that piece's, by the forward scores.
         """
-        size, get = len(chunk), self.pieces.get
+        size, tree = len(chunk), self.tree
         marked = (chunk.replace(MARK, "\0") if MARK in chunk else chunk).replace(" ", MARK)
         best, second = [-math.inf] * (size + 1), [-math.inf] * (size + 1)
-        back: list[tuple[int, tuple[int, ...]]] = [(0, ())] * (size + 1)
-        best[0] = 0.0
+        begun: list[int] = [0] * (size + 1)  # where the last piece of the best way to a place begins, and its ids
+        last: list[int | tuple[int, ...]] = [0] * (size + 1)
+        best[0], longest = 0.0, self.longest
         for i in range(size):
-            base, single = best[i], False
-            for j in range(i + 1, size + 1):
-                entry = get(marked[i:j])
-                if entry is None:
+            base, j, after, single = best[i], i, tree, None
+            for char in marked[i:i + longest]:
+                node = after.get(char)
+                if node is None:
                     break
-                if entry:
-                    if j == i + 1:
-                        single = True
-                    value = base + entry[1]
-                    if value > best[j]:
-                        second[j], best[j], back[j] = best[j], value, (i, entry)
+                score, entry, after = node
+                j += 1
+                if score is not None:
+                    if single is None:
+                        single = j
+                    value = base + score
+                    had = best[j]
+                    if value > had:
+                        second[j], best[j], begun[j], last[j] = had, value, i, entry
                     elif value > second[j]:
                         second[j] = value
-            if not single:
-                ids, score = self.spelled(chunk[i])
+            if single != i + 1:
+                entry, score = self.spelled(chunk[i])
                 value, j = base + score, i + 1
                 if value > best[j]:
-                    second[j], best[j], back[j] = best[j], value, (i, (ids, score))
+                    second[j], best[j], begun[j], last[j] = best[j], value, i, entry
                 elif value > second[j]:
                     second[j] = value
         ids, at, loss = [], size, -math.inf
         while at:
-            loss = max(loss, second[at] - best[at])
-            at, entry = back[at]
-            if isinstance(entry[0], int):
-                ids.append(entry[0])
+            apart = second[at] - best[at]
+            if apart > loss:
+                loss = apart
+            entry = last[at]
+            if isinstance(entry, int):
+                ids.append(entry)
             else:
-                ids += reversed(entry[0])
+                ids += reversed(entry)
+            at = begun[at]
         ids.reverse()
         return best[size], struct.pack(f"<{len(ids)}I", *ids), loss
 
@@ -262,26 +279,49 @@ def decode(rows: DataFrame, model: str, *, id_col: str = "doc_id", ids_col: str
         _decoding(model, ["doc"]), "doc bigint, text string").withColumnRenamed("doc", id_col)
 
 
-def _digesting(path: str):
-    """Encoded rows to fixed-size ones, while the ids are still in the task."""
+def _digests_of(vocabulary: Vocabulary, ids: bytes, decoded: bool) -> tuple[int, int, str | None]:
+    text = vocabulary.decode(np.frombuffer(ids, "<u4").tolist()).encode("utf-8", "surrogatepass") if decoded else b""
+    return len(ids) // 4, zlib.crc32(ids), hashlib.sha256(text).hexdigest() if decoded else None
+
+
+def _digesting(path: str, n: int):
+    """Texts to fixed-size rows: the ids of a text leave memory with it."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
+        vocabulary = _vocabulary(path)
+        searched = kept_in_process(f"pieces searched {path} {n}", lambda: _Searched(vocabulary, n))
+        for batch in slices(batches, "text", 1 << 20):
+            rows = []
+            for doc, text in zip(batch.column("doc").to_pylist(), batch.column("text").to_pylist()):
+                for rank, (score, ids) in enumerate(best_of_text(text or "", searched), start=1):
+                    rows.append((doc, rank, score, *_digests_of(vocabulary, ids, rank == 1)))
+            kinds = [pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
+                                             ["doc", "rank", "score", "n_pieces", "ids_crc32", "decoded_sha256"])
+
+    return run
+
+
+_DIGESTS = "doc bigint, rank int, score double, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string"
 
+
+def nbest_digests(docs: DataFrame, model: str, n: int = 3, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, rank, score, n_pieces, ids_crc32, decoded_sha256`` of what ``encode_nbest`` gives; the best one is decoded."""
+    return docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text")).mapInArrow(
+        _digesting(model, n), _DIGESTS).withColumnRenamed("doc", id_col)
+
+
+def _digesting_encoded(path: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
         for batch in slices(batches, "ids", 1 << 20):
-            ids = batch.column("ids").to_pylist()
-            decoded = [hashlib.sha256(vocabulary.decode(np.frombuffer(b, "<u4").tolist()).encode(
-                "utf-8", "surrogatepass")).hexdigest() if r == 1 else None
-                for b, r in zip(ids, batch.column("rank").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("rank"), batch.column("score"),
-                 pa.array([len(b) // 4 for b in ids], pa.int64()), pa.array([zlib.crc32(b) for b in ids], pa.int64()),
-                 pa.array(decoded, pa.string())], ["doc", "rank", "score", "n_pieces", "ids_crc32", "decoded_sha256"])
+            made = [_digests_of(vocabulary, b, r == 1) for b, r in zip(batch.column("ids").to_pylist(), batch.column("rank").to_pylist())]
+            columns = [pa.array(c, k) for c, k in zip(zip(*made), (pa.int64(), pa.int64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc", "rank", "score")], *columns],
+                                             ["doc", "rank", "score", "n_pieces", "ids_crc32", "decoded_sha256"])
 
     return run
 
 
 def digests(encoded: DataFrame, model: str, id_col: str = "doc_id") -> DataFrame:
-    """``id_col, rank, score, n_pieces, ids_crc32, decoded_sha256``; the best segmentation of a text is decoded."""
-    kind = "doc bigint, rank int, score double, n_pieces bigint, ids_crc32 bigint, decoded_sha256 string"
-    return encoded.withColumnRenamed(id_col, "doc").mapInArrow(_digesting(model), kind).withColumnRenamed("doc", id_col)
+    """The same of rows already encoded."""
+    return encoded.withColumnRenamed(id_col, "doc").mapInArrow(_digesting_encoded(model), _DIGESTS).withColumnRenamed("doc", id_col)

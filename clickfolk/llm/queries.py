@@ -62,8 +62,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three best segmentations of every document into pieces; the best one is decoded again."""
-    model = f"{TOKENIZERS}/piece_bpe_32k.model"
-    return pieces.digests(pieces.encode_nbest(table(spark, sf_dir, "documents"), model, 3), model)
+    return pieces.nbest_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", 3)
 
 
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
