@@ -32,7 +32,7 @@ from clickfolk.session import materialise
 
 travels(__name__)
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 BUCKET_ENTRIES = 1_000_000  # words of shards that a bucket holds on average
 _ROWS_OF_TASK = 33  # a shard's number: its task's number, then this many bits for its place in the task
 
@@ -120,9 +120,13 @@ def _shards(size: int):
             starts, lengths = _words(data, bounds)
             first, second = _hashes(data, starts, lengths)
             example, place = _distinct(first, second)
+            del first, second
             width = max(len(example), 1)
             row = np.repeat(np.arange(batch.num_rows), np.diff(np.searchsorted(starts, bounds)))
-            cells, counts = np.unique(row * width + place, return_counts=True)
+            place += row * width
+            del row
+            cells, counts = np.unique(place, return_counts=True)
+            del place
             begins = np.searchsorted(cells, np.arange(batch.num_rows + 1) * width)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), _list(batch.column("row")), _list(pa.array(begins, pa.int32())),
@@ -130,6 +134,8 @@ def _shards(size: int):
                  pa.array([len(example)], pa.int64()), pa.array([_joined(data, starts[example], lengths[example])], pa.binary())],
                 ["shard", "rows", "begins", "words", "counts", "n_entries", "vocabulary"])
             number += 1
+            del cells, counts, data, starts, lengths
+            pa.default_memory_pool().release_unused()
 
     return run
 
