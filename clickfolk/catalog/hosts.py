@@ -123,19 +123,32 @@ def _titles_replaced(spark: SparkSession, d: str) -> DataFrame:
 
 
 # per rule table: which pages give a rule, and its columns, in Spark and in SQL
-_HOST = F.regexp_extract("url", "^https?://([^/?#:]+)", 1)
-_PARENT, _PARENT_SQL = F.regexp_extract(_HOST, r"^[^.]+\.(.+)$", 1), f"regexp_extract({views.HOST_SQL}, '^[^.]+\\.(.+)$', 1)"
-_NUMBER, _NUMBER_SQL = F.col("page_id").cast("string"), "CAST(page_id AS VARCHAR)"
-_FILES = {
-    "amp_domains": (0, {"domain": _PARENT}),
-    "cdn_domains": (1, {"domain": _HOST, "replace_to": F.concat(F.lit("static"), _NUMBER)}),
-    "domain_replace_sub": (2, {"domain": _HOST, "replace_to": F.concat(F.lit("p"), _NUMBER),
-                               "whitelist": F.when(F.col("page_id") % 5 == 0, F.concat(_HOST, F.lit(" m."), _HOST))}),
-    "domain_replace_contains": (3, {"contains": F.substring(_HOST, 3, 7), "replace_to": F.concat(F.lit("c"), _NUMBER)}),
-    "replace_tld": (4, {"replace_from": F.concat(F.lit("n"), _NUMBER), "replace_to": F.lit("com")}),
-    "prefix_funky": (5, {"prefix": F.concat(F.lit("www"), _NUMBER)}),
-    "title_replace": (6, {"title": F.concat(F.lit('a "title", '), _NUMBER), "replace_to": _PARENT}),
-}
+_PARENT_SQL, _NUMBER_SQL = f"regexp_extract({views.HOST_SQL}, '^[^.]+\\.(.+)$', 1)", "CAST(page_id AS VARCHAR)"
+
+
+def _page_host() -> Column:
+    return F.regexp_extract("url", "^https?://([^/?#:]+)", 1)
+
+
+def _page_number() -> Column:
+    return F.col("page_id").cast("string")
+
+
+def _files() -> dict[str, tuple[int, dict[str, Column]]]:
+    host, number = _page_host(), _page_number()
+    parent = F.regexp_extract(host, r"^[^.]+\.(.+)$", 1)
+    return {
+        "amp_domains": (0, {"domain": parent}),
+        "cdn_domains": (1, {"domain": host, "replace_to": F.concat(F.lit("static"), number)}),
+        "domain_replace_sub": (2, {"domain": host, "replace_to": F.concat(F.lit("p"), number),
+                                   "whitelist": F.when(F.col("page_id") % 5 == 0, F.concat(host, F.lit(" m."), host))}),
+        "domain_replace_contains": (3, {"contains": F.substring(host, 3, 7), "replace_to": F.concat(F.lit("c"), number)}),
+        "replace_tld": (4, {"replace_from": F.concat(F.lit("n"), number), "replace_to": F.lit("com")}),
+        "prefix_funky": (5, {"prefix": F.concat(F.lit("www"), number)}),
+        "title_replace": (6, {"title": F.concat(F.lit('a "title", '), number), "replace_to": parent}),
+    }
+
+
 _FILES_SQL = [
     ("amp_domains", 0, _PARENT_SQL, "NULL", "NULL"), ("cdn_domains", 1, views.HOST_SQL, f"'static' || {_NUMBER_SQL}", "NULL"),
     ("domain_replace_sub", 2, views.HOST_SQL, f"'p' || {_NUMBER_SQL}",
@@ -149,7 +162,7 @@ _FILES_SQL = [
 def _rules_read(spark: SparkSession, d: str) -> DataFrame:
     """Rules taken from the pages, written as files in the order of the pages and read again in that order."""
     folder = fresh_path(spark, "rule-files")
-    for name, (part, columns) in _FILES.items():
+    for name, (part, columns) in _files().items():
         rows = views.table(spark, d, "pages").where(F.col("page_id") % 7 == part)
         # a rule file is one file
         one = rows.select("page_id", *[c.alias(k) for k, c in columns.items()]).repartition(1).sortWithinPartitions("page_id")
@@ -170,13 +183,13 @@ _RULES_IN_ORDER = " UNION ALL ".join(
 
 def _first_of_many(spark: SparkSession, d: str) -> DataFrame:
     """Sub-domain rules of every fourth page, then parts of the hosts of the pages after them; the first in page order wins."""
-    pages = views.table(spark, d, "pages")
-    sub = pages.where("page_id % 4 = 0").select(_HOST.alias("domain"), F.concat(F.lit("P"), _NUMBER).alias("replace_to"), "page_id")
+    pages, host, number = views.table(spark, d, "pages"), _page_host(), _page_number()
+    sub = pages.where("page_id % 4 = 0").select(host.alias("domain"), F.concat(F.lit("P"), number).alias("replace_to"), "page_id")
     part = pages.where("page_id % 4 = 1").select(
-        F.substring(_HOST, 3, 5).alias("contains"), F.concat(F.lit("C"), _NUMBER).alias("replace_to"), "page_id")
+        F.substring(host, 3, 5).alias("contains"), F.concat(F.lit("C"), number).alias("replace_to"), "page_id")
     rules = P.as_rules(sub, "domain_replace_sub", F.lit(0), F.col("page_id")).unionByName(
         P.as_rules(part, "domain_replace_contains", F.lit(0), F.col("page_id")))
-    hosts = pages.select(_HOST.alias("url_host"))
+    hosts = pages.select(host.alias("url_host"))
     return H.host_mapping(hosts, materialise(rules, "rules"), views.titled_docs(spark, d))
 
 
