@@ -77,6 +77,34 @@ def flat(df: DataFrame, *extra: str) -> DataFrame:
         F.col("text_domain")[0].cast("double").alias("d0"))
 
 
+N_GIVEN = 500  # rows of ``embeddings`` at every scale, numbered from 0
+
+
+def _given_features(spark: SparkSession, d: str) -> DataFrame:
+    """Feature records with whole vectors of ``embeddings``; only hosts with an even page length have a transformer vector."""
+    given, pages = views.table(spark, d, "embeddings"), _page_hosts(spark, d)
+    chosen = pages.where(F.col("n") % 2 == 0).withColumn("vec_id", (F.col("n") % N_GIVEN).cast("bigint"))
+    named = pages.withColumn("vec_id", (F.length("host") % N_GIVEN).cast("bigint"))
+    return V.host_features(
+        pages.select("host"), chosen.join(given, "vec_id").select("host", F.col("embedding").alias("vector")),
+        named.join(given, "vec_id").select("host", F.col("embedding").alias("text_domain")))
+
+
+def _all_places(df: DataFrame) -> DataFrame:
+    return df.select("host", *[F.col(c)[i].cast("double").alias(f"{name}{i}")
+                               for name, c in (("t", "transformer"), ("d", "text_domain")) for i in range(DIM)])
+
+
+_GIVEN_FEATURES = f"""features AS (SELECT host, CASE WHEN length(html) % 2 = 0 THEN e.embedding END AS t, w.embedding AS d
+  FROM page_docs JOIN embeddings e ON e.vec_id = length(html) % {N_GIVEN} JOIN embeddings w ON w.vec_id = length(host) % {N_GIVEN})"""
+
+
+def _places_sql(transformer: str) -> str:
+    cells = [transformer.format(f"CAST(t[{i + 1}] AS DOUBLE)") + f" AS t{i}" for i in range(DIM)]
+    cells += [f"CAST(d[{i + 1}] AS DOUBLE) AS d{i}" for i in range(DIM)]
+    return views.with_views(f"SELECT host, {', '.join(cells)} FROM features", "page_docs", extra=_GIVEN_FEATURES)
+
+
 def _lines(spark: SparkSession, d: str) -> DataFrame:
     return views.table(spark, d, "documents").select(E.normalise_tokens(F.col("text")).alias("line"))
 
@@ -211,10 +239,7 @@ QUERIES = {
     "h1_ppmi": Query(_ppmi, _PPMI),
     "h2_document_vectors": Query(_document_vectors, _DOCUMENT_VECTORS),
     "h3_host_text_vectors": Query(_host_vectors, _HOST_VECTORS),
-    "h4_host_features": Query(
-        lambda s, d: flat(features(s, d)),
-        views.with_views("SELECT host, t0, t1, d0 FROM features", "page_docs", extra=FEATURES_SQL),
-    ),
+    "h4_host_features": Query(lambda s, d: _all_places(_given_features(s, d)), _places_sql("{}")),
     "h5_own_embedding_index": Query(
         _index, views.with_views("SELECT host, n_rows, own_embedding_idx FROM idx", "clicks", extra=_INDEX)),
     "h6_own_embedding_size": Query(
@@ -222,13 +247,11 @@ QUERIES = {
         views.with_views("SELECT max(own_embedding_idx) + 1 AS n_own_embedding FROM idx", "clicks", extra=_INDEX),
     ),
     "h7_presence_flags": Query(
-        lambda s, d: V.presence_flags(features(s, d), ["transformer", "text_domain"]).select(
+        lambda s, d: V.presence_flags(_given_features(s, d), ["transformer", "text_domain"]).select(
             "host", "has_transformer", "has_text_domain"),
-        views.with_views("SELECT host, has_transformer, true AS has_text_domain FROM features", "page_docs", extra=FEATURES_SQL),
+        views.with_views("SELECT host, t IS NOT NULL AS has_transformer, true AS has_text_domain FROM features", "page_docs",
+                         extra=_GIVEN_FEATURES),
     ),
     "h8_zero_fill_vectors": Query(
-        lambda s, d: flat(V.zero_fill_vectors(features(s, d), "transformer", 2)),
-        views.with_views(
-            "SELECT host, coalesce(t0, 0) AS t0, coalesce(t1, 0) AS t1, d0 FROM features", "page_docs", extra=FEATURES_SQL),
-    ),
+        lambda s, d: _all_places(V.zero_fill_vectors(_given_features(s, d), "transformer", DIM)), _places_sql("coalesce({}, 0)")),
 }
