@@ -1,12 +1,13 @@
 """From raw documents to packed training sequences: the stages in order, and all of them in one run.
 
 Every stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of ``docs``; ``n_chars``, where
-present, follows the text. An empty table passes through all stages.
+present, follows the text. An empty table passes through all stages. Other columns pass whatever their names: rows travel
+as one struct.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickfolk.llm import pii
@@ -22,10 +23,10 @@ from clickfolk.session import materialise
 KEY = "struct<no_id:boolean,id:bigint,of_text:bigint,of_row:bigint>"
 
 
-def _with_text(docs: DataFrame, columns: list[str], text: str) -> DataFrame:
-    """The columns of ``docs`` with a new text and its length."""
-    out = [F.col(text).alias("text") if c == "text" else
-           F.length(text).cast("bigint").alias("n_chars") if c == "n_chars" else F.col(c) for c in columns]
+def _with_text(docs: DataFrame, columns: list[str], text: Column, row: str) -> DataFrame:
+    """The columns held in the struct ``row``, with a new text and its length."""
+    out = [text.alias("text") if c == "text" else F.length(text).cast("bigint").alias("n_chars") if c == "n_chars" else
+           F.col(row)[c].alias(c) for c in columns]
     return docs.select(*out)
 
 
@@ -42,30 +43,30 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     key = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("bigint").alias("id"),
                    F.xxhash64("text").alias("of_text"), F.xxhash64(*sorted(docs.columns)).alias("of_row"))
-    prints = materialise(fingerprints(docs.withColumn("_key", key), "_key", "text", key_type=KEY), "fingerprints")
+    prints = materialise(fingerprints(docs.select(key.alias("key"), "text"), "key", "text", key_type=KEY), "fingerprints")
     alike = prints.groupBy("fp", "doc").agg(F.count("*").alias("n"))
     distinct = materialise(alike.groupBy("fp").agg(F.min(F.struct("doc", "n")).alias("least")), "distinct-fingerprints")
     kept = materialise(least_of_components(distinct).groupBy("root").agg(F.min("least").alias("least")).select(
-        F.col("least.doc").alias("_key"), F.col("least.n").alias("_n")), "kept-keys")
-    found = docs.withColumn("_key", key).join(kept, "_key")
-    single = found.where("_n = 1").select(*docs.columns)
-    if kept.where("_n > 1").isEmpty():
+        F.col("least.doc").alias("key"), F.col("least.n").alias("n")), "kept-keys")
+    found = docs.select(key.alias("key"), F.struct("*").alias("row")).join(kept, "key")
+    single = found.where("n = 1").select("row.*")
+    if kept.where("n > 1").isEmpty():
         return single
     # few rows here differ: equal ones are combined in each task before they meet
-    return single.unionByName(found.where("_n > 1").dropDuplicates(["_key"]).select(*docs.columns))
+    return single.unionByName(found.where("n > 1").dropDuplicates(["key"]).select("row.*"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in passages of 20 words that start earlier in the corpus go; the rest of the text stays as it was."""
     cut = remove_repeats(docs, window=20, start=10, joined=False, carry=True)
-    rest = [F.col(f"carried.{c}").alias(c) for c in docs.columns if c != "text"]
-    return _with_text(cut.select(F.col("kept").alias("_kept"), *rest), docs.columns, "_kept")
+    return _with_text(cut, docs.columns, F.col("kept"), "carried")
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each span of personal data gives way to its kind in brackets."""
-    found = pii.find_spans(docs, spans_col="_spans").withColumn("_masked", pii.masked(F.col("text"), F.col("_spans")))
-    return _with_text(found, docs.columns, "_masked")
+    found = pii.find_spans(docs.select("text", F.struct("*").alias("row")))
+    masked = found.select("row", pii.masked(F.col("text"), F.col("spans")).alias("masked"))
+    return _with_text(masked, docs.columns, F.col("masked"), "row")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
