@@ -149,7 +149,12 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 def fit(rows: DataFrame, *, sample: int = SAMPLE, parts: int = PARTS, near: int = 10,
         recall: float = RECALL) -> Router | None:
     """Fit on at most ``sample`` usable rows, by hash of id and vector; None if there are too few to divide."""
-    taken = rows.orderBy(F.xxhash64("id", "vector"), "id").limit(sample).select("vector").toArrow()  # bounded by ``sample``
+    total = rows.count()
+    lot = F.xxhash64("id", "vector")
+    # twice the share wanted by lot, so that the ordering takes about twice ``sample`` rows from all tasks together
+    share = min(2.0 * sample / max(total, 1), 1.0)
+    near_least = rows.where(lot <= int(-2**63 + share * (2**64 - 1025)) if share < 1 else F.lit(True))
+    taken = near_least.orderBy(lot, "id").limit(sample).select("vector").toArrow()  # bounded by ``sample``
     vectors = taken.column("vector").to_pylist()
     parts = min(parts, len(vectors) // 20)
     if parts < 2:
@@ -248,13 +253,14 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
 
     Vectors that are null, zero or hold null or non-finite components take no part; a query among them has no rows.
     Candidates are all vectors but those with the query's own id. Rows repeated with one id count once per query (the
-    best). With fewer candidates than ``k`` all are returned; an empty table gives an empty result. Without a router
+    best), and a query id with several vectors is answered for all of them: the score of a pair of ids is the largest cosine
+    of their vectors, whatever the order of the rows. With fewer candidates than ``k`` all are returned; an empty table gives an empty result. Without a router
     there is one part: the search is exhaustive and exact.
     """
     base = materialise(usable(vectors, id_col, vector_col).mapInArrow(
         _routing(router, 1), "id bigint, vector array<double>, parts array<int>").select(
         "id", "vector", F.element_at("parts", 1).alias("part")), "indexed")
-    asked = materialise(usable(queries, id_col, vector_col).dropDuplicates(["id"]).mapInArrow(
+    asked = materialise(usable(queries, id_col, vector_col).distinct().mapInArrow(
         _routing(router, router.probes if router else 1), "id bigint, vector array<double>, parts array<int>").select(
         "id", "vector", F.explode("parts").alias("part")), "asked")
     # a row per part: how many blocks of vectors and tiles of queries it is dealt in
@@ -265,7 +271,7 @@ def search(vectors: DataFrame, queries: DataFrame, *, id_col: str = "vec_id", ve
         """Each row in one of its own side's cells, once for each cell of the other side."""
         number = {"blocks": "block", "tiles": "tile"}
         return rows.join(F.broadcast(sizes), "part").select(
-            "part", "id", "vector", F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(number[own]),
+            "part", "id", "vector", F.pmod(F.xxhash64("id", "vector"), F.col(own)).cast("int").alias(number[own]),
             F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(number[other]))
 
     dealt, asked = dealt_out(base, "blocks", "tiles"), dealt_out(asked, "tiles", "blocks")

@@ -46,3 +46,22 @@ def test_recall_beyond_the_sample(spark):
     score[np.arange(240), np.arange(0, 12_000, 50)] = -2
     best = np.argsort(-score, axis=1)[:, :5]
     assert sum(len(got[50 * q] & set(b.tolist())) for q, b in enumerate(best)) >= 0.95 * 5 * 240
+
+
+def test_a_query_id_with_several_vectors(spark):
+    """The answer is that of all its vectors, whatever the order of the rows."""
+    random = np.random.default_rng(8)
+    points = random.normal(size=(60, 6))
+    rows = [(i, points[i].tolist()) for i in range(1, 50)] + [(50, points[k].tolist()) for k in (50, 51, 52, 53)]
+    rows += [(7, points[54].tolist()), (50, points[51].tolist())]
+    unit = points / np.linalg.norm(points, axis=1, keepdims=True)
+    best = {}
+    for i, v in rows[:49] + rows[53:54]:
+        at = np.array(v) / np.linalg.norm(v)
+        best[i] = max(best.get(i, -2), max(float(at @ unit[k]) for k in (50, 51, 52, 53)))
+    want = sorted(best, key=lambda i: (-best[i], i))[:5]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id bigint, embedding array<double>").repartition(3)
+        got = ann.search(df, df.where("vec_id % 50 = 0"), block=9).orderBy("rank").collect()
+        assert [r.vec_id for r in got] == want and [r["rank"] for r in got] == [1, 2, 3, 4, 5]
+        assert np.allclose([r.score for r in got], [best[i] for i in want])
