@@ -20,9 +20,9 @@ def r6(column: Column | str, name: str) -> Column:
 
 
 def all_queries() -> dict[str, Query]:
-    from clickfolk.catalog import cleaning, demographics, hosts, metrics, scorer, sequences, tables, texts, vectors
+    from clickfolk.catalog import cleaning, demographics, hosts, metrics, pooling, scorer, sequences, tables, texts, vectors
 
     merged: dict[str, Query] = {}
-    for module in (demographics, tables, cleaning, hosts, texts, vectors, sequences, metrics, scorer):
+    for module in (demographics, tables, cleaning, hosts, texts, vectors, sequences, metrics, scorer, pooling):
         merged.update(module.QUERIES)
     return merged

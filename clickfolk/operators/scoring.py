@@ -33,7 +33,7 @@ def category_profile(labelled: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _without_own(shares: DataFrame, per_user: DataFrame, key: str, own: DataFrame) -> DataFrame:
+def without_own(shares: DataFrame, per_user: DataFrame, key: str, own: DataFrame) -> DataFrame:
     """Counts of ``key`` next to each user's requests there, a labelled user's own ones taken out."""
     rows = per_user.join(shares, key, "left").join(own, "user_id", "left")
     mine = lambda hit: F.when(hit, F.col("requests")).otherwise(0)
@@ -67,14 +67,14 @@ def labelled_vectors(events: DataFrame, statistics: DataFrame, categories: dict[
     def per_user(key: str) -> DataFrame:
         return events.groupBy("user_id", key).agg(F.sum("request_cnt").alias("requests"))
 
-    hosts = _without_own(statistics, per_user("url_host"), "url_host", own)
+    hosts = without_own(statistics, per_user("url_host"), "url_host", own)
     ages = sum((F.col(f"age_{i}") for i in range(1, AGE_SLOTS)), F.col("age_0"))
     parts = [hosts.groupBy("user_id").agg(
         pooled(F.col("male") / (F.col("male") + F.col("female")), "host_male_share"),
         *[pooled(F.when(ages > 0, F.col(f"age_{i}") / ages), f"host_age_share_{i}") for i in range(AGE_SLOTS)],
         pooled(F.col("male").isNotNull().cast("double"), "host_known"))]
     for column, counts in categories.items():
-        rows = _without_own(counts, per_user(column), column, own)
+        rows = without_own(counts, per_user(column), column, own)
         parts.append(rows.groupBy("user_id").agg(
             pooled(F.col("male") / (F.col("male") + F.col("female")), f"{column}_male_share")))
     parts.append(events.withColumn("requests", F.col("request_cnt")).groupBy("user_id").agg(
