@@ -17,6 +17,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,7 +45,8 @@ _ENDS_P = set("address article aside blockquote details div dl fieldset figcapti
               "hr main nav ol p pre section table ul".split())
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 
-DEPTH = 120  # elements nested deeper are kept, side by side
+DEPTH = 120  # levels of a wrapper; elements below count as text of the last level there, pages are read at any depth
+_TEXT_TAGS = set("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figcaption caption summary".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -52,6 +54,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?][^>]*+>", re.DOTALL | re.IGNORECASE)
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_NUMBER = re.compile(r"[0-9]+")
 
 
 class Node:
@@ -81,7 +84,9 @@ def _element(tag: str, attributes: str) -> Node:
                 heads = heads or "header" in words
             if name.lower() == "class":
                 names += value.split()
-    node = Node(".".join([tag, *sorted(names)[:3]]), tag, apart or doubt)
+    # numbers in classes count pages, classes of the outermost elements tell kinds of pages: neither says where text stands
+    kept = [] if tag in ("html", "body", "main") else sorted({_NUMBER.sub("#", n.replace(".", "")) for n in names})
+    node = Node(".".join([tag, *kept]), tag, apart or doubt)
     node.doubt, node.heads = not apart and doubt or tag == "form", heads
     return node
 
@@ -90,7 +95,8 @@ def parse(page: str) -> Node:
     """Elements and texts of a page; ends that are missing are implied, stray ones ignored."""
     root = Node("", "", False)
     stack = [root]
-    at = beyond = 0
+    opened: Counter = Counter()
+    at = 0
     for token in _TOKEN.finditer(page):
         if token.start() > at:
             stack[-1].children.append(page[at : token.start()])
@@ -100,25 +106,19 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if token[2]:
-            if beyond:
-                beyond -= 1
-                continue
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            if opened[tag]:
+                while _close(stack, opened) != tag:
+                    pass
             continue
         if tag in _ENDS_P:
-            _imply(stack, {"p"}, _ENDS_P - {"p"})
+            _imply(stack, opened, {"p"}, _ENDS_P - {"p"})
         if tag in _CLOSES and tag != "p":
-            _imply(stack, _CLOSES[tag], _SCOPE.get(tag, set()))
+            _imply(stack, opened, _CLOSES[tag], _SCOPE.get(tag, set()))
         node = _element(tag, token[4])
         stack[-1].children.append(node)
         if tag not in _VOID and not token[4].endswith("/"):
-            if len(stack) < DEPTH:
-                stack.append(node)
-            else:
-                beyond += 1
+            stack.append(node)
+            opened[tag] += 1
     if at < len(page):
         stack[-1].children.append(page[at:])
     _decide(root)
@@ -131,27 +131,32 @@ def _decide(root: Node) -> None:
     outside: list[Node] = []
     in_marked = 0
 
-    def visit(node: Node, in_doubt: bool, marked: bool) -> tuple[int, list[Node]]:
-        """Characters and topmost article and main elements, without what is apart beyond doubt."""
-        nonlocal in_marked
-        chars, inside = 0, []
-        for child in node.children:
+    # characters and topmost article and main elements below, without what is apart beyond doubt; children before parents
+    total = 0
+    stack: list[list] = [[root, iter(root.children), False, False, 0, []]]
+    while stack:
+        node, left, in_doubt, marked, chars, inside = frame = stack[-1]
+        for child in left:
             if isinstance(child, str):
                 own = len(" ".join(child.split()))
-                chars += own
+                frame[4] += own
                 in_marked += own if marked and not in_doubt else 0
             elif child.doubt or not child.apart:
                 is_marked = child.tag in ("article", "main")
                 if is_marked and not in_doubt:
                     outside.append(child)
-                n, below = visit(child, in_doubt or child.doubt, marked or is_marked)
-                chars += n
-                inside += [child] if is_marked else below
-                if child.doubt:
-                    doubtful.append((child, n, below))
-        return chars, inside
-
-    total, _ = visit(root, False, False)
+                stack.append([child, iter(child.children), in_doubt or child.doubt, marked or is_marked, 0, []])
+                break
+        else:
+            stack.pop()
+            if not stack:
+                total = frame[4]
+                break
+            stack[-1][4] += frame[4]
+            stack[-1][5] += [node] if node.tag in ("article", "main") else inside
+            if node.doubt:
+                doubtful.append((node, frame[4], inside))
+
     for node, chars, inside in doubtful:
         most = 2 * chars > total
         if node.tag == "form" and not inside:
@@ -162,15 +167,31 @@ def _decide(root: Node) -> None:
 
 
 def _heading_below(node: Node) -> bool:
-    return any(isinstance(c, Node) and (c.tag == "h1" or _heading_below(c)) for c in node.children)
+    left = [node]
+    while left:
+        for child in left.pop().children:
+            if isinstance(child, Node):
+                if child.tag == "h1":
+                    return True
+                left.append(child)
+    return False
+
 
+def _close(stack: list[Node], opened: Counter) -> str:
+    tag = stack.pop().tag
+    opened[tag] -= 1
+    return tag
 
-def _imply(stack: list[Node], tags: set[str], limits: set[str]) -> None:
+
+def _imply(stack: list[Node], opened: Counter, tags: set[str], limits: set[str]) -> None:
+    if not any(opened[t] for t in tags):
+        return
     for depth in range(len(stack) - 1, 0, -1):
         if stack[depth].tag in limits:
             return
         if stack[depth].tag in tags:
-            del stack[depth:]
+            while len(stack) > depth:
+                _close(stack, opened)
             return
 
 
@@ -178,25 +199,36 @@ def _imply(stack: list[Node], tags: set[str], limits: set[str]) -> None:
 # [label, apart, optional, repeated, children, text, chars, pages]: text is None, a digest all that have one agree on, or
 # True for a slot; chars counts the characters held, pages the pages with a text. Kept as plain lists: stored as JSON.
 
-def _shape(node: Node) -> list:
-    children, chars, texts = [], 0, []
+def _shape(node: Node, level: int = 0) -> list:
+    """The wrapper of one page; texts are compared as the blocks that are read."""
+    children, blocks, pending = [], [], []
 
-    def visit(inner: Node) -> None:
-        nonlocal chars
-        for child in inner.children:
-            if isinstance(child, str):
-                plain = " ".join(child.split())
-                if plain:
-                    chars += len(plain)
-                    texts.append(plain)
-            elif child.tag in _INLINE and not child.apart:
-                visit(child)
-            else:
-                children.append(_shape(child))
+    def close() -> None:
+        plain = " ".join(html.unescape("".join(pending)).split())
+        pending.clear()
+        if plain:
+            blocks.append(plain)
 
-    visit(node)
-    text = None if not texts else hash_text(" ".join(texts))
-    return [node.label, node.apart, False, False, _folded(children), text, chars, int(bool(texts))]
+    left: list[Node | str | None] = list(reversed(node.children))
+    while left:
+        child = left.pop()
+        if child is None:
+            close()
+        elif isinstance(child, str):
+            pending.append(child)
+        elif child.tag == "br":
+            pending.append(" ")
+        elif child.tag in _INLINE and not child.apart:
+            left += reversed(child.children)
+        elif level < DEPTH:
+            close()
+            children.append(_shape(child, level + 1))
+        elif not child.apart:
+            close()
+            left += [None, *reversed(child.children)]
+    close()
+    text = hash_text("\n".join(blocks)) if blocks else None
+    return [node.label, node.apart, False, False, _folded(children), text, sum(map(len, blocks)), int(bool(blocks))]
 
 
 def hash_text(text: str) -> str:
@@ -309,21 +341,28 @@ def constant_texts(wrapper: list, n_pages: int, n_texts: int) -> list[str]:
 # ---------------------------------------------------------------- reading a page
 
 def blocks_of(node: Node, constant: frozenset[str] = frozenset()) -> list[str]:
-    """Texts of the blocks below an element in page order, without what stands apart."""
+    """Texts of the blocks below an element in page order, without what stands apart.
+
+    Of ``constant`` texts, those on every page of the host, the ones among a page's own texts stay (see ``_is_content``).
+    """
     out: list[str] = []
     pending: list[str] = []
+    within = [[node.tag, 0, -1]]  # open elements: name, blocks before it, blocks up to its end
+    places: list[tuple[list, list]] = []  # of each block its element and the one around it
 
     def close() -> None:
         plain = " ".join(html.unescape("".join(pending)).split())
         pending.clear()
-        if plain and not (constant and hash_text(plain) in constant):
+        if plain:
             out.append(plain)
+            places.append((within[-1], within[-2] if len(within) > 1 else within[-1]))
 
     stack: list[tuple[Node | str, bool]] = [(c, False) for c in reversed(node.children)]
     while stack:
         item, end = stack.pop()
         if end:
             close()
+            within.pop()[2] = len(out)
         elif isinstance(item, str):
             pending.append(item)
         elif item.tag == "br":
@@ -335,11 +374,31 @@ def blocks_of(node: Node, constant: frozenset[str] = frozenset()) -> list[str]:
             stack += [(c, False) for c in reversed(item.children)]
         else:
             close()
+            within.append([item.tag, len(out), -1])
             stack.append((item, True))
             children = [c for c in item.children if isinstance(c, Node) and c.tag in ("h1", "h2")] if item.apart else item.children
             stack += [(c, False) for c in reversed(children)]
     close()
-    return out
+    within[0][2] = len(out)
+    if not constant:
+        return out
+    varies = [hash_text(text) not in constant for text in out]
+    before = [0, *accumulate(varies)]
+    return [text for k, text in enumerate(out) if varies[k] or _is_content(
+        places[k][0][0], places[k][1][0], before[k] > before[places[k][1][1]], before[places[k][1][2]] > before[k + 1])]
+
+
+def _is_content(tag: str, around: str, after_own: bool, before_own: bool) -> bool:
+    """Whether a text on every page of a host is part of the article, by the page's own texts in the element around it.
+
+    Between two of them it is, but for a container of its own at the top of the page. A heading is if one follows, an entry of
+    a list or table if one is beside it.
+    """
+    if after_own and before_own:
+        return tag in _TEXT_TAGS or around not in ("", "html", "body")
+    if tag in ("h2", "h3", "h4", "h5", "h6"):
+        return before_own
+    return tag in ("li", "dt", "dd", "td", "th") and (after_own or before_own)
 
 
 def _has_heading(node: Node) -> bool:
@@ -361,10 +420,12 @@ def _followed(node: Node, path: list[str]) -> Node | None:
 
 
 def _elements(node: Node) -> Iterator[Node]:
-    for child in node.children:
+    left = list(reversed(node.children))
+    while left:
+        child = left.pop()
         if isinstance(child, Node):
             if child.tag in _INLINE:
-                yield from _elements(child)
+                left += reversed(child.children)
             else:
                 yield child
 
@@ -391,52 +452,60 @@ def _partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     wrappers: dict[str, list] = {}
     counts: Counter = Counter()
     said: dict[str, list[str]] = {}  # least and greatest digest of a page's text: equal if all pages say the same
+    common: dict[str, set[str]] = {}  # digests of blocks on every page so far
     for batch in slices(batches, "html", 4 << 20):
         for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             if page:
                 root = parse(page)
-                shape, text = _shape(root), hash_text("\n".join(blocks_of(root)))
+                shape, blocks = _shape(root), blocks_of(root)
+                text, digests = hash_text("\n".join(blocks)), set(map(hash_text, blocks))
                 wrappers[host] = align(wrappers[host], shape) if host in wrappers else shape
+                common[host] = common[host] & digests if host in common else digests
                 counts[host] += 1
                 least, most = said.get(host, (text, text))
                 said[host] = [min(least, text), max(most, text)]
         if len(wrappers) > 5000:
-            yield _as_rows(wrappers, counts, said)
-            wrappers, counts, said = {}, Counter(), {}
+            yield _as_rows(wrappers, counts, said, common)
+            wrappers, counts, said, common = {}, Counter(), {}, {}
     if wrappers:
-        yield _as_rows(wrappers, counts, said)
+        yield _as_rows(wrappers, counts, said, common)
 
 
-_PARTIAL = "host string, wrapper string, n_pages bigint, least string, most string"
+_PARTIAL = "host string, wrapper string, n_pages bigint, least string, most string, common array<string>"
 
 
-def _as_rows(wrappers: dict[str, list], counts: Counter, said: dict[str, list[str]]) -> pa.RecordBatch:
+def _as_rows(wrappers: dict[str, list], counts: Counter, said: dict[str, list[str]],
+             common: dict[str, set[str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(list(wrappers)), pa.array([json.dumps(w) for w in wrappers.values()]),
          pa.array([counts[h] for h in wrappers], pa.int64()), pa.array([said[h][0] for h in wrappers]),
-         pa.array([said[h][1] for h in wrappers])], ["host", "wrapper", "n_pages", "least", "most"])
+         pa.array([said[h][1] for h in wrappers]), pa.array([sorted(common[h]) for h in wrappers], pa.list_(pa.string()))],
+        ["host", "wrapper", "n_pages", "least", "most", "common"])
 
 
 def _whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by host: one wrapper a host, with what reading a page needs."""
-    host, wrapper, pages, least, most, out = None, None, 0, "", "", []
+    host, wrapper, pages, least, most, common, out = None, None, 0, "", "", set(), []
 
     def done() -> dict:
-        constant = constant_texts(wrapper, pages, 1 if least == most else 2)
-        path = main_labels(wrapper, frozenset(constant))
+        # of a host whose pages all say the same nothing was compared: no text is known as boilerplate
+        constant = sorted(common) if least != most else []
+        path = main_labels(wrapper, frozenset([*constant, *constant_texts(wrapper, pages, 1 if least == most else 2)]))
         marked = any(label.split(".")[0] in ("article", "main") for label in path)
         return {"host": host, "wrapper": json.dumps(wrapper), "path": path, "constant": [] if marked else constant,
                 "n_pages": pages}
 
     for batch in batches:
-        for h, w, n, low, high in zip(*[batch.column(c).to_pylist() for c in ("host", "wrapper", "n_pages", "least", "most")]):
+        for h, w, n, low, high, everywhere in zip(*[batch.column(c).to_pylist() for c in (
+                "host", "wrapper", "n_pages", "least", "most", "common")]):
             shape = json.loads(w)
             if wrapper is not None and h == host:
                 wrapper, pages, least, most = align(wrapper, shape), pages + n, min(least, low), max(most, high)
+                common &= set(everywhere)
                 continue
             if wrapper is not None:
                 out.append(done())
-            host, wrapper, pages, least, most = h, shape, n, low, high
+            host, wrapper, pages, least, most, common = h, shape, n, low, high, set(everywhere)
     if wrapper is not None:
         out.append(done())
     if out:
