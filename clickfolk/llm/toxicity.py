@@ -156,11 +156,19 @@ def fit(labelled: DataFrame, *, text_col: str = "text", grade_col: str = "grade"
 
 def sample_of(labels: DataFrame, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
               label_col: str = "toxic", size: int = SAMPLE) -> DataFrame:
-    """At most ``size`` labelled rows with their texts, by hash of the id; each id once, with its largest label."""
+    """At most ``size`` labelled ids with a text each, by hash of the id, stored: ``id_col, text_col, label``.
+
+    An id has its largest label; of several texts the least by hash counts, so repeated ids do not make the sample larger.
+    """
+    from clickfolk.session import materialise
+
     chosen = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(
         F.max(label_col).cast("int").alias("label")).orderBy(F.xxhash64(id_col), id_col).limit(size)
-    # at most ``size`` ids, so the small side is broadcast
-    return docs.select(id_col, text_col).join(F.broadcast(chosen), id_col)
+    # at most ``size`` ids, so the small side is broadcast; texts of one id are combined in each task before they meet
+    found = docs.select(F.col(id_col), F.struct(F.xxhash64(text_col).alias("lot"), F.col(text_col).alias("text")).alias("own")).join(
+        F.broadcast(chosen), id_col)
+    one = found.groupBy(id_col).agg(F.min("own").alias("own"), F.first("label").alias("label"))
+    return materialise(one.select(id_col, F.col("own.text").alias(text_col), "label"), "labelled-sample")
 
 
 def graded(rows: DataFrame, *, text_col: str = "text", label_col: str = "label") -> DataFrame:
