@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 
 def parts(spark: SparkSession) -> int:
@@ -24,14 +25,16 @@ def modulo(column: Column | str, n: int) -> Column:
     return F.coalesce(F.pmod(F.col(column) if isinstance(column, str) else column, F.lit(n)), F.lit(0)).cast("int")
 
 
-def numbered_copies(docs: DataFrame, id_col: str, text_col: str, name: str = "copy_no") -> DataFrame:
-    """Tell rows with the same id apart: 0 for the first, then 1, 2, ... by hash of the text.
+def _has_map(kind: DataType) -> bool:
+    return "map<" in kind.simpleString()
 
-    Ids are nearly always unique; one narrow count over the ids finds out, and only repeated ids cost a
-    window over the texts.
+
+def row_number_of(docs: DataFrame, id_col: str) -> Column | None:
+    """A 64-bit hash of the whole row where an id repeats, to tell its rows apart; None where every id is unique.
+
+    One narrow count over the ids finds out. No row meets the others of its id, so any number of rows may share one,
+    or have none. Rows equal in every column share the number. Columns that hold maps do not count.
     """
-    repeated = docs.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    if not repeated:
-        return docs.withColumn(name, F.lit(0))
-    by = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
-    return docs.withColumn(name, F.row_number().over(by) - 1)
+    if docs.groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return None
+    return F.xxhash64(*[f"`{f.name}`" for f in docs.schema if not _has_map(f.dataType)])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickfolk.llm.rows import modulo, numbered_copies, parts, prime_from
+from clickfolk.llm.rows import modulo, parts, prime_from, row_number_of
 from clickfolk.llm.texts import NULL_ID, grouped, hashed_words, mixed, slices, travels, words_of
 
 travels(__name__)
@@ -31,9 +31,9 @@ travels(__name__)
 _CHUNK_WORDS = 500_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _OTHER = np.uint64(0xC2B2AE3D27D4EB4F)
-# one entry of a packed array: hash within its bucket, second hash (last level), document id, number among
-# rows with that id, home bucket of the document, first window of the run, windows in the run, known to repeat
-_ENTRY = [("hash", "<u8"), ("second", "<u4"), ("doc", "<i8"), ("copy", "<u4"), ("home", "<u4"), ("at", "<u4"),
+# one entry of a packed array: hash within its bucket, second hash (last level), document id, number that tells
+# rows of that id apart, home bucket of the document, first window of the run, windows in the run, known to repeat
+_ENTRY = [("hash", "<u8"), ("second", "<u4"), ("doc", "<i8"), ("copy", "<i8"), ("home", "<u4"), ("at", "<u4"),
           ("run", "<u4"), ("many", "u1"), ("tag", "<i4")]
 _NAMES = [name for name, _ in _ENTRY]
 _STEPS = ("doc", "at")
@@ -375,7 +375,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
 
     ``window`` must be ``start`` times a power of two. Null and empty texts have no words (``kept`` is '' or,
     unjoined, the text as it was). Rows that share an id count as equally early where they have the same
-    position, so neither removes the other there; a null id is earliest. An empty table gives an empty result.
+    position, so neither removes the other there; a null id is earliest. Such rows are dealt out by a hash of the
+    whole row, any number may share an id; only rows equal in every column go to one task, which reads them as a
+    stream. An empty table gives an empty result.
     """
     lengths = [start]
     while lengths[-1] < window:
@@ -385,11 +387,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     spark = docs.sparkSession
     buckets, homes = prime_from(2 * parts(spark)), prime_from(2 * parts(spark))
     names = ["doc", "copy", "text", "home"]
-    chosen = [F.col(id_col).cast("bigint").alias("doc"), F.col("copy_no").alias("copy"), F.col(text_col).alias("text"),
-              modulo(F.col(id_col).cast("bigint"), homes).alias("home")]
-    base = docs.select(F.col(id_col), F.col(text_col), *(
+    doc, number = F.col(id_col).cast("bigint"), row_number_of(docs, id_col)
+    if number is None:
+        copy, home = F.lit(0).cast("bigint"), modulo(doc, homes)
+    else:  # rows of one id live apart
+        copy, home = number, F.pmod(number, F.lit(homes)).cast("int")
+    base = docs.select(doc.alias("doc"), copy.alias("copy"), F.col(text_col).alias("text"), home.alias("home"), *(
         [F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("carried")] if carry else []))
-    base = numbered_copies(base, id_col, text_col).select(*chosen, *(["carried"] if carry else []))
 
     notes = None
     for length in lengths:

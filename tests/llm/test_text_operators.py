@@ -16,6 +16,7 @@ from clickfolk.llm import pii, simhash, toxicity
 from clickfolk.llm.packing import _Encoder, pack, plan_packing, token_pieces
 from clickfolk.llm.queries import TOKENIZERS
 from clickfolk.llm.repetition import repetition_rules
+from clickfolk.llm.rows import row_number_of
 from clickfolk.llm.substring_dedup import remove_repeats
 from llm_cases import no_docs, odd_docs  # noqa: F401  fixtures
 
@@ -52,6 +53,19 @@ def test_substring_dedup_equals_loop(spark, window, start):
     assert sorted([tuple(r) for r in got], key=repr) == plain_removed(rows, window)
 
 
+def test_substring_dedup_rows_of_one_id(spark):
+    """A third of the rows have no id and another third share one; both are dealt out, results as in the loop."""
+    random.seed(3)
+    texts = [" ".join(random.choice("ab") for _ in range(random.randint(0, 30))) for _ in range(90)]
+    rows = [((None, 7, 100 + i)[i % 3], text) for i, text in enumerate(texts)] + [(7, texts[1]), (7, texts[1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("*", "map('k', 1) AS extra")
+    got = remove_repeats(df, window=8, start=2)
+    assert sorted([tuple(r) for r in got.collect()], key=repr) == plain_removed(rows, 8)
+    homes = df.select(F.pmod(row_number_of(df, "doc_id"), F.lit(11)).alias("home"), "doc_id").distinct()
+    assert {r["n"] for r in homes.where("doc_id = 7 OR doc_id IS NULL").groupBy("doc_id").agg(F.count("*").alias("n")).collect()} <= {9, 10, 11}
+    assert row_number_of(df.where("doc_id > 99"), "doc_id") is None
+
+
 def test_substring_dedup_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.collect()]
     got = remove_repeats(odd_docs, window=20, start=5).collect()
