@@ -3,6 +3,9 @@
 A user may hold a large part of the log, so nothing here gathers a user in one task or one row. Positions
 come from counts per (user, day, part of day), whose number the calendar bounds; events are stored in chunks
 of fixed size; a week is a range of positions, since events are in time order.
+
+Chunks of ordinary users take one shuffle of the log: positions, codes and chunks of a user are all made where the
+user's rows lie (``user_chunks``). Hot users, told by one count, go by counts and dictionaries as above.
 """
 
 from __future__ import annotations
@@ -267,6 +270,50 @@ def event_chunks(events: DataFrame, columns: Sequence[str], size: int = CHUNK_EV
     )
 
 
+def own_index(events: DataFrame) -> DataFrame:
+    """``event_index`` by windows over whole users, for logs without hot users."""
+    timed = events.withColumn("week", week_start(F.col("date"))).withColumn("slot", slot_in_week(F.col("date"), F.col("part_of_day")))
+    order = Window.partitionBy("user_id").orderBy(
+        "date", "slot", tie_bucket(EVENT_ORDER), *[F.col(c).asc_nulls_first() for c in EVENT_ORDER])
+    # the newest week takes the same order, so both share a sort
+    newest = F.max("week").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return timed.withColumn("event_idx", F.row_number().over(order).cast("bigint") - 1).withColumn(
+        "week_n", (F.datediff(newest, F.col("week")) / 7).cast("int"))
+
+
+def own_tokens(events: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """The codes of ``tuple_dictionary`` by windows over whole users, for logs without hot users."""
+    counted = events.withColumn("_rows", F.count("*").over(Window.partitionBy("user_id", *columns)))
+    order = Window.partitionBy("user_id").orderBy(
+        F.desc("_rows"), tie_bucket(columns), *[F.col(c).asc_nulls_first() for c in columns])
+    return counted.withColumn(name, F.dense_rank().over(order).cast("bigint") - 1).drop("_rows")
+
+
+def user_chunks(events: DataFrame, cells: DataFrame, groups: dict[str, Sequence[str]], entries: dict[str, DataFrame],
+                size: int = CHUNK_EVENTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``event_chunks`` of all events with the tokens of ``groups``, scaled requests, slot and week.
+
+    Users of at most ``hot_rows`` events are shuffled once, by user. The others, if any, take the way that never puts a user
+    into one task. The limit changes the plan, never the result. ``cells`` is a stored ``timeline``, ``entries`` hold the
+    dictionaries of ``groups``. Rows without a user are in no sequence.
+    """
+    columns = [*groups, "requests", "slot", "week_n"]
+    scaled = events.where("user_id IS NOT NULL").withColumn("requests", scale_requests(F.col("request_cnt")))
+    # at most rows / hot_rows users, so small whatever the data
+    hot = cells.groupBy("user_id").agg(F.sum("n_events").alias("n")).where(F.col("n") > hot_rows).select("user_id")
+    has_hot = not hot.isEmpty()
+    own = scaled.join(F.broadcast(hot), "user_id", "left_anti") if has_hot else scaled
+    own = own_index(own)
+    for name, wanted in groups.items():
+        own = own_tokens(own, wanted, name)
+    chunks = event_chunks(own, columns, size)
+    if not has_hot:
+        return chunks
+    placed = event_index(scaled.join(F.broadcast(hot), "user_id", "left_semi"),
+                         materialise(cells.join(F.broadcast(hot), "user_id", "left_semi"), "hot-timeline"), hot_rows)
+    return chunks.unionByName(event_chunks(all_tokens(placed, entries, groups), columns, size))
+
+
 def attach_labels(df: DataFrame, users: DataFrame) -> DataFrame:
     """Gender as 0/1 and the age group of labelled users; others keep nulls."""
     labels = users.select(
@@ -288,7 +335,7 @@ class UserSequences(NamedTuple):
 
 def user_sequences(events: DataFrame, dictionary: DataFrame, features: DataFrame, users: DataFrame | None,
                    vector_dims: dict[str, int], budget: int = WEEK_BUDGET, chunk: int = CHUNK_EVENTS,
-                   strict: bool = True) -> UserSequences:
+                   strict: bool = True, hot_rows: int = HOT_ROWS) -> UserSequences:
     """Everything the scorer of a user reads, for all users at once."""
     events = has_price(events)
     cells = materialise(timeline(events), "timeline")
@@ -297,12 +344,11 @@ def user_sequences(events: DataFrame, dictionary: DataFrame, features: DataFrame
         "token_location": schemas.LOCATION_COLUMNS,
         "token_url_host": schemas.HOST_COLUMNS,
     }
-    entries = {name: tuple_dictionary(events, columns, name) for name, columns in groups.items()}
-    tokens = all_tokens(event_index(events, cells), entries, groups).withColumn("requests", scale_requests(F.col("request_cnt")))
+    entries = {name: tuple_dictionary(events, columns, name, hot_rows) for name, columns in groups.items()}
     header = cells.groupBy("user_id").agg(F.sum("n_events").alias("event_count"))
     return UserSequences(
         header=attach_labels(header, users) if users is not None else header,
-        chunks=event_chunks(tokens, [*groups, "requests", "slot", "week_n"], chunk),
+        chunks=user_chunks(events, cells, groups, entries, chunk, hot_rows),
         weeks=pack_weeks(week_groups(cells), budget),
         device=decode_tuples(entries["token_device"], schemas.DEVICE_COLUMNS, dictionary, strict),
         location=decode_tuples(entries["token_location"], schemas.LOCATION_COLUMNS, dictionary, strict),

@@ -61,6 +61,17 @@ def test_event_index_partitions_by_cell_not_by_user(spark):
     assert "part_of_day" in text.split("Exchange hashpartitioning(user_id")[1].split("\n")[0]
 
 
+def test_sequences_shuffle_the_log_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(I.user_sequences(views.events(spark, SF_DIR), views.dictionary(spark, SF_DIR),
+                                     spark.createDataFrame([], "host string"), None, {}).chunks)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # positions, codes and chunks of a user are made where the rows lie
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(user_id" in text and "Join" not in text
+
+
 def test_dictionary_expands_combinations_not_rows(spark):
     text = plan(QUERIES["f2_frequency_dictionary"].run(spark, SF_DIR))
     assert "FileScan parquet [column" in text  # the counts are a stored table by then

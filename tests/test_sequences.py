@@ -9,6 +9,7 @@ from clickfolk.operators import aggregates as A
 from clickfolk.operators import ranking
 from clickfolk.operators import sequences as I
 from clickfolk import schemas
+from clickfolk.session import materialise
 
 
 @pytest.fixture(scope="module")
@@ -121,3 +122,18 @@ def test_merge_keeps_the_request_total(events):
     merged = A.merge_duplicates(doubled)
     assert merged.count() == events.count()
     assert merged.agg(F.sum("request_cnt")).first()[0] == 2 * events.agg(F.sum("request_cnt")).first()[0]
+
+
+@pytest.mark.parametrize("hot_rows", [I.HOT_ROWS, 200, 5])
+def test_chunks_by_user_are_those_by_dictionaries(events, hot_rows):
+    """User 0 alone is above 200 rows, all users are above 5."""
+    groups = {"token_device": schemas.DEVICE_COLUMNS, "token_location": schemas.LOCATION_COLUMNS, "token_url_host": schemas.HOST_COLUMNS}
+    entries = {name: I.tuple_dictionary(events, columns, name) for name, columns in groups.items()}
+    whole = I.all_tokens(I.event_index(events), entries, groups).withColumn("requests", I.scale_requests(F.col("request_cnt")))
+    want = values(I.event_chunks(whole, [*groups, "requests", "slot", "week_n"], 16))
+    cells = materialise(I.timeline(events), "timeline")
+    assert values(I.user_chunks(events, cells, groups, entries, 16, hot_rows)) == want
+    nobody = events.limit(3).withColumn("user_id", F.lit(None).cast("bigint"))
+    both = events.unionByName(nobody.select(events.columns))
+    assert values(I.user_chunks(both, cells, groups, entries, 16, hot_rows)) == want
+    assert I.user_chunks(events.limit(0), cells.limit(0), groups, entries, 16, hot_rows).count() == 0
