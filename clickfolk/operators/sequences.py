@@ -289,25 +289,36 @@ def own_tokens(events: DataFrame, columns: Sequence[str], name: str) -> DataFram
     return counted.withColumn(name, F.dense_rank().over(order).cast("bigint") - 1).drop("_rows")
 
 
-def user_chunks(events: DataFrame, cells: DataFrame, groups: dict[str, Sequence[str]], entries: dict[str, DataFrame],
-                size: int = CHUNK_EVENTS, hot_rows: int = HOT_ROWS) -> DataFrame:
+def own_dictionary(events: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+    """``tuple_dictionary`` by windows over whole users, for logs without hot users: nothing is stored or counted first."""
+    counts = events.groupBy("user_id", *columns).agg(F.count("*").alias("n_rows"))
+    order = Window.partitionBy("user_id").orderBy(
+        F.desc("n_rows"), tie_bucket(columns), *[F.col(c).asc_nulls_first() for c in columns])
+    return counts.withColumn(name, F.row_number().over(order).cast("bigint") - 1)
+
+
+def hot_users(cells: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Users of more than ``hot_rows`` events in a stored ``timeline``: at most rows / hot_rows. None if there is none."""
+    hot = cells.groupBy("user_id").agg(F.sum("n_events").alias("n")).where(F.col("n") > hot_rows).select("user_id")
+    return None if hot.isEmpty() else hot
+
+
+def user_chunks(events: DataFrame, cells: DataFrame, hot: DataFrame | None, groups: dict[str, Sequence[str]],
+                entries: dict[str, DataFrame], size: int = CHUNK_EVENTS, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``event_chunks`` of all events with the tokens of ``groups``, scaled requests, slot and week.
 
-    Users of at most ``hot_rows`` events are shuffled once, by user. The others, if any, take the way that never puts a user
-    into one task. The limit changes the plan, never the result. ``cells`` is a stored ``timeline``, ``entries`` hold the
-    dictionaries of ``groups``. Rows without a user are in no sequence.
+    Users that are not ``hot`` are shuffled once, by user. The others, if any, take the way that never puts a user into one
+    task. The limit changes the plan, never the result. ``cells`` is a stored ``timeline``, ``entries`` hold the dictionaries
+    of ``groups``. Rows without a user are in no sequence.
     """
     columns = [*groups, "requests", "slot", "week_n"]
     scaled = events.where("user_id IS NOT NULL").withColumn("requests", scale_requests(F.col("request_cnt")))
-    # at most rows / hot_rows users, so small whatever the data
-    hot = cells.groupBy("user_id").agg(F.sum("n_events").alias("n")).where(F.col("n") > hot_rows).select("user_id")
-    has_hot = not hot.isEmpty()
-    own = scaled.join(F.broadcast(hot), "user_id", "left_anti") if has_hot else scaled
+    own = scaled if hot is None else scaled.join(F.broadcast(hot), "user_id", "left_anti")
     own = own_index(own)
     for name, wanted in groups.items():
         own = own_tokens(own, wanted, name)
     chunks = event_chunks(own, columns, size)
-    if not has_hot:
+    if hot is None:
         return chunks
     placed = event_index(scaled.join(F.broadcast(hot), "user_id", "left_semi"),
                          materialise(cells.join(F.broadcast(hot), "user_id", "left_semi"), "hot-timeline"), hot_rows)
@@ -344,11 +355,13 @@ def user_sequences(events: DataFrame, dictionary: DataFrame, features: DataFrame
         "token_location": schemas.LOCATION_COLUMNS,
         "token_url_host": schemas.HOST_COLUMNS,
     }
-    entries = {name: tuple_dictionary(events, columns, name, hot_rows) for name, columns in groups.items()}
+    hot = hot_users(cells, hot_rows)
+    entries = {name: own_dictionary(events, columns, name) if hot is None else tuple_dictionary(events, columns, name, hot_rows)
+               for name, columns in groups.items()}
     header = cells.groupBy("user_id").agg(F.sum("n_events").alias("event_count"))
     return UserSequences(
         header=attach_labels(header, users) if users is not None else header,
-        chunks=user_chunks(events, cells, groups, entries, chunk, hot_rows),
+        chunks=user_chunks(events, cells, hot, groups, entries, chunk, hot_rows),
         weeks=pack_weeks(week_groups(cells), budget),
         device=decode_tuples(entries["token_device"], schemas.DEVICE_COLUMNS, dictionary, strict),
         location=decode_tuples(entries["token_location"], schemas.LOCATION_COLUMNS, dictionary, strict),

@@ -132,8 +132,12 @@ def test_chunks_by_user_are_those_by_dictionaries(events, hot_rows):
     whole = I.all_tokens(I.event_index(events), entries, groups).withColumn("requests", I.scale_requests(F.col("request_cnt")))
     want = values(I.event_chunks(whole, [*groups, "requests", "slot", "week_n"], 16))
     cells = materialise(I.timeline(events), "timeline")
-    assert values(I.user_chunks(events, cells, groups, entries, 16, hot_rows)) == want
-    nobody = events.limit(3).withColumn("user_id", F.lit(None).cast("bigint"))
-    both = events.unionByName(nobody.select(events.columns))
-    assert values(I.user_chunks(both, cells, groups, entries, 16, hot_rows)) == want
-    assert I.user_chunks(events.limit(0), cells.limit(0), groups, entries, 16, hot_rows).count() == 0
+    hot = I.hot_users(cells, hot_rows)
+    assert (0 if hot is None else hot.count()) == {I.HOT_ROWS: 0, 200: 1, 5: 21}[hot_rows]
+    assert values(I.user_chunks(events, cells, hot, groups, entries, 16, hot_rows)) == want
+    if hot is None:
+        for name, columns in groups.items():
+            assert values(I.own_dictionary(events, columns, name), *entries[name].columns) == values(entries[name])
+        nobody = events.limit(3).withColumn("user_id", F.lit(None).cast("bigint")).select(events.columns)
+        assert values(I.user_chunks(events.unionByName(nobody), cells, hot, groups, entries, 16)) == want
+    assert I.user_chunks(events.limit(0), cells.limit(0), hot, groups, entries, 16, hot_rows).count() == 0
