@@ -44,10 +44,10 @@ def strip(text: Column) -> Column:
 
 def normalise_tokens(text: Column) -> Column:
     """Lower case, URLs reduced, everything but letters, digits and '-' blanked, single blanks."""
-    # blanking and collapsing in one pass; ASCII is spelled out because Java tests single characters in a
-    # bit set but ranges one by one, and the text is in lower case here
+    # the runs kept are taken out and joined: replacing all others takes eight times as long in Java. ASCII is spelled out
+    # because single characters are tested in a bit set but ranges one by one, and the text is in lower case here
     kept = string.ascii_lowercase + string.digits + "а-яё-"
-    return F.trim(F.regexp_replace(reduce_urls(F.lower(text)), f"[^{kept}]+", " "))
+    return F.array_join(F.regexp_extract_all(reduce_urls(F.lower(text)), F.lit(f"[{kept}]+"), F.lit(0)), " ")
 
 
 def normalise_prose(text: Column) -> Column:

@@ -8,17 +8,27 @@ and those of its n-grams. The vocabulary has no bound: it is a table throughout.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickfolk.operators.factorisation import factors, vector_sums
 from clickfolk.session import materialise
 
+# executors need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BUCKETS = 2_000_000
 SHORTEST, LONGEST = 3, 6
-_PIECE = 1000  # words of a line that are paired at a time
+_PLACES = 1 << 21  # words that are paired at a time
+_SENT = 1 << 16  # rows of a batch of pairs
+PAIRS_A_TASK = 8_000_000  # near pairs, before they are added up, for each task that adds them
 _NOISE = 1e-9  # a value below is zero but for rounding
 
 
@@ -69,21 +79,45 @@ def compose(words: DataFrame, model: SubwordVectors) -> DataFrame:
 
 # ---------------------------------------------------------------- training
 
+def _added_up(ids: np.ndarray, line: np.ndarray, begin: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs, least id first, and their added weights in whole units, whose first word is among ``_PLACES`` from ``begin``."""
+    end = min(begin + _PLACES, len(ids))
+    known, code = np.unique(ids[begin:end + window], return_inverse=True)
+    line, scale = line[begin:end + window], window + 1
+    packed = []
+    for d in range(1, min(window, len(code) - 1) + 1):
+        n = min(end - begin, len(code) - d)
+        a, b = code[:n], code[d:d + n]
+        key = (np.minimum(a, b) * len(known) + np.maximum(a, b)) * scale + (scale - d)
+        packed.append(key[line[:n] == line[d:d + n]])
+    packed = np.sort(np.concatenate(packed)) if packed else np.zeros(0, np.int64)
+    key = packed // scale
+    begins = np.flatnonzero(np.diff(key, prepend=-1))
+    units = np.add.reduceat(packed - key * scale, begins) if len(begins) else packed
+    return known[key[begins] // len(known)], known[key[begins] % len(known)], units
+
+
 def near_pairs(lines: DataFrame, column: str, window: int) -> DataFrame:
-    """``a, b, weight``: ids of words at most ``window`` places apart in a line, a before b; nearer ones weigh more.
+    """``row, col, weight``: ids of words at most ``window`` places apart in a line, the smaller one first; nearer ones weigh more.
 
-    The weight is the share of window sizes 1 to ``window`` that reach. Long lines are cut into pieces that overlap by a window.
+    The weight is the share of window sizes 1 to ``window`` that reach. Pairs are added up by some million words at a time, so a
+    pair may have several rows.
     """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(0)
+            ids = rows.flatten().to_numpy()
+            line = np.repeat(np.arange(batch.num_rows), rows.value_lengths().to_numpy())
+            for begin in range(0, len(ids), _PLACES):
+                row, col, units = _added_up(ids, line, begin, window)
+                for k in range(0, len(row), _SENT):
+                    part = slice(k, k + _SENT)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(row[part]), pa.array(col[part]), pa.array(units[part] / window)], ["row", "col", "weight"])
+
     words = F.filter(F.split(column, " "), lambda w: w != "")
     ids = lines.select(F.transform(words, lambda w: F.xxhash64(w)).alias("ids")).where(F.size("ids") > 1)
-    starts = F.sequence(F.lit(1), F.size("ids"), F.lit(_PIECE))
-    pieces = ids.select("ids", F.explode(starts).alias("start")).select(F.slice("ids", F.col("start"), _PIECE + window).alias("ids"))
-    at = F.sequence(F.lit(0), F.least(F.size("ids"), F.lit(_PIECE)) - 1)
-    pair = lambda i, d: F.struct(
-        F.get(F.col("ids"), i).alias("a"), F.get(F.col("ids"), i + d).alias("b"),
-        ((window + 1 - d) / F.lit(float(window))).alias("weight"))
-    near = F.transform(F.sequence(F.lit(1), F.lit(window)), lambda d: F.transform(at, lambda i: pair(i, d)))
-    return pieces.select(F.inline(F.flatten(near))).where("b IS NOT NULL")
+    return ids.mapInArrow(run, "row bigint, col bigint, weight double")
 
 
 def vocabulary(lines: DataFrame, column: str, min_count: int) -> DataFrame:
@@ -94,17 +128,24 @@ def vocabulary(lines: DataFrame, column: str, min_count: int) -> DataFrame:
 
 
 def cooccurrences(lines: DataFrame, column: str, known: DataFrame, window: int) -> DataFrame:
-    """``row, col, weight`` of known words near each other, both ways round.
+    """``row, col, weight`` of known words near each other, both ways round. Pass a stored ``known``: its counts tell the size.
 
-    Pairs are added up in each task before the shuffle, in one order of the two ids.
+    The lines are paired once, and pairs added up in one order of the two ids. The tasks that add them are as many as the words
+    ask for, so that none outgrows its memory.
     """
+    words = known.agg(F.sum("n")).first()[0] or 0
+    tasks = -(-words * window // PAIRS_A_TASK)
+    few = tasks <= int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = near_pairs(lines, column, window)
-    least = pairs.groupBy(F.least("a", "b").alias("row"), F.greatest("a", "b").alias("col")).agg(F.sum("weight").alias("weight"))
+    # dealt out before they are added up: each batch has its sums already, a second table of sums in the same task would spill
+    dealt = pairs.repartition("row", "col") if few else pairs.repartition(tasks, "row", "col")
+    least = dealt.groupBy("row", "col").agg(F.sum("weight").alias("weight"))
     kept = least.join(known.select(F.col("id").alias("row")), "row", "left_semi").join(
-        known.select(F.col("id").alias("col")), "col", "left_semi").select("row", "col", "weight")
-    mirrored = kept.where("row <> col").select(F.col("col").alias("row"), F.col("row").alias("col"), "weight")
+        known.select(F.col("id").alias("col")), "col", "left_semi")
     # a word beside itself counts for both places
-    return kept.withColumn("weight", F.when(F.col("row") == F.col("col"), 2.0).otherwise(1.0) * F.col("weight")).unionByName(mirrored)
+    once = F.array(F.struct("row", "col", (2 * F.col("weight")).alias("weight")))
+    both = F.array(F.struct("row", "col", "weight"), F.struct(F.col("col").alias("row"), F.col("row").alias("col"), "weight"))
+    return kept.select(F.inline(F.when(F.col("row") == F.col("col"), once).otherwise(both)))
 
 
 def shifted_ppmi(pairs: DataFrame, negatives: float) -> DataFrame:

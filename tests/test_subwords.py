@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from clickfolk.operators import factorisation as M
 from clickfolk.operators import subwords as S
+from clickfolk.session import materialise
 
 
 def corpus(n=300, seed=2):
@@ -184,3 +185,27 @@ def test_no_word_is_left_out(spark):
     empty = S.train(df.limit(0), dim=4)
     assert empty.words.count() == 0 and empty.buckets.count() == 0
     assert values(S.compose(df.selectExpr("line AS word"), empty)) == []
+
+
+def test_lines_are_paired_once(spark, tmp_path):
+    spark.createDataFrame([(x,) for x in corpus()], "line string").write.parquet(str(tmp_path / "lines"))
+    df = spark.read.parquet(str(tmp_path / "lines"))
+    S.vocabulary(df, "line", 5).write.parquet(str(tmp_path / "known"))
+    pairs = S.cooccurrences(df, "line", spark.read.parquet(str(tmp_path / "known")), 5)
+    assert len([f for f in pairs._jdf.queryExecution().optimizedPlan().toString().splitlines() if "line#" in f and "Relation" in f]) == 1
+
+
+def test_tasks_that_add_pairs_grow_with_the_words(spark, monkeypatch):
+    df = spark.createDataFrame([(x,) for x in corpus()], "line string")
+    words = materialise(S.vocabulary(df, "line", 5), "known")
+    whole = values(S.cooccurrences(df, "line", words, 5).withColumn("weight", F.round("weight", 6)))
+    monkeypatch.setattr(S, "PAIRS_A_TASK", 1000)
+    monkeypatch.setattr(S, "_PLACES", 7)
+    parts = S.cooccurrences(df, "line", words, 5)
+    assert parts.rdd.getNumPartitions() > 4  # the session's shuffle partitions
+    assert values(parts.withColumn("weight", F.round("weight", 6))) == whole
+
+
+def test_pairs_of_a_batch_are_added_up(spark):
+    df = spark.createDataFrame([("a b a b a b",)] * 50, "line string").coalesce(1)
+    assert S.near_pairs(df, "line", 2).count() == 3
