@@ -27,13 +27,13 @@ _CHUNK = 8192
 _FLAT = 1e-10  # directions this much weaker than the strongest are noise
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
+def to_matrix(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
 
 
-def _vectors(matrix: np.ndarray) -> pa.ListArray:
+def to_vectors(matrix: np.ndarray) -> pa.ListArray:
     rows, width = matrix.shape
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(matrix.reshape(-1)))
 
@@ -48,14 +48,14 @@ def _grouped_sums(keys: pa.Array, counts: np.ndarray, matrix: np.ndarray) -> tup
 
 
 def _batch(names: list[str], keys: pa.Array, counts: np.ndarray, matrix: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64()), _vectors(matrix)], names)
+    return pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64()), to_vectors(matrix)], names)
 
 
 def _combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys, n, vectors = batch.columns
-            yield _batch(batch.schema.names, *_grouped_sums(keys, n.to_numpy(), _matrix(vectors, batch.num_rows)))
+            yield _batch(batch.schema.names, *_grouped_sums(keys, n.to_numpy(), to_matrix(vectors, batch.num_rows)))
 
 
 def _combine_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,7 +66,7 @@ def _combine_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             continue
         names = batch.schema.names
         keys, n, vectors = batch.columns
-        keys, n, matrix = _grouped_sums(keys, n.to_numpy(), _matrix(vectors, batch.num_rows))
+        keys, n, matrix = _grouped_sums(keys, n.to_numpy(), to_matrix(vectors, batch.num_rows))
         if held is not None:
             if held[0].equals(keys.slice(0, 1)):
                 n[0] += held[1][0]
@@ -95,12 +95,12 @@ def vector_sums(df: DataFrame, key: str, vector: str = "vector", n: str | None =
 
 # ---------------------------------------------------------------- products
 
-def _block_product(entries: pa.Table, vectors: pa.Table) -> pa.Table:
+def block_product(entries: pa.Table, vectors: pa.Table) -> pa.Table:
     if not entries.num_rows or not vectors.num_rows:
         return pa.table({"id": pa.array([], pa.int64()), "vector": pa.array([], pa.list_(pa.float64()))})
     ids = vectors["id"].to_numpy()
     order = np.argsort(ids)
-    x = _matrix(vectors["vector"], len(ids))[order]
+    x = to_matrix(vectors["vector"], len(ids))[order]
     row, col, value = (entries[c].to_numpy() for c in ("row", "col", "value"))
     at = np.minimum(np.searchsorted(ids[order], col), len(ids) - 1)
     known = ids[order][at] == col
@@ -112,7 +112,7 @@ def _block_product(entries: pa.Table, vectors: pa.Table) -> pa.Table:
         part = by_row[k:k + _CHUNK]
         begins = np.flatnonzero(np.diff(code[part], prepend=-1))
         out[code[part][begins]] += np.add.reduceat(value[part, None] * x[at[part]], begins)
-    return pa.table({"id": pa.array(rows, pa.int64()), "vector": _vectors(out)})
+    return pa.table({"id": pa.array(rows, pa.int64()), "vector": to_vectors(out)})
 
 
 def block_count(entries: int, rows: int, width: int) -> int:
@@ -129,7 +129,7 @@ def product(matrix: DataFrame, vectors: DataFrame, blocks: int) -> DataFrame:
     sent = vectors.select("id", "vector", block("id").alias("cols"), F.explode(
         F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("rows"))
     pieces = entries.groupBy("rows", "cols").cogroup(sent.groupBy("rows", "cols")).applyInArrow(
-        _block_product, "id bigint, vector array<double>")
+        block_product, "id bigint, vector array<double>")
     return vector_sums(pieces, "id").drop("n")
 
 
@@ -137,7 +137,7 @@ def _gram(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = None
     for batch in batches:
         if batch.num_rows:
-            x = _matrix(batch.column("vector"), batch.num_rows)
+            x = to_matrix(batch.column("vector"), batch.num_rows)
             total = x.T @ x if total is None else total + x.T @ x
     if total is not None:
         yield _batch(["place", "n", "vector"], pa.array(np.arange(len(total), dtype=np.int64)), np.ones(len(total), np.int64), total)
@@ -156,7 +156,7 @@ def times(vectors: DataFrame, small: np.ndarray) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id"), _vectors(_matrix(batch.column("vector"), batch.num_rows) @ small)], ["id", "vector"])
+                    [batch.column("id"), to_vectors(to_matrix(batch.column("vector"), batch.num_rows) @ small)], ["id", "vector"])
 
     return vectors.select("id", "vector").mapInArrow(run, "id bigint, vector array<double>")
 
@@ -169,7 +169,7 @@ def _random(width: int, seed: int):
             for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
                 x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), _vectors((x >> np.uint64(11)).astype(np.float64) / 2.0**52 - 1)], ["id", "vector"])
+                [batch.column("id"), to_vectors((x >> np.uint64(11)).astype(np.float64) / 2.0**52 - 1)], ["id", "vector"])
 
     return run
 

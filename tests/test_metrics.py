@@ -107,3 +107,21 @@ def test_own_embedding_index(spark):
     assert got == {"a": 0, "b": 2, "c": 1, "d": 0}
     assert V.own_embedding_size(V.own_embedding_index(counts)).first()[0] == 3
     assert V.own_embedding_size(V.own_embedding_index(counts, 5000)).first()[0] == 1
+
+
+def test_text_vectors_send_a_vector_once_a_block(spark, monkeypatch):
+    texts = spark.createDataFrame(
+        [(k, "a b a" if k % 2 else "b x") for k in range(400)] + [(None, "a"), (None, "b"), (7, None), (900, None), (901, ""), (902, "x")],
+        "k long, t string")
+    words = spark.createDataFrame([("a", [2.0, 0.0]), ("b", [0.0, 1.0]), ("b", [0.0, 3.0]), ("zero", [0.0, 0.0]), (None, [1.0, 1.0])], "word string, vector array<double>")
+    third = pytest.approx([0.5, 0.5])
+    for chars in (32_000_000, 100):
+        monkeypatch.setattr(V, "BLOCK_CHARS", chars)
+        frame = V.text_vector(texts, "k", "t", words, 2)
+        got = dict(values(frame))
+        assert len(got) == 404
+        assert got[1] == third and got[2] == [0.0, 1.0] and got[7] == third and got[900] is None
+        assert got[901] == got[902] == [0.0, 0.0] and got[None] == pytest.approx([1 / 3, 2 / 3])
+    # words meet their vectors as distinct words of a block, not one by one
+    tree = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" in tree and "FlatMapCoGroupsInArrow" in tree
