@@ -166,7 +166,7 @@ def train(corpus: DataFrame, column: str = "line", dim: int = 300, min_count: in
     Null and empty lines count for nothing. A word without an entry in the shifted table gets no vector of its own;
     n-grams none of whose words has one get none either. Two words with one 64-bit hash would share a vector.
     """
-    lines = corpus.select(column)
+    lines = materialise(corpus.select(column), "lines")  # made once, read for the vocabulary and for the pairs
     known = materialise(vocabulary(lines, column, min_count), "vocabulary")
     pairs = materialise(cooccurrences(lines, column, known, window), "pairs")
     matrix = materialise(shifted_ppmi(pairs, negatives), "ppmi")

@@ -209,3 +209,13 @@ def test_tasks_that_add_pairs_grow_with_the_words(spark, monkeypatch):
 def test_pairs_of_a_batch_are_added_up(spark):
     df = spark.createDataFrame([("a b a b a b",)] * 50, "line string").coalesce(1)
     assert S.near_pairs(df, "line", 2).count() == 3
+
+
+def test_training_reads_its_corpus_once(spark, monkeypatch):
+    read = []
+    plain, pairs = S.vocabulary, S.cooccurrences
+    monkeypatch.setattr(S, "vocabulary", lambda lines, *rest: read.append(lines) or plain(lines, *rest))
+    monkeypatch.setattr(S, "cooccurrences", lambda lines, *rest: read.append(lines) or pairs(lines, *rest))
+    df = spark.createDataFrame([(x,) for x in corpus(40)], "line string")
+    S.train(df, dim=2, min_count=5, n_buckets=50, iterations=0)
+    assert len(read) == 2 and all("/lines-" in lines.inputFiles()[0] for lines in read)
