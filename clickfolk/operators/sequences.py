@@ -20,7 +20,7 @@ from clickfolk import schemas
 from clickfolk.operators.cleaning import age_group
 from clickfolk.operators.ranking import HOT_ROWS, null_safe_join, position, tie_bucket
 from clickfolk.operators.vectors import presence_flags, zero_fill_vectors
-from clickfolk.session import materialise
+from clickfolk.session import materialise, unsent
 
 # fixed values: parts of day in order, scaling of price and request count, chunk and week budget
 PARTS_OF_DAY = ["night", "morning", "day", "evening"]
@@ -76,7 +76,7 @@ def weeks_ago(df: DataFrame) -> DataFrame:
     newest = df.groupBy("user_id").agg(week_start(F.max("date")).alias("_newest"))
     week = week_start(F.col("date"))
     return (
-        df.join(newest, "user_id").withColumn("week", week)
+        df.join(unsent(newest), "user_id").withColumn("week", week)
         .withColumn("week_n", (F.datediff("_newest", F.col("week")) / 7).cast("int"))
         .select(*df.columns, "week", "week_n")
     )
@@ -115,7 +115,7 @@ def event_index(df: DataFrame, cells: DataFrame | None = None, hot_rows: int = H
         # at most rows / hot_rows cells, so small whatever the data
         crowded = df.join(F.broadcast(hot), CELL)
         df = df.join(F.broadcast(hot.select(*CELL)), CELL, "left_anti")
-    rows = df.join(cells, CELL).withColumn("_tie", tie_bucket(EVENT_ORDER))
+    rows = df.join(unsent(cells), CELL).withColumn("_tie", tie_bucket(EVENT_ORDER))
     fine = [F.col("_tie"), *[F.col(c).asc_nulls_first() for c in EVENT_ORDER]]
     inside = F.row_number().over(Window.partitionBy(*CELL).orderBy(*fine)).cast("bigint") - 1
     placed = rows.withColumn("_inside", inside).drop("_tie")

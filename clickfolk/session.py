@@ -45,11 +45,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def unsent(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with users or events: it is shuffled, however small its file.
+
+    The planner goes by the size of files, and a compressed file of repetitive columns takes a fiftieth of the
+    memory of its rows when they are broadcast.
+    """
+    return df.hint("merge")
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
-    Cuts the lineage, survives lost executors, and gives the planner the true size, so it can tell a side
-    that may be broadcast from one that may not.
+    Cuts the lineage, survives lost executors, and gives the planner the size of the files, so it can tell a side
+    that may be broadcast from one that may not. Rows may take far more than their file: see ``unsent``.
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)

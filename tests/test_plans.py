@@ -82,3 +82,10 @@ def test_filters_reach_the_scan(spark):
     text = plan(I.event_count(log.where(F.col("part_of_day") == "night")))
     assert "PushedFilters: [IsNotNull(part_of_day), EqualTo(part_of_day,night)]" in text
     assert "ReadSchema: struct<user_id:bigint,part_of_day:string>" in text
+
+
+def test_a_timeline_is_not_broadcast(spark):
+    # its file is small, its rows are nearly as many as the events
+    log = views.events(spark, SF_DIR)
+    cells = materialise(I.timeline(log), "timeline")
+    assert "Broadcast" not in plan(I.event_index(log, cells))
