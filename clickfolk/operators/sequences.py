@@ -144,7 +144,7 @@ def week_groups(cells: DataFrame) -> DataFrame:
 
 def week_events(events: DataFrame, weeks: DataFrame) -> DataFrame:
     """Long form of ``week_groups``: one row per event with its place in the week."""
-    joined = events.select("user_id", "week_n", "event_idx").join(weeks, ["user_id", "week_n"])
+    joined = events.select("user_id", "week_n", "event_idx").join(unsent(weeks), ["user_id", "week_n"])
     return joined.withColumn("pos", F.col("event_idx") - F.col("first_idx")).drop("first_idx")
 
 

@@ -89,3 +89,9 @@ def test_a_timeline_is_not_broadcast(spark):
     log = views.events(spark, SF_DIR)
     cells = materialise(I.timeline(log), "timeline")
     assert "Broadcast" not in plan(I.event_index(log, cells))
+
+
+def test_weeks_are_not_broadcast(spark):
+    cells = materialise(I.timeline(views.events(spark, SF_DIR)), "timeline")
+    events = materialise(views.events(spark, SF_DIR).select("user_id", F.lit(0).alias("week_n"), F.lit(0).cast("bigint").alias("event_idx")), "placed")
+    assert "Broadcast" not in plan(I.week_events(events, materialise(I.week_groups(cells), "weeks")))
