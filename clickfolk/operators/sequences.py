@@ -183,7 +183,7 @@ def padded_batches(events: DataFrame, packed: DataFrame) -> DataFrame:
 
     Padding stays small by the budget: a week is only padded when it shares a batch.
     """
-    real = events.select("user_id", "week_n", "event_idx").join(packed, ["user_id", "week_n"]).select(
+    real = events.select("user_id", "week_n", "event_idx").join(unsent(packed), ["user_id", "week_n"]).select(
         "user_id", "batch", "week_n", (F.col("event_idx") - F.col("first_idx")).alias("pos"), "event_idx",
         F.lit(1).alias("mask"),
     )

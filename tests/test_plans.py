@@ -95,3 +95,9 @@ def test_weeks_are_not_broadcast(spark):
     cells = materialise(I.timeline(views.events(spark, SF_DIR)), "timeline")
     events = materialise(views.events(spark, SF_DIR).select("user_id", F.lit(0).alias("week_n"), F.lit(0).cast("bigint").alias("event_idx")), "placed")
     assert "Broadcast" not in plan(I.week_events(events, materialise(I.week_groups(cells), "weeks")))
+
+
+def test_packed_weeks_are_not_broadcast(spark):
+    cells = materialise(I.timeline(views.events(spark, SF_DIR)), "timeline")
+    events = materialise(views.events(spark, SF_DIR).select("user_id", F.lit(0).alias("week_n"), F.lit(0).cast("bigint").alias("event_idx")), "placed")
+    assert "Broadcast" not in plan(I.padded_batches(events, materialise(I.pack_weeks(I.week_groups(cells)), "packed")))
