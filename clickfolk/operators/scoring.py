@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,7 +16,7 @@ from clickfolk.operators.aggregates import AGE_SLOTS, host_gender_counts, host_s
 from clickfolk.operators.cleaning import age_group
 from clickfolk.operators.metrics import AGE_GROUPS, argmax, auc, gini, leaderboard, weighted_f1
 from clickfolk.operators.sequences import PARTS_OF_DAY, scale_price
-from clickfolk.session import materialise
+from clickfolk.session import materialise, unsent
 
 HOST_FEATURES = ["male_share", *[f"age_share_{i}" for i in range(AGE_SLOTS)]]
 CATEGORY_COLUMNS = ["cpe_manufacturer_name", "region_name"]
@@ -35,7 +36,7 @@ def category_profile(labelled: DataFrame, column: str) -> DataFrame:
 
 def without_own(shares: DataFrame, per_user: DataFrame, key: str, own: DataFrame) -> DataFrame:
     """Counts of ``key`` next to each user's requests there, a labelled user's own ones taken out."""
-    rows = per_user.join(shares, key, "left").join(own, "user_id", "left")
+    rows = per_user.join(shares, key, "left").join(unsent(own), "user_id", "left")
     mine = lambda hit: F.when(hit, F.col("requests")).otherwise(0)
     left = {"male": F.col("male") - mine(F.col("is_male")), "female": F.col("female") - mine(~F.col("is_male"))}
     for i in range(AGE_SLOTS):
@@ -58,7 +59,7 @@ def labelled_vectors(events: DataFrame, statistics: DataFrame, categories: dict[
     """
     own = train.select("user_id", F.col("is_male").cast("boolean").alias("is_male"), age_group(F.col("age")).alias("own_age"))
     wanted = users.select("user_id").distinct()
-    events = events.join(wanted, "user_id", "left_semi")
+    events = events.join(unsent(wanted), "user_id", "left_semi")
     total = F.sum("requests")
 
     def pooled(value: Column, name: str) -> Column:
@@ -80,16 +81,17 @@ def labelled_vectors(events: DataFrame, statistics: DataFrame, categories: dict[
     parts.append(events.withColumn("requests", F.col("request_cnt")).groupBy("user_id").agg(
         pooled(scale_price(F.col("price")), "price_scaled"), pooled(F.col("price").isNotNull().cast("double"), "has_price"),
         *[pooled((F.col("part_of_day") == p).cast("double"), f"part_{p}") for p in PARTS_OF_DAY]))
-    out = wanted
-    for part in parts:
-        out = out.join(part, "user_id", "left")
+    # each part is stored, so that a task holds the sorts and sums of one part, not of all
+    stored = [materialise(part, "user-features") for part in parts]
+    long = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [wanted, *stored])
+    out = long.groupBy("user_id").agg(*[F.max(c).alias(c) for c in USER_FEATURES])
     return out.select("user_id", F.col("host_known").isNotNull().alias("user_known"),
                       *[F.coalesce(c, F.lit(0.0)).alias(c) for c in USER_FEATURES])
 
 
 def train_statistics(clicks: DataFrame, train: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Counts per host and per category value over the events of training users only."""
-    labelled = labelled_clicks(clicks, train)
+    labelled = labelled_clicks(clicks, unsent(train))
     def counted(column: str) -> DataFrame:
         counts = host_gender_counts(labelled.withColumn("url_host", F.col(column)))
         return counts.where(F.col("url_host").isNotNull()).withColumnRenamed("url_host", column)
@@ -157,7 +159,7 @@ def gradients(train: DataFrame, models: DemographicModels, regularisation: float
     never varies has no slope. One pass over the training rows.
     """
     rows = score_demographics(train, models)
-    joined = train.select("user_id", *USER_FEATURES).join(rows, "user_id")
+    joined = train.select("user_id", *USER_FEATURES).join(unsent(rows), "user_id")
     gender, age = models.gender.stages[-1], models.age.stages[-1]
     errors = {("is_male", 1): (F.col("pred_male") - F.col("is_male").cast("double"), gender.coefficients.toArray())}
     for k in range(age.numClasses):

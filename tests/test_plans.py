@@ -8,6 +8,7 @@ from clickfolk.catalog import views
 from clickfolk.catalog.registry import all_queries
 from clickfolk.operators import aggregates as A
 from clickfolk.operators import hosts as H
+from clickfolk.operators import scoring as K
 from clickfolk.operators import sequences as I
 from clickfolk.session import materialise
 from clickfolk.sources.readers import RuleSet
@@ -101,3 +102,11 @@ def test_packed_weeks_are_not_broadcast(spark):
     cells = materialise(I.timeline(views.events(spark, SF_DIR)), "timeline")
     events = materialise(views.events(spark, SF_DIR).select("user_id", F.lit(0).alias("week_n"), F.lit(0).cast("bigint").alias("event_idx")), "placed")
     assert "Broadcast" not in plan(I.padded_batches(events, materialise(I.pack_weeks(I.week_groups(cells)), "packed")))
+
+
+def test_user_features_hold_one_part_at_a_time(spark):
+    users, clicks = materialise(views.users(spark, SF_DIR), "users"), views.clicks(spark, SF_DIR)
+    statistics, categories = K.train_statistics(clicks, users)
+    text = plan(K.labelled_vectors(clicks, statistics, categories, users, users))
+    # the sorts and sums behind the parts are stored: what is left puts them below each other
+    assert "Union" in text and "Join" not in text and text.count("/user-features-") >= 1
