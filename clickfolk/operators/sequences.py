@@ -330,7 +330,7 @@ def attach_labels(df: DataFrame, users: DataFrame) -> DataFrame:
     labels = users.select(
         "user_id", F.col("is_male").cast("int").alias("is_male"), age_group(F.col("age")).alias("age_group")
     )
-    return df.join(labels, "user_id", "left")
+    return df.join(unsent(labels), "user_id", "left")
 
 
 class UserSequences(NamedTuple):
