@@ -48,8 +48,8 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 def unsent(df: DataFrame) -> DataFrame:
     """A side of a join that grows with users or events: it is shuffled, however small its file.
 
-    The planner goes by the size of files, and a compressed file of repetitive columns takes a fiftieth of the
-    memory of its rows when they are broadcast.
+    The planner goes by the size of files, and a compressed file of repetitive columns is far smaller than the
+    memory its rows take when they are broadcast.
     """
     return df.hint("merge")
 
