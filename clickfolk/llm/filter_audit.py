@@ -34,6 +34,8 @@ travels(__name__)
 
 SHARD_BYTES = 8 << 20
 BUCKET_ENTRIES = 1_000_000  # words of shards that a bucket holds on average
+BLOCK_CELLS = 1 << 17  # matrix entries of a stored row, which holds one document at least
+_AT_ONCE = 1 << 17  # words that are hashed at a time
 _ROWS_OF_TASK = 33  # a shard's number: its task's number, then this many bits for its place in the task
 
 
@@ -62,14 +64,15 @@ def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
     first, second = lengths.astype(np.uint64), ~lengths.astype(np.uint64)
-    rest = np.flatnonzero(lengths <= _LONG)
-    for k in range(0, _LONG, 8):
-        rest = rest[lengths[rest] > k]
-        if not len(rest):
-            break
-        block = eight[starts[rest] + k] & _LOW_BYTES[np.minimum(lengths[rest] - k, 8)]
-        first[rest] = mixed(first[rest] * np.uint64(0x9E3779B97F4A7C15) + block)
-        second[rest] = mixed((second[rest] ^ block) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(k))
+    for begin in range(0, len(starts), _AT_ONCE):
+        rest = begin + np.flatnonzero(lengths[begin:begin + _AT_ONCE] <= _LONG)
+        for k in range(0, _LONG, 8):
+            rest = rest[lengths[rest] > k]
+            if not len(rest):
+                break
+            block = eight[starts[rest] + k] & _LOW_BYTES[np.minimum(lengths[rest] - k, 8)]
+            first[rest] = mixed(first[rest] * np.uint64(0x9E3779B97F4A7C15) + block)
+            second[rest] = mixed((second[rest] ^ block) * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(k))
     for k in np.flatnonzero(lengths > _LONG).tolist():
         both = xxhash.xxh128_intdigest(data[starts[k]:starts[k] + lengths[k]].tobytes())
         first[k], second[k] = both >> 64, both & (1 << 64) - 1
@@ -128,13 +131,20 @@ def _shards(size: int):
             cells, counts = np.unique(place, return_counts=True)
             del place
             begins = np.searchsorted(cells, np.arange(batch.num_rows + 1) * width)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), _list(batch.column("row")), _list(pa.array(begins, pa.int32())),
-                 _list(pa.array(cells % width, pa.int32())), _list(pa.array(counts, pa.int32())),
-                 pa.array([len(example)], pa.int64()), pa.array([_joined(data, starts[example], lengths[example])], pa.binary())],
-                ["shard", "rows", "begins", "words", "counts", "n_entries", "vocabulary"])
+            cells %= width
+            entries, vocabulary = len(example), _joined(data, starts[example], lengths[example])
+            del data, starts, lengths, example
+            cuts = np.flatnonzero(np.diff(begins[:-1] // BLOCK_CELLS, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], batch.num_rows]):
+                here = slice(begins[a], begins[b])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number], pa.int64()), _list(batch.column("row").slice(a, b - a)),
+                     _list(pa.array(begins[a:b + 1] - begins[a], pa.int32())), _list(pa.array(cells[here], pa.int32())),
+                     _list(pa.array(counts[here], pa.int32())), pa.array([entries], pa.int64()), pa.array([vocabulary], pa.binary())],
+                    ["shard", "rows", "begins", "words", "counts", "n_entries", "vocabulary"])
+                entries = vocabulary = None  # with the first block only
             number += 1
-            del cells, counts, data, starts, lengths
+            del cells, counts
             pa.default_memory_pool().release_unused()
 
     return run
@@ -157,39 +167,34 @@ def _bucketed(buckets: int):
     return run
 
 
-def _numbered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket. Each gets its words' numbers; after a bucket's last row comes one with all its words."""
-    kind = pa.schema([("bucket", pa.int64()), ("shard", pa.int64()), ("numbers", pa.list_(pa.int32())), ("words", pa.binary())])
-    current, numbers = None, {}
-    for batch in batches:
-        out = []
-        for bucket, shard, text in zip(*[batch.column(c).to_pylist() for c in ("bucket", "shard", "words")]):
-            if bucket != current:
-                if numbers:
-                    out.append((current, None, None, b" ".join(numbers)))
-                current, numbers = bucket, defaultdict(count().__next__)
-            words = text.split()
-            out.append((bucket, shard, np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)), None))
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), kind)], schema=kind) if out else \
-            pa.RecordBatch.from_pylist([], kind)
-    if numbers:
-        yield pa.RecordBatch.from_pylist([{"bucket": current, "words": b" ".join(numbers)}], kind)
+def _numbered(rows: pa.Table) -> pa.Table:
+    """The rows of a bucket. Each gets its words' numbers; the last row has all its words."""
+    numbers = defaultdict(count().__next__)
+    look = numbers.__getitem__
+    of_rows = []
+    for text in rows.column("words"):
+        words = text.as_py().split()
+        of_rows.append(pa.array(np.fromiter(map(look, words), np.int32, len(words))))
+    ends = np.cumsum([0, *map(len, of_rows), 0])
+    values = pa.concat_arrays(of_rows) if of_rows else pa.array([], pa.int32())
+    return pa.table({
+        "bucket": pa.array(np.full(len(of_rows) + 1, rows.column("bucket")[0].as_py())),
+        "shard": pa.array([*rows.column("shard").to_pylist(), None], pa.int64()),
+        "numbers": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
+        "words": pa.array([*[None] * len(of_rows), b" ".join(numbers)], pa.binary())})
 
 
 def _renumbered(buckets: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                shard = batch.slice(k, 1)
-                pieces = shard.column("pieces").flatten()
-                bucket, numbers = pieces.field("bucket").to_numpy(), pieces.field("numbers")
-                ids = [numbers.slice(p, 1).flatten().to_numpy().astype(np.int64) * buckets + bucket[p]
-                       for p in np.argsort(bucket).tolist()]
-                local = shard.column("words").flatten().to_numpy()
-                ids = np.concatenate(ids)[local] if ids else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [shard.column("shard"), shard.column("rows"), shard.column("begins"), _list(pa.array(ids, pa.int64())),
-                     shard.column("counts")], ["shard", "rows", "begins", "words", "counts"])
+    def run(blocks: pa.Table, pieces: pa.Table) -> pa.Table:
+        """The blocks of one shard with the numbers of its words in place of their places in the shard."""
+        pieces = pieces.sort_by("bucket").combine_chunks()
+        numbers = pieces.column("numbers").combine_chunks()
+        ids = numbers.flatten().to_numpy().astype(np.int64) * buckets + np.repeat(
+            pieces.column("bucket").to_numpy(), numbers.value_lengths().to_numpy())
+        words = blocks.column("words").combine_chunks()
+        taken = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(words.value_lengths().to_numpy())]), pa.int32()), pa.array(ids[words.flatten().to_numpy()]))
+        return blocks.set_column(blocks.column_names.index("words"), "words", taken)
 
     return run
 
@@ -218,11 +223,11 @@ def _words_of_bucket(buckets: int):
 
 def document_term_matrix(docs: DataFrame, row: Column, text: Column, shard_bytes: int = SHARD_BYTES,
                          bucket_entries: int = BUCKET_ENTRIES) -> tuple[DataFrame, DataFrame]:
-    """The matrix in shards and the dictionary ``word, word_id``; both come from stored tables.
+    """The matrix in blocks of shards and the dictionary ``word, word_id``; both come from stored tables.
 
-    A shard holds ``rows`` (the value of ``row`` for each document), ``begins`` (where each begins, and the total),
+    A block holds ``shard``, ``rows`` (the value of ``row`` for each document), ``begins`` (where each begins, and the total),
     ``words`` (numbers of distinct words) and ``counts``. A null text has no words; equal rows stay separate. An empty
-    table has no shard. Words are runs without ASCII white space, compared byte by byte. A word's number is its place in its
+    table has no shard. Tasks hold one bucket, or one shard, at a time. Words are runs without ASCII white space, compared byte by byte. A word's number is its place in its
     bucket times the number of buckets, plus the bucket.
     """
     source = docs.select(row.alias("row"), F.coalesce(text, F.lit("")).cast("binary").alias("text"))
@@ -232,12 +237,13 @@ def document_term_matrix(docs: DataFrame, row: Column, text: Column, shard_bytes
         _shards(shard_bytes), body.format("int") + ", n_entries bigint, vocabulary binary"), "shards")
     entries = local.agg(F.sum("n_entries")).first()[0] or 0
     buckets = -(-entries // bucket_entries) or 1
-    lists = local.select("shard", "vocabulary").mapInArrow(_bucketed(buckets), "bucket bigint, shard bigint, words binary")
-    numbered = materialise(lists.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+    lists = local.select("shard", "vocabulary").where("vocabulary IS NOT NULL").mapInArrow(
+        _bucketed(buckets), "bucket bigint, shard bigint, words binary")
+    numbered = materialise(lists.groupBy("bucket").applyInArrow(
         _numbered, "bucket bigint, shard bigint, numbers array<int>, words binary"), "numbered-words")
-    # the lists of a shard hold as many numbers as the slice has words, whose bytes are bounded
-    pieces = numbered.where("shard IS NOT NULL").groupBy("shard").agg(F.collect_list(F.struct("bucket", "numbers")).alias("pieces"))
-    matrix = local.drop("n_entries", "vocabulary").join(pieces, "shard", "left").mapInArrow(_renumbered(buckets), body.format("bigint"))
+    pieces = numbered.where("shard IS NOT NULL").select("shard", "bucket", "numbers")
+    matrix = local.drop("n_entries", "vocabulary").groupBy("shard").cogroup(pieces.groupBy("shard")).applyInArrow(
+        _renumbered(buckets), body.format("bigint"))
     dictionary = numbered.where("shard IS NULL").select("bucket", "words").mapInArrow(
         _words_of_bucket(buckets), "word binary, word_id bigint")
     return matrix, dictionary
@@ -246,7 +252,7 @@ def document_term_matrix(docs: DataFrame, row: Column, text: Column, shard_bytes
 def row_sums(matrix: DataFrame) -> DataFrame:
     """``row, n_words, n_distinct`` of every matrix row: its sum and its nonzero entries."""
     kind = matrix.schema["rows"].dataType.elementType.simpleString()
-    return matrix.mapInArrow(_sums, f"row {kind}, n_words bigint, n_distinct bigint")
+    return matrix.select("rows", "begins", "counts").mapInArrow(_sums, f"row {kind}, n_words bigint, n_distinct bigint")
 
 
 def document_masks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source",

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -261,6 +262,30 @@ def test_audit_on_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert masks[6] & 1 == 0 and masks[6] & 2 and masks[6] & 8 and masks[4] & 16 and not masks[3] & 16
 
 
+def test_matrix_rows_are_bounded_and_met_one_shard_at_a_time(spark, monkeypatch):
+    from clickfolk.llm import filter_audit as A
+
+    monkeypatch.setattr(A, "BLOCK_CELLS", 50)
+    rows = [(k, " ".join(f"w{(k * 7 + i) % 90}" for i in range(k % 40))) for k in range(200)] + [(200, None), (201, ""), (None, "w1 w1")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(2)
+    matrix, dictionary = A.document_term_matrix(docs, F.col("doc_id"), F.col("text"), shard_bytes=3000, bucket_entries=20)
+    blocks = matrix.collect()
+    assert len(blocks) > len({b["shard"] for b in blocks}) > 1 and max(len(b["words"]) for b in blocks) < 50 + 40
+    words = {r["word_id"]: bytes(r["word"]).decode() for r in dictionary.collect()}
+    found = [(doc, sorted((words[w], n) for w, n in zip(b["words"][a:e], b["counts"][a:e])))
+             for b in blocks for doc, a, e in zip(b["rows"], b["begins"], b["begins"][1:])]
+    assert sorted(found, key=repr) == sorted(((d, sorted(Counter((t or "").split()).items())) for d, t in rows), key=repr)
+    # a task holds one group, not all of its partition's rows in one batch
+    plan = matrix._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "MapInArrow _renumbered" not in plan
+
+
+def test_matrix_of_texts_without_words(spark):
+    docs = spark.createDataFrame([(1, " "), (2, None)], "doc_id bigint, text string")
+    matrix, dictionary = document_term_matrix(docs, F.col("doc_id"), F.col("text"))
+    assert values(row_sums(matrix)) == [(1, 0, 0), (2, 0, 0)] and dictionary.count() == 0
+
+
 def test_words_and_hashes_of_a_byte_buffer():
     import numpy as np
     import pyarrow as pa
