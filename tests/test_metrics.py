@@ -1,6 +1,8 @@
 import math
 import random
+import re
 
+import numpy as np
 import pytest
 from conftest import values
 from pyspark.sql import functions as F
@@ -125,3 +127,39 @@ def test_text_vectors_send_a_vector_once_a_block(spark, monkeypatch):
     # words meet their vectors as distinct words of a block, not one by one
     tree = frame._jdf.queryExecution().optimizedPlan().toString()
     assert "array_distinct" in tree and "FlatMapCoGroupsInArrow" in tree
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_text_vectors_of_many_texts_and_of_hot_keys(spark, monkeypatch, hot):
+    """Blocks are bounded by their sums, too; texts of one key are added up wherever they are."""
+    if hot:
+        monkeypatch.setattr(V, "_FINE", 4)
+        monkeypatch.setattr(V, "_UNEVEN", 1)
+    monkeypatch.setattr(V, "BLOCK_BYTES", 24 * 50)
+    rows = [(None if k % 3 == 0 else k % 100, k % 5, f"a w{k} b" if k % 2 else None if k % 7 else "q") for k in range(600)]
+    rows += [(1000, 0, None), (1001, None, ""), (1001, None, " a  a "), (1002, 7, "A"), (1003, 7, "b")] * 2
+    texts = spark.createDataFrame(rows, "k long, j int, t string")
+    words = spark.createDataFrame([("a", [2.0, 0.0]), ("b", [0.0, 1.0])] + [(f"w{k}", [-1.0, 0.0]) for k in range(0, 600, 4)], "word string, vector array<double>")
+    known = {"a": (1, 0), "b": (0, 1)} | {f"w{k}": (-1, 0) for k in range(0, 600, 4)}
+    expected, seen = {}, {}
+    for k, j, t in rows:
+        found = [known[w] for w in (t or "").split(" ") if w in known]
+        expected.setdefault((k, j), []).extend(found)
+        seen[k, j] = seen.get((k, j), False) or t is not None
+    frame = V.mean_word_vectors(texts, ["k", "j"], "t", words, 2)
+    assert frame.schema["vector"].dataType.simpleString() == "array<float>"
+    got = {(r["k"], r["j"]): r["vector"] for r in frame.collect()}
+    assert len(got) == frame.count() == len(expected)
+    for key, found in expected.items():
+        assert got[key] == (pytest.approx(np.mean(found, axis=0).tolist(), abs=1e-6) if found else [0.0, 0.0] if seen[key] else None)
+    # a vector leaves its block once, as a mean: sums are shuffled for hot keys only
+    aggregates = [x for x in frame._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in x and "_s0" in x]
+    assert bool(aggregates) == hot
+
+
+def test_blocks_of_texts_are_bounded_by_their_sums(spark):
+    texts = spark.range(20_000).selectExpr("id AS k", "'a' AS t")
+    words = spark.createDataFrame([("a", [1.0] * 300)], "word string, vector array<double>")
+    tree = V.text_vector(texts, "k", "t", words, 300)._jdf.queryExecution().optimizedPlan().toString()
+    # 20,000 sums of 301 numbers take 48 MB, though the texts have 20,000 characters
+    assert re.search(r"pmod\(xxhash64\(\w+#\d+L?, 42\), 3\)", tree)
