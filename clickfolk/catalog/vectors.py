@@ -123,8 +123,9 @@ def _ppmi(spark: SparkSession, d: str) -> DataFrame:
     """The table that training factorises, with words in place of their ids."""
     lines = materialise(_lines(spark, d), "lines")
     known = materialise(S.vocabulary(lines, "line", 20), "vocabulary")
-    entries = S.shifted_ppmi(materialise(S.cooccurrences(lines, "line", known, 5), "pairs"), NEGATIVES)
-    rows, cols = (known.select(F.col("id").alias(c), F.col("word").alias(w)) for c, w in (("row", "word"), ("col", "near")))
+    entries = S.shifted_ppmi(S.stored_pairs(S.cooccurrences(lines, "line", known, 5), "pairs"), NEGATIVES)
+    rows, cols = (S.of_words(known.select(F.col("id").alias(c), F.col("word").alias(w)), known.count())
+                  for c, w in (("row", "word"), ("col", "near")))
     return entries.join(rows, "row").join(cols, "col").select("word", "near", r6("value", "value"))
 
 

@@ -54,12 +54,13 @@ def unsent(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, **options) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, and gives the planner the size of the files, so it can tell a side
-    that may be broadcast from one that may not. Rows may take far more than their file: see ``unsent``.
+    that may be broadcast from one that may not. Rows may take far more than their file: see ``unsent``. ``options`` are
+    those of the Parquet writer.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -219,3 +219,35 @@ def test_training_reads_its_corpus_once(spark, monkeypatch):
     df = spark.createDataFrame([(x,) for x in corpus(40)], "line string")
     S.train(df, dim=2, min_count=5, n_buckets=50, iterations=0)
     assert len(read) == 2 and all("/lines-" in lines.inputFiles()[0] for lines in read)
+
+
+def test_pairs_travel_packed_and_as_ids_alike(spark, monkeypatch):
+    lines = corpus() + ["unknown garden unseen rose other rose rose"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    known = materialise(S.vocabulary(df, "line", 5), "known")
+    packed = S.cooccurrences(df, "line", known, 5)
+    # groups of pairs are shuffled, not pairs
+    assert "group#" in packed._jdf.queryExecution().optimizedPlan().toString()
+    rows = values(packed.withColumn("weight", F.round("weight", 6)))
+    assert packed.select("row", "col").distinct().count() == len(rows)
+    monkeypatch.setattr(S, "SENT_WORDS", 3)
+    ids = S.cooccurrences(df, "line", known, 5)
+    assert "group#" not in ids._jdf.queryExecution().optimizedPlan().toString()
+    assert values(ids.withColumn("weight", F.round("weight", 6))) == rows
+
+
+def test_packed_pairs_are_small_and_whole():
+    rng = np.random.default_rng(1)
+    key = np.unique(rng.integers(0, 1 << 44, 20_000))
+    units = rng.integers(1, 6, len(key))
+    data = S._packed(key, units)
+    back = S._unpacked(data, len(key))
+    assert (back[0] == key).all() and (back[1] == units).all()
+    assert len(data) < 6 * len(key) and S._unpacked(S._packed(key[:1], units[:1]), 1)[0].tolist() == key[:1].tolist()
+
+
+def test_words_meet_their_pairs_where_these_are(spark):
+    df = spark.createDataFrame([(x,) for x in corpus()], "line string")
+    pairs = S.stored_pairs(S.cooccurrences(df, "line", S.vocabulary(df, "line", 5), 5), "pairs")
+    plan = S.shifted_ppmi(pairs, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 2
