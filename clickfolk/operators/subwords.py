@@ -288,8 +288,8 @@ def train(corpus: DataFrame, column: str = "line", dim: int = 300, min_count: in
     """
     lines = materialise(corpus.select(column), "lines")  # made once, read for the vocabulary and for the pairs
     known = materialise(vocabulary(lines, column, min_count), "vocabulary")
-    pairs = materialise(cooccurrences(lines, column, known, window), "pairs")
-    matrix = materialise(shifted_ppmi(pairs, negatives), "ppmi")
+    pairs = stored_pairs(cooccurrences(lines, column, known, window), "pairs")
+    matrix = stored_pairs(shifted_ppmi(pairs, negatives), "ppmi")
     words = materialise(known.join(factors(matrix, dim, iterations, seed=seed), "id").select("word", "n", "vector"), "word-vectors")
     spread = word_buckets(words, n_buckets, shortest, longest, "n", "vector").select(
         "bucket", "n", F.transform("vector", lambda x: x * F.col("n")).alias("vector"))
